@@ -18,8 +18,3 @@ def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity; null for a zero vector."""
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
-
-def unit(a: Column) -> Column:
-    """The vector scaled to length one, as floats; null for a zero vector."""
-    length = norm(a)
-    return F.when(length > 0, F.transform(a, lambda x: (x / length).cast("float")))

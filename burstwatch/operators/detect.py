@@ -11,6 +11,7 @@ from burstwatch.operators.forest import IsolationForest, resolve_model_path
 from burstwatch.operators.quantiles import exact_quantiles
 from burstwatch.operators.ranking import first_per_key
 from burstwatch.schemas import FEATURES
+from burstwatch.session import cut_lineage
 
 __all__ = [
     "IsolationForest", "alerts", "label", "one_per_page", "resolve_model_path",
@@ -22,8 +23,10 @@ def robust_scale(rows: DataFrame, columns: Sequence[str] = FEATURES) -> DataFram
     """Center each column on its median and divide by its interquartile range.
 
     A column whose range is 0 is only centered. Spark ML's scaler would turn it
-    into zeros, and most pages have a single edit per window.
+    into zeros, and most pages have a single edit per window. The rows are read
+    several times, so they are checkpointed first.
     """
+    rows = cut_lineage(rows)
     quartiles = exact_quantiles(rows, columns, [0.25, 0.5, 0.75])
     scaled = {}
     for name in columns:

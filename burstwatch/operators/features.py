@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from burstwatch.functions.text import substantive_comment
 from burstwatch.operators.ranking import ranked
+from burstwatch.session import broadcast_if_small, cut_lineage
 
 # Fixed values.
 WINDOW = "15 minutes"
@@ -115,12 +116,13 @@ def attach_comments(
 ) -> DataFrame:
     """Add ``recent_comments`` to rows keyed by (window, page_title); "" where there is none.
 
-    Meant for the few flagged windows. The semi join that thins the edits to
-    those pages and windows runs before comments are cleaned and ranked, and
-    Spark broadcasts the flagged keys when their measured size allows it.
+    Meant for the few flagged windows: these are checkpointed and counted, and
+    when few enough they are broadcast, so that the edits are thinned to flagged
+    pages and windows before any comment is cleaned, ranked or shuffled.
     """
     keys = ["window", "page_title"]
-    flagged = rows.select(*keys).distinct()
+    rows = cut_lineage(rows)
+    flagged = broadcast_if_small(rows.select(*keys).distinct())
     windowed = events.withColumn("window", F.window("event_time", window, slide))
     sample = comment_sample(windowed.join(flagged, keys, "left_semi"), keys)
     return rows.join(sample, keys, "left").withColumn(

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from burstwatch.session import cut_lineage
+from burstwatch.session import broadcast_if_small, cut_lineage
 
 # Fixed value: how long an article stays matchable.
 RETENTION = timedelta(hours=24)
@@ -40,6 +40,8 @@ MAX_PIVOTS = 256
 # Bounds are loosened by this much, so that rounding of an angle never skips a
 # cell that could hold the best article.
 SLACK = 1e-6
+# Buckets with up to MAX_PIVOTS cells each: about 6 KB a row.
+MAX_BROADCAST_BUCKETS = 10_000
 TILE = 512
 
 CELL = ["bucket", "cell"]
@@ -57,6 +59,7 @@ def nearest_news(
     pivots: int | None = None,
     article_block: int = ARTICLE_BLOCK,
     anomaly_block: int = ANOMALY_BLOCK,
+    materialize: bool = True,
 ) -> DataFrame:
     """Each anomaly with its most similar article of the retention interval.
 
@@ -67,7 +70,11 @@ def nearest_news(
 
     Anomalies are told apart by a digest of vector and time: equal ones have
     equal answers, and the digest is the same when a lost task is run again.
+    Both inputs are read several times and therefore checkpointed; pass
+    ``materialize=False`` for tables that are cheap to read again.
     """
+    if materialize:
+        anomalies, news = cut_lineage(anomalies), cut_lineage(news)
     keep = micros(retention)
     width = keep // BUCKETS_PER_INTERVAL
     digest = F.md5(F.to_json(F.struct(vector, at)))
@@ -129,12 +136,12 @@ def _pruned(
         .drop("angles")
     )
     # One row per bucket, holding at most ``pivots`` cells.
-    cells = (
+    cells = broadcast_if_small(cut_lineage(
         placed.groupBy(*CELL)
         .agg(F.min("angle").alias("near"), F.max("angle").alias("far"))
         .groupBy("bucket")
         .agg(F.collect_list(F.struct("cell", "near", "far")).alias("cells"))
-    )
+    ), MAX_BROADCAST_BUCKETS)
     angles = queries.select("q_id", _angles(centers)("v").alias("angles"))
 
     def bounded(c: Column) -> Column:
@@ -175,11 +182,10 @@ class _Search:
     def best(self, visits: DataFrame, articles: DataFrame) -> DataFrame:
         """Rows ``q_id, score, key, article_t``: one per anomaly and article block with a candidate.
 
-        The block counts of a cell come from its measured sizes; the two small
-        tables of sizes are joined without a hint, so that adaptive execution
-        broadcasts them by their real size or splits a hot cell.
+        How many blocks a cell is cut into comes from its measured sizes, one row
+        per cell.
         """
-        def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+        def count_blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
             return rows.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
 
         def spread(rows: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str):
@@ -190,9 +196,11 @@ class _Search:
                 .select(*BLOCK, key, "v", "t")
             )
 
-        shape = blocks(articles, self.article_block, "n_article").join(
-            blocks(visits, self.anomaly_block, "n_anomaly"), CELL
-        )
+        shape = broadcast_if_small(cut_lineage(
+            count_blocks(articles, self.article_block, "n_article").join(
+                count_blocks(visits, self.anomaly_block, "n_anomaly"), CELL
+            )
+        ))
         left = spread(visits, "q_id", "anomaly_block", "n_anomaly", "article_block", "n_article")
         right = spread(articles, "key", "article_block", "n_article", "anomaly_block", "n_anomaly")
         keep = self.keep

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from burstwatch.functions.text import anomaly_text, article_text
-from burstwatch.functions.vectors import unit
 from burstwatch.functions.web import url_domain
 from burstwatch.operators.nearest import RETENTION, nearest_news
 from burstwatch.operators.ranking import first_per_key
@@ -53,8 +52,9 @@ class HashedTextEmbedder:
     def __call__(self, rows: DataFrame, text: str, vector: str) -> DataFrame:
         counted = self._counts(rows, text)
         weighted = self.idf.transform(counted) if self.idf else counted
-        source = "weighted" if self.idf else "tf"
-        return weighted.withColumn(vector, unit(vector_to_array(source))).select(*rows.columns, vector)
+        scale = Normalizer(inputCol="weighted" if self.idf else "tf", outputCol="scaled")
+        as_array = vector_to_array("scaled", dtype="float32").alias(vector)
+        return scale.transform(weighted).select(*rows.columns, as_array)
 
     def save(self, path: str) -> None:
         if self.idf is None:

@@ -14,7 +14,7 @@ from burstwatch.operators import edits, features
 from burstwatch.plans import tables
 from burstwatch.plans.registry import query
 from burstwatch.plans.tables import with_
-from burstwatch.session import scratch_dir
+from burstwatch.session import scratch_dir, spread
 from burstwatch.sources import sinks
 
 _EDIT_COLUMNS = (
@@ -49,7 +49,7 @@ def normalize_changes(spark, folder):
 
 _HISTORY = with_("edits") + """, history AS (
   SELECT CAST(event_id AS BIGINT) AS n, page_title, "user",
-    CASE CAST(event_id AS BIGINT) % 6 WHEN 0 THEN bot WHEN 3 THEN true ELSE false END AS bot,
+    CASE CAST(event_id AS BIGINT) % 6 WHEN 0 THEN bot WHEN 1 THEN bot WHEN 3 THEN true ELSE false END AS bot,
     CASE CAST(event_id AS BIGINT) % 6 WHEN 0 THEN minor ELSE false END AS minor,
     CAST(CASE CAST(event_id AS BIGINT) % 6 WHEN 0 THEN byte_change
       WHEN 1 THEN new_length - old_length ELSE 0 END AS DOUBLE) AS byte_change, timestamp
@@ -118,7 +118,7 @@ def _substantive_sql(cleaned: str) -> str:
   SELECT event_id, cleaned, {_substantive_sql("cleaned")} AS substantive FROM cleaned""")
 def clean_edit_comments(spark, folder):
     comment = F.col("comment")
-    return tables.edits(spark, folder).select(
+    return spread(tables.edits(spark, folder)).select(
         "event_id", clean_comment(comment).alias("cleaned"),
         substantive_comment(comment).alias("substantive"),
     )
@@ -134,7 +134,7 @@ def clean_whole_texts(spark, folder):
         F.lit("/* "), "source", F.lit(" */ [["), "lang", F.lit("|"), "source",
         F.lit("]] {{note|"), "text", F.lit("}}"),
     )
-    return tables.table(spark, folder, "documents").select(
+    return tables.spread_table(spark, folder, "documents").select(
         "doc_id", clean_comment(comment).alias("cleaned"), substantive_comment(comment).alias("substantive")
     )
 
@@ -146,7 +146,7 @@ def clean_whole_texts(spark, folder):
 def build_texts(spark, folder):
     title = F.concat(F.lit(" Title "), F.col("doc_id"))
     page = F.concat("source", F.lit("_"), "lang", F.lit("_"))
-    return tables.table(spark, folder, "documents").select(
+    return tables.spread_table(spark, folder, "documents").select(
         "doc_id",
         anomaly_text(page, F.col("text")).alias("anomaly_text"),
         article_text(title, F.col("text")).alias("article_text"),
@@ -177,7 +177,7 @@ def url_functions(spark, folder):
 def time_functions(spark, folder):
     """Round trips through every accepted time format, over a whole year of dates."""
     t = F.timestamp_seconds(F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") % 365 * 86400)
-    rows = tables.table(spark, folder, "events").select("event_id", t.alias("t"))
+    rows = tables.spread_table(spark, folder, "events").select("event_id", t.alias("t"))
     eastern = F.date_format(to_eastern(F.col("t")), "yyyy-MM-dd HH:mm:ss")
     ambiguous = F.date_format(to_eastern(F.col("t")), "MM-dd HH").isin("03-10 02", "11-03 01")
     iso, later = iso_utc(F.col("t")), iso_utc(F.col("t") + F.expr("INTERVAL 15 MINUTES"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from burstwatch.functions.times import MINUTE_KEY
+from burstwatch.session import spread
 
 COMMENTS = (
     "ce",
@@ -35,6 +36,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows are about to be worked on one by one; a single small file is spread."""
+    return spread(table(spark, folder, name))
+
+
 def _by_number(values: tuple[str, ...], number: str):
     options = F.array(*[F.lit(v) for v in values])
     return F.element_at(options, (F.col(number) % len(values) + 1).cast("int"))
@@ -73,7 +79,7 @@ def edits(spark: SparkSession, folder: str) -> DataFrame:
 
 def edit_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Edits as topic rows; removals by bots arrive cut off and new pages lack their id."""
-    rows = edits(spark, folder)
+    rows = spread(edits(spark, folder))
     fields = [
         "event_id", "recent_change_id", "revision_id", "timestamp", "page_title", "namespace", "user",
         "bot", "minor", "old_length", "new_length", "byte_change", "comment", "server_name", "event_type",
@@ -119,12 +125,12 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
     value = F.when(kind == "view", F.to_json(F.struct(*common), keep_nulls)).otherwise(
         F.to_json(with_flags, keep_nulls)
     )
-    return table(spark, folder, "events").select(value.alias("value"))
+    return spread_table(spark, folder, "events").select(value.alias("value"))
 
 
 def history_lines(spark: SparkSession, folder: str) -> DataFrame:
     """History records in the accepted spellings, plus blank lines and non-objects."""
-    e = edits(spark, folder).withColumn("kind", F.col("user"))
+    e = spread(edits(spark, folder)).withColumn("kind", F.col("user"))
     number = F.col("offset") % 6
     keep_nulls = {"ignoreNullFields": "false"}
     plain = F.to_json(F.struct("page_title", "user", "bot", "minor", "byte_change", "timestamp"))
@@ -149,7 +155,7 @@ def history_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def api_changes(spark: SparkSession, folder: str) -> DataFrame:
     """API change records: some without title or user, some without a size, some bad times."""
-    e = edits(spark, folder)
+    e = spread(edits(spark, folder))
     return e.select(
         F.when(F.col("minor") & F.col("user").endswith("7"), "").otherwise(F.col("page_title")).alias("title"),
         F.when(~(F.col("minor") & F.col("user").endswith("3")), F.col("user")).alias("user"),
@@ -198,13 +204,14 @@ def toc_lines(spark: SparkSession, folder: str) -> DataFrame:
 def ngrams(spark: SparkSession, folder: str) -> DataFrame:
     """Every run of four words of every document, one row per occurrence in text order."""
     words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    # Four shifted copies side by side: every word is read four times, not once per run.
+    shifted = [F.slice("words", i, F.size("words") - 3).alias(f"w{i}") for i in range(1, 5)]
     runs = F.transform(
-        F.sequence(F.lit(1), F.size("words") - 3),
-        lambda i: F.array_join(F.slice("words", i, 4), " "),
+        F.arrays_zip(*shifted), lambda z: F.concat_ws(" ", z["w1"], z["w2"], z["w3"], z["w4"])
     )
     minute = F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("doc_id") / 10) * 60)
     return (
-        table(spark, folder, "documents")
+        spread_table(spark, folder, "documents")
         .select("doc_id", minute.alias("minute"), words.alias("words"))
         .filter(F.size("words") >= 4)
         .select("doc_id", "minute", F.posexplode(runs).alias("pos", "quadgram"))
@@ -218,7 +225,7 @@ def ngrams(spark: SparkSession, folder: str) -> DataFrame:
 
 def ngram_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as quadgram lines: bad ids, bad counts, missing fields and empty text."""
-    turns = table(spark, folder, "conversations")
+    turns = spread_table(spark, folder, "conversations")
     number = F.col("turn") % 5
     docid = F.when(number == 1, F.lit("abc")).otherwise(F.col("conv_id").cast("string"))
     count = F.when(number == 2, F.lit("notanumber")).otherwise(F.length("text").cast("string"))
@@ -318,7 +325,7 @@ def verdict_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "signup", old)
         .otherwise(junk)
     )
-    return table(spark, folder, "events").select(value.alias("value"), number.alias("offset"))
+    return spread_table(spark, folder, "events").select(value.alias("value"), number.alias("offset"))
 
 
 _LIST = ", ".join("'" + c.replace("'", "''") + "'" for c in COMMENTS)
@@ -399,8 +406,8 @@ SQL = {
                 make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) // 900 * 900000000 + 900000000) AS we
               FROM events WHERE event_type <> 'error'))""",
     "pairs": """pairs AS (
-        SELECT a.vec_id AS q, n.vec_id AS a, list_dot_product(a.v, n.v) AS similarity,
-          row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.v, n.v) DESC, n.vec_id) AS rn
+        SELECT a.vec_id AS q, n.vec_id AS a, list_cosine_similarity(a.v, n.v) AS similarity,
+          row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.v, n.v) DESC, n.vec_id) AS rn
         FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) a
         JOIN (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) n
           ON n.vec_id * 600 <= a.vec_id * 600 - 60 AND n.vec_id * 600 >= a.vec_id * 600 - 60 - 86400)""",

@@ -32,7 +32,9 @@ def _found(rows):
 @query(_NEAREST)
 def nearest_news(spark, folder):
     """Every vector's most similar article of the day before."""
-    return _found(nearest(tables.vector_anomalies(spark, folder), tables.vector_news(spark, folder)))
+    return _found(nearest(
+        tables.vector_anomalies(spark, folder), tables.vector_news(spark, folder), materialize=False
+    ))
 
 
 @query(_NEAREST)
@@ -40,7 +42,7 @@ def nearest_news_pruned(spark, folder):
     """The same through cells around pivots and small blocks, as large tables are searched."""
     return _found(nearest(
         tables.vector_anomalies(spark, folder), tables.vector_news(spark, folder),
-        pivots=4, article_block=64, anomaly_block=64,
+        pivots=4, article_block=64, anomaly_block=64, materialize=False,
     ))
 
 
@@ -53,7 +55,8 @@ def nearest_news_pruned(spark, folder):
   FROM embeddings e LEFT JOIN pairs p ON p.q = e.vec_id AND p.rn = 1""")
 def verdicts(spark, folder):
     rows = verify.verdicts(
-        tables.vector_anomalies(spark, folder), tables.vector_news(spark, folder), evaluated_at=EVALUATED
+        tables.vector_anomalies(spark, folder), tables.vector_news(spark, folder), evaluated_at=EVALUATED,
+        materialize=False,
     )
     return rows.select(
         "page_title", "window_start", "matched", F.round("similarity_score", 6).alias("similarity_score"),
@@ -77,7 +80,7 @@ def cosine_similarity(spark, folder):
 def embed_articles(spark, folder):
     """Word-weighted vectors of whole documents; the first and last weights identify each."""
     articles = news.normalize(tables.toc(spark, folder)).withColumn("snippet", F.lit(""))
-    texts = tables.table(spark, folder, "documents").select(F.col("doc_id").alias("toc_id"), "text")
+    texts = tables.spread_table(spark, folder, "documents").select(F.col("doc_id").alias("toc_id"), "text")
     whole = articles.drop("snippet").join(texts, "toc_id").withColumnRenamed("text", "snippet")
     embedder = verify.HashedTextEmbedder().fit(whole, "snippet")
     return verify.embed_articles(whole, embedder).select(
@@ -108,8 +111,8 @@ def verify_alerts(spark, folder):
 
 
 def _records(spark, folder):
-    messages = sources.require_keys(tables.verdict_messages(spark, folder), ["page_title", "matched"])
-    return sources.decode_json(messages, VERDICT_SCHEMA, keep=["offset"])
+    messages = tables.verdict_messages(spark, folder)
+    return sources.decode_json(messages, VERDICT_SCHEMA, ["offset"], require=["page_title", "matched"])
 
 
 @query(with_("verdicts") + """SELECT event_id AS "offset", page_title, window_start, matched,
@@ -130,7 +133,7 @@ def readable_messages(spark, folder):
 
 _FLAT = with_("verdicts") + """, flat AS (
   SELECT event_id, page_title, window_start, window_end, user_id AS edit_count,
-    CASE WHEN event_type <> 'signup' THEN 3 END AS unique_editors,
+    CAST(CASE WHEN event_type <> 'signup' THEN 3 END AS BIGINT) AS unique_editors,
     CASE WHEN event_type <> 'signup' THEN event_id * 2 END AS total_byte_changes, anomaly_score,
     CASE WHEN has_article THEN 'article ' || event_id END AS news_title,
     CASE WHEN has_article THEN 'u@news' || event_id % 10 || '.example.com:8080' END AS news_domain,

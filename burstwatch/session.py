@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def session(app_name: str = "burstwatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,6 +23,8 @@ def session(app_name: str = "burstwatch", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Checkpoint files go once nothing refers to them, also in long-running streams.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
@@ -49,3 +51,25 @@ def cut_lineage(rows: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_dir(rows.sparkSession, "checkpoints"))
     return rows.checkpoint()
+
+
+# Rows of a few keys each; a million of them are some tens of megabytes.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint if a count shows at most ``limit`` rows, else the rows as they are.
+
+    The count reads the rows, so give it a checkpoint or a file-backed table.
+    Beyond the limit the join shuffles, and adaptive execution splits hot keys.
+    """
+    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Spread an input of fewer partitions than cores, as from one small file.
+
+    Inputs that already occupy the cluster come back unchanged, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -36,20 +36,30 @@ def is_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
+def _has_keys(text: Column, keys: Sequence[str]) -> Column:
+    """True for an object that carries every key, whatever its value (null included)."""
+    wanted = F.array(*[F.lit(k) for k in keys])
+    return F.size(F.array_except(wanted, F.json_object_keys(text))) == 0
+
+
 def decode_json(
-    raw: DataFrame, schema: StructType | str, keep: Sequence[str] = (), value: str = "value"
+    raw: DataFrame,
+    schema: StructType | str,
+    keep: Sequence[str] = (),
+    value: str = "value",
+    require: Sequence[str] = (),
 ) -> DataFrame:
-    """Records of JSON objects; every other payload is dropped. ``keep`` passes columns on."""
+    """Records of JSON objects; every other payload is dropped.
+
+    ``require`` names keys an object must carry; ``keep`` passes columns on.
+    """
     text = F.col(value).cast("string")
     return (
-        raw.filter(is_object(text))
+        raw.filter(_has_keys(text, require) if require else is_object(text))
         .select(F.from_json(text, schema).alias("record"), *keep)
         .select("record.*", *keep)
     )
 
 
 def require_keys(raw: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Keep objects that carry every key, whatever its value (null included)."""
-    present = F.json_object_keys(F.col(value).cast("string"))
-    wanted = F.array(*[F.lit(k) for k in keys])
-    return raw.filter(F.size(F.array_except(wanted, present)) == 0)
+    return raw.filter(_has_keys(F.col(value).cast("string"), keys))

@@ -196,10 +196,16 @@ def verify_anomalies(
             return
         now = clock()
         rows = verify.embed_anomalies(batch, embedder).withColumn("handled_at", F.lit(now).cast("timestamp"))
-        judged = verify.verdicts(
-            rows, news(now), threshold, retention, evaluated_at=now, key="article_key"
-        )
-        write(keyed_json(judged, "page_title", ignore_nulls=False), batch_id)
+        # Kept for this batch only; a checkpoint per batch would pile up.
+        inputs = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (rows, news(now))]
+        try:
+            judged = verify.verdicts(
+                *inputs, threshold, retention, evaluated_at=now, key="article_key", materialize=False
+            )
+            write(keyed_json(judged, "page_title", ignore_nulls=False), batch_id)
+        finally:
+            for df in inputs:
+                df.unpersist()
 
     return (
         anomalies.writeStream.foreachBatch(judge)

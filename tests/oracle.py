@@ -36,13 +36,14 @@ def _sorted_rows(columns, rows):
     return [columns[i] for i in order], sorted(plain, key=repr)
 
 
-def difference(frame, connection, sql: str) -> str | None:
+def difference(frame, connection, sql: str, rows=None) -> str | None:
     """None when both agree; otherwise what differs."""
     cursor = connection.execute(sql)
     names = [d[0] for d in cursor.description]
     types = {d[0]: str(d[1]) for d in cursor.description}
     want_columns, want = _sorted_rows(names, cursor.fetchall())
-    have_columns, have = _sorted_rows(frame.columns, [tuple(r) for r in frame.collect()])
+    rows = frame.collect() if rows is None else rows
+    have_columns, have = _sorted_rows(frame.columns, [tuple(r) for r in rows])
     if have_columns != want_columns:
         return f"columns {have_columns} != {want_columns}"
     kinds = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
