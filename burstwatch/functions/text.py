@@ -19,8 +19,13 @@ JARGON = (
 # Punctuation removed from both ends of a quadgram.
 EDGE_PUNCTUATION = " \t\r\n.,;:!?\"'()[]{}"
 
-# The wiki markup that is recognised. White space is the Unicode
-# notion plus the four ASCII separators; "." stops at a line feed only.
+# The characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+# The wiki markup that is recognised. "." stops at a line feed only.
 _SPACE = r"[\s\x1c-\x1f]"
 _REVERT_PREFIX = (
     r"(?iU)^(?:Undid|Restored)_+revisions?_+\d+(?:_*(?:through|to|-)_*\d+)?"
@@ -38,8 +43,8 @@ _CONTENT_TOKEN = (
 
 
 def strip(text: Column) -> Column:
-    """Trim Unicode white space on both ends (``trim`` removes only blanks)."""
-    return F.regexp_replace(text, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    """Trim Unicode white space on both ends (plain ``trim`` removes only blanks)."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(text: Column) -> Column:

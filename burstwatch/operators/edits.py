@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from burstwatch.functions.times import iso_to_epoch
 from burstwatch.schemas import CHANGE_FEED_SCHEMA
+from burstwatch.sources.decode import once
 
 # Which changes count as article edits.
 SERVER = "en.wikipedia.org"
@@ -27,10 +28,10 @@ def in_scope(feed: DataFrame) -> DataFrame:
     """
     text = F.col("value").cast("string")
     return (
-        feed.select(
+        feed.select(once(F.struct(
             F.from_json(text, CHANGE_FEED_SCHEMA).alias("change"),
             F.json_object_keys(text).alias("keys"),
-        )
+        )))
         .filter(F.col("change.server_name") == SERVER)
         .filter(F.col("change.type").isin(*CHANGE_TYPES))
         .filter(F.col("change.namespace") == ARTICLE_NAMESPACE)

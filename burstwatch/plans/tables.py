@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from burstwatch.functions.times import MINUTE_KEY
 from burstwatch.session import spread
+from burstwatch.sources.decode import once
 
 COMMENTS = (
     "ce",
@@ -36,6 +37,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _written(rows: DataFrame, *columns) -> DataFrame:
+    """The columns as if read from a file: built once, whatever the operators do with them."""
+    return rows.select(once(F.struct(*columns)))
+
+
 def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table whose rows are about to be worked on one by one; a single small file is spread."""
     return spread(table(spark, folder, name))
@@ -91,8 +97,8 @@ def edit_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("event_type") == "new", no_id)
         .otherwise(body)
     )
-    return rows.select(
-        value.alias("value"), "partition", "offset", F.col("kafka_timestamp").alias("timestamp")
+    return _written(
+        rows, value.alias("value"), "partition", "offset", F.col("kafka_timestamp").alias("timestamp")
     )
 
 
@@ -125,7 +131,7 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
     value = F.when(kind == "view", F.to_json(F.struct(*common), keep_nulls)).otherwise(
         F.to_json(with_flags, keep_nulls)
     )
-    return spread_table(spark, folder, "events").select(value.alias("value"))
+    return _written(spread_table(spark, folder, "events"), value.alias("value"))
 
 
 def history_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,7 +156,7 @@ def history_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.when(number == 0, plain).when(number == 1, api).when(number == 2, new_page)
         .when(number == 3, odd).when(number == 4, F.lit("  ")).otherwise(F.lit("[1, 2]"))
     )
-    return e.select(value.alias("value"))
+    return _written(e, value.alias("value"))
 
 
 def api_changes(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,7 +181,7 @@ def toc(spark: SparkSession, folder: str) -> DataFrame:
     """
     pages = table(spark, folder, "pages")
     total = pages.agg(F.count(F.lit(1))).scalar()
-    docs = table(spark, folder, "documents").withColumn("page_id", F.col("doc_id") % total)
+    docs = spread_table(spark, folder, "documents").withColumn("page_id", F.col("doc_id") % total)
     minute = F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("doc_id") / 10) * 60)
     return docs.join(pages.select("page_id", F.col("url").alias("page_url")), "page_id").select(
         F.col("doc_id").alias("ID"),
@@ -198,7 +204,7 @@ def toc_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("lang") == "de", F.concat(F.lit("["), F.col("ID").cast("string"), F.lit("]")))
         .otherwise(body)
     )
-    return toc(spark, folder).select(value.alias("value"), "toc_timestamp", "pos")
+    return _written(toc(spark, folder), value.alias("value"), "toc_timestamp", "pos")
 
 
 def ngrams(spark: SparkSession, folder: str) -> DataFrame:
@@ -325,7 +331,7 @@ def verdict_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "signup", old)
         .otherwise(junk)
     )
-    return spread_table(spark, folder, "events").select(value.alias("value"), number.alias("offset"))
+    return _written(spread_table(spark, folder, "events"), value.alias("value"), number.alias("offset"))
 
 
 _LIST = ", ".join("'" + c.replace("'", "''") + "'" for c in COMMENTS)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,7 +30,26 @@ def session(app_name: str = "burstwatch", master: str | None = None, **conf: str
     }
     for key, value in {**defaults, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, whose Python workers run the forest and the search.
+
+    Once per application; like ``--py-files``, it goes through Spark's file server.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(
+            str(Path(tempfile.mkdtemp(prefix="burstwatch-")) / package.name), "zip", package.parent, package.name
+        )
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+    return spark
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -23,12 +23,17 @@ def decode_edits(
         if metadata
         else []
     )
-    event = F.from_json(F.col("value").cast("string"), schema).alias("event")
-    return (
-        raw.select(event, *transport)
-        .select("event.*", *[c for c in ("partition", "offset", "kafka_timestamp") if metadata])
-        .filter(F.col("event_id").isNotNull())
-    )
+    event = F.from_json(F.col("value").cast("string"), schema)
+    return raw.select(once(event), *transport).filter(F.col("event_id").isNotNull())
+
+
+def once(record: Column) -> Column:
+    """The fields of a struct as columns, worked out a single time per row.
+
+    A filter on a parsed field would otherwise be pushed below the projection
+    together with a copy of the parse; it cannot pass a generator.
+    """
+    return F.inline(F.array(record))
 
 
 def is_object(text: Column) -> Column:

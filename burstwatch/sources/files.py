@@ -25,7 +25,9 @@ def decode_history(lines: DataFrame, strict: bool = True) -> DataFrame:
     if strict:
         where = F.col("file") if "file" in lines.columns else F.lit("history")
         message = F.concat(F.lit("Invalid JSON in "), where, F.lit(": "), text)
-        usable = F.when(malformed, F.raise_error(message).cast("boolean")).otherwise(is_object(text))
+        usable = F.when(malformed, F.raise_error(message).cast("boolean")).otherwise(
+            strip(text).startswith("{")
+        )
     else:
         usable = is_object(text)
     return (
