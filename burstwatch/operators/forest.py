@@ -35,6 +35,8 @@ DEFAULT_MODEL_PATH = "models/anomaly_detector"
 # Thinning keeps this many times the sample per tree, so that the exact cut to
 # the sample size practically never runs short.
 THINNING = 4
+# Trees draw from a common pool of at most this many times all samples together.
+POOL = 32
 EULER_GAMMA = 0.5772156649015329
 
 NODE_SCHEMA = (
@@ -105,7 +107,7 @@ class IsolationForest:
         of the training scores: that share of the training rows scores below 0.
         """
         data = rows.select(
-            *_inputs(), F.xxhash64(*[F.col(c) for c in _hashable(rows)]).alias("row_key")
+            *_inputs(), F.xxhash64(F.lit(seed), *[F.col(c) for c in _hashable(rows)]).alias("row_key")
         ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             count = data.count()
@@ -178,16 +180,22 @@ def _hashable(rows: DataFrame) -> list[str]:
 def _grow_trees(data: DataFrame, count: int, trees: int, size: int, seed: int) -> DataFrame:
     """Node rows of every tree.
 
-    A row belongs to a tree's sample when its hash with the tree's number falls
-    under the thinning rate; the tree then takes the ``size`` smallest hashes. All
-    of this is decided per row, and about ``THINNING * size * trees`` rows in
-    total go through the shuffle.
+    One hash per row thins the rows to a pool. A pool row belongs to a tree's
+    sample when its hash with the tree's number falls under the thinning rate; the
+    tree then takes the ``size`` smallest hashes. All of this is decided per row,
+    and about ``THINNING * size * trees`` rows in total go through the shuffle.
     """
     space = 2**31
-    rate = min(1.0, THINNING * size / count)
-    draw = lambda t: F.pmod(F.xxhash64("row_key", t, F.lit(seed)), F.lit(space))
-    members = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < F.lit(int(rate * space)))
-    drawn = data.select("*", F.explode(members).alias("tree"))
+    pool_rate = min(1.0, POOL * size * trees / count)
+    rate = min(1.0, THINNING * size / (count * pool_rate))
+
+    def draw(*number: Column) -> Column:
+        return F.pmod(F.xxhash64("row_key", *number), F.lit(space))
+
+    pool = data.filter(draw() < F.lit(int(pool_rate * space)))
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+    members = F.filter(numbers, lambda tree: draw(tree) < F.lit(int(rate * space)))
+    drawn = pool.select("*", F.explode(members).alias("tree"))
     drawn = drawn.withColumn("draw", draw(F.col("tree")))
     ties = [F.col(c) for c in ("draw", "row_key", *FEATURES)]
     chosen = ranked(drawn, ["tree"], ties, size)

@@ -57,7 +57,7 @@ def edits(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("event_type")
     size = F.round(F.col("value") * 100).cast("long")
     return (
-        table(spark, folder, "events")
+        spread_table(spark, folder, "events")
         .withColumn("size", size)
         .select(
             F.col("event_id").cast("string").alias("event_id"),
@@ -85,7 +85,7 @@ def edits(spark: SparkSession, folder: str) -> DataFrame:
 
 def edit_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Edits as topic rows; removals by bots arrive cut off and new pages lack their id."""
-    rows = spread(edits(spark, folder))
+    rows = edits(spark, folder)
     fields = [
         "event_id", "recent_change_id", "revision_id", "timestamp", "page_title", "namespace", "user",
         "bot", "minor", "old_length", "new_length", "byte_change", "comment", "server_name", "event_type",
@@ -136,7 +136,7 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 def history_lines(spark: SparkSession, folder: str) -> DataFrame:
     """History records in the accepted spellings, plus blank lines and non-objects."""
-    e = spread(edits(spark, folder)).withColumn("kind", F.col("user"))
+    e = edits(spark, folder).withColumn("kind", F.col("user"))
     number = F.col("offset") % 6
     keep_nulls = {"ignoreNullFields": "false"}
     plain = F.to_json(F.struct("page_title", "user", "bot", "minor", "byte_change", "timestamp"))
@@ -161,7 +161,7 @@ def history_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def api_changes(spark: SparkSession, folder: str) -> DataFrame:
     """API change records: some without title or user, some without a size, some bad times."""
-    e = spread(edits(spark, folder))
+    e = edits(spark, folder)
     return e.select(
         F.when(F.col("minor") & F.col("user").endswith("7"), "").otherwise(F.col("page_title")).alias("title"),
         F.when(~(F.col("minor") & F.col("user").endswith("3")), F.col("user")).alias("user"),
