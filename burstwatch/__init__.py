@@ -4,8 +4,9 @@ from burstwatch import functions, operators, plans, sources, streaming
 from burstwatch.operators import detect, edits, features, news, report, verify
 from burstwatch.session import session
 from burstwatch.sources import sinks
+from burstwatch.training import train
 
 __all__ = [
     "detect", "edits", "features", "functions", "news", "operators", "plans",
-    "report", "session", "sinks", "sources", "streaming", "verify",
+    "report", "session", "sinks", "sources", "streaming", "train", "verify",
 ]

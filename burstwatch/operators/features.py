@@ -85,9 +85,11 @@ def tumbling(events: DataFrame, window: str = WINDOW, distinct: str = "exact") -
     return with_ratios(rows)
 
 
-def per_page(events: DataFrame, distinct: str = "approx") -> DataFrame:
+def per_page(
+    events: DataFrame, distinct: str = "approx", keys: Sequence[str] = ("page_title",)
+) -> DataFrame:
     """Features per page over the whole input, without a time bucket."""
-    return with_ratios(events.groupBy("page_title").agg(*_measures(distinct, F.count("event_id"))))
+    return with_ratios(events.groupBy(*keys).agg(*_measures(distinct, F.count("event_id"))))
 
 
 def comment_sample(

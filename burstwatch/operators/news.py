@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from burstwatch.functions.text import blank_to_null, edge_trim, strip
-from burstwatch.functions.times import MINUTE_KEY, minute_key
+from burstwatch.functions.times import minute_key
 from burstwatch.functions.web import stable_id
 from burstwatch.operators.ranking import first_per_key, ranked
 
@@ -19,6 +19,7 @@ SNIPPET_QUADGRAMS = 5
 LOOKBACK_MINUTES = 45
 DELAY_MINUTES = 5
 LEDGER_MINUTES = 180
+KEY_FORMAT = "%Y%m%d%H%M00"
 
 
 def quadgram_totals(ngrams: DataFrame, keys: Sequence[str] = ("docid",)) -> DataFrame:
@@ -105,20 +106,20 @@ def pending_minutes(
     lookback: int = LOOKBACK_MINUTES,
     delay: int = DELAY_MINUTES,
 ) -> DataFrame:
-    """Minute keys from ``now - delay - lookback`` to ``now - delay`` that ``ledger`` lacks."""
-    end = F.date_trunc("minute", F.lit(now)) - F.make_dt_interval(mins=F.lit(delay))
-    start = end - F.make_dt_interval(mins=F.lit(lookback))
-    minutes = F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MINUTE"))).alias("minute")
-    wanted = spark.range(1).select(minutes).select(minute_key(F.col("minute")).alias("toc_timestamp"))
-    # Only the ledger's matching minutes can be of use: at most lookback + 1 distinct keys.
-    low, high = wanted.agg(F.min("toc_timestamp")), wanted.agg(F.max("toc_timestamp"))
-    done = ledger.filter(F.col("toc_timestamp").between(low.scalar(), high.scalar()))
+    """Minute keys from ``now - delay - lookback`` to ``now - delay`` (UTC) that ``ledger`` lacks."""
+    last = now.replace(second=0, microsecond=0) - timedelta(minutes=delay)
+    first = last - timedelta(minutes=lookback)
+    steps = F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 MINUTE"))
+    wanted = spark.range(1).select(F.explode(steps).alias("minute"))
+    wanted = wanted.select(minute_key(F.col("minute")).alias("toc_timestamp"))
+    # Plain bounds reach the ledger's scan; what is left has lookback + 1 distinct keys at most.
+    done = ledger.filter(F.col("toc_timestamp").between(*(t.strftime(KEY_FORMAT) for t in (first, last))))
     return wanted.join(done.select("toc_timestamp").distinct(), "toc_timestamp", "left_anti")
 
 
 def prune_ledger(ledger: DataFrame, now: datetime, keep_minutes: int = LEDGER_MINUTES) -> DataFrame:
     """Ledger entries not older than ``keep_minutes``, whole minutes compared as keys."""
-    cutoff = F.date_format(F.lit(now) - F.make_dt_interval(mins=F.lit(keep_minutes)), MINUTE_KEY)
+    cutoff = (now - timedelta(minutes=keep_minutes)).strftime(KEY_FORMAT)
     return ledger.filter(F.col("toc_timestamp") >= cutoff)
 
 

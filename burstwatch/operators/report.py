@@ -66,11 +66,18 @@ def edit_summary(edits: DataFrame) -> DataFrame:
 
 
 def edits_per_minute(edits: DataFrame, hours: int = ACTIVITY_HOURS) -> DataFrame:
-    """Edits per active minute over the last hours before the latest edit."""
-    latest = edits.agg(F.max("event_time")).scalar()
-    span = F.make_dt_interval(hours=F.lit(hours))
+    """Edits per active minute over the last hours before the latest edit.
+
+    The bound is one scalar and is compared with the stored ``timestamp`` where
+    there is one, so that it reaches the Parquet scan and skips old row groups.
+    """
+    if "timestamp" in edits.columns:
+        time, span = F.col("timestamp"), F.lit(hours * 3600)
+    else:
+        time, span = F.col("event_time"), F.make_dt_interval(hours=F.lit(hours))
+    start = edits.agg(F.max(time) - span).scalar()
     return (
-        edits.filter(F.col("event_time") >= latest - span)
+        edits.filter(time >= start)
         .groupBy(F.date_trunc("minute", "event_time").alias("minute"))
         .agg(F.count(F.lit(1)).alias("edits_per_minute"))
         .orderBy("minute")

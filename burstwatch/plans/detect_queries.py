@@ -123,11 +123,8 @@ def forest_self_flag_rate(spark, folder):
 def score_feature_lake(spark, folder):
     """The feature lake written per page and day, read back, and scored one row per page."""
     path = scratch_dir(spark, "features")
-    edits = tables.edits(spark, folder)
-    days = features.with_ratios(
-        edits.groupBy(F.to_date("event_time").alias("day"), "page_title")
-        .agg(*features._measures("exact", F.count("event_id")))
-    )
+    edits = tables.edits(spark, folder).withColumn("day", F.to_date("event_time"))
+    days = features.per_page(edits, "exact", ("day", "page_title"))
     days.write.partitionBy("day").parquet(path)
     lake = sources.read_feature_lake(spark, path)
     model = detect.IsolationForest.fit(lake)

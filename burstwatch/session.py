@@ -25,6 +25,9 @@ def session(app_name: str = "burstwatch", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Window state of many pages outgrows the heap; RocksDB keeps it on disk.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # Checkpoint files go once nothing refers to them, also in long-running streams.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }

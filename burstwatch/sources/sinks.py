@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from burstwatch.operators import features
 
@@ -33,20 +33,33 @@ def topic_writer(
 
 
 def archive_edits(
-    events: DataFrame, path: str, checkpoint: str, every: str | None = "10 seconds"
-):
-    """Append decoded edits to the Parquet lake; ``every=None`` drains what is there and stops."""
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
-        events.writeStream.format("parquet").outputMode("append")
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = "10 seconds",
+    by_day: bool = False,
+) -> StreamingQuery:
+    """Append decoded edits to the Parquet lake; ``every=None`` drains what is there and stops.
+
+    ``by_day`` partitions the lake by the edit's UTC date, so that readers of a
+    span of time open only its days.
+    """
+    rows = events.withColumn("day", F.to_date(F.timestamp_seconds("timestamp"))) if by_day else events
+    writer = (
+        rows.writeStream.format("parquet").outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
+        .trigger(**trigger(every))
     )
+    return (writer.partitionBy("day") if by_day else writer).start()
+
+
+def trigger(every: str | None) -> dict:
+    """Run at an interval, or drain what is there and stop."""
+    return {"processingTime": every} if every else {"availableNow": True}
 
 
-def append_features(events: DataFrame, path: str, checkpoint: str):
+def append_features(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Aggregate each micro-batch per page into the feature lake, then stop.
 
     A batch owns its sub-folder and replaces it, so a batch that is run again

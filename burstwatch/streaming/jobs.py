@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -16,8 +17,9 @@ from pyspark.storagelevel import StorageLevel
 from burstwatch.operators import detect, features, news as news_ops, verify
 from burstwatch.operators.nearest import RETENTION
 from burstwatch.operators.ranking import first_per_key
+from burstwatch.schemas import NEWS_SCHEMA
 from burstwatch.sources.files import decode_toc, read_ngrams
-from burstwatch.sources.sinks import keyed_json
+from burstwatch.sources.sinks import keyed_json, trigger
 
 Writer = Callable[[DataFrame, int], None]
 Clock = Callable[[], datetime]
@@ -45,10 +47,6 @@ def topic_batch_writer(topic: str, servers: str) -> Writer:
     return write
 
 
-def _trigger(every: str | None) -> dict:
-    return {"processingTime": every} if every else {"availableNow": True}
-
-
 def score_edits(
     events: DataFrame,
     model: detect.IsolationForest,
@@ -80,7 +78,7 @@ def score_edits(
     return (
         scored.writeStream.foreachBatch(publish).outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
+        .trigger(**trigger(every))
         .start()
     )
 
@@ -126,7 +124,7 @@ def ingest_news(
     return (
         landed.writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
+        .trigger(**trigger(every))
         .start()
     )
 
@@ -141,41 +139,48 @@ def index_news(
 ) -> StreamingQuery:
     """Append embedded articles to the news index.
 
-    The index is a log partitioned by the hour of ``added_at``: a re-sent article
-    is one more row that hides the earlier one on reading, and expired hours are
-    never read. No batch rewrites what is already there. An article without id
-    gets a random key, so it hides nothing.
+    The index is a log laid out by the hour of ``added_at``: a re-sent article is
+    one more row that hides the earlier one on reading, and hours out of reach
+    are neither listed nor read. No batch rewrites what is already there. An
+    article without id gets a key of its own, so it hides nothing.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        rows = (
-            verify.embed_articles(batch, embedder)
-            .withColumn("article_key", F.coalesce("event_id", F.uuid()))
-            .withColumn("added_at", F.lit(clock()).cast("timestamp"))
-            .withColumn("hour", F.date_format("added_at", "yyyyMMddHH"))
-        )
-        rows.write.mode("overwrite").partitionBy("hour").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+        now = clock()
+        own_key = F.concat_ws(" ", F.lit(f"batch {batch_id} row"), F.monotonically_increasing_id())
+        rows = verify.embed_articles(
+            batch.withColumn("article_key", F.coalesce("event_id", own_key)), embedder
+        ).withColumns({"added_at": F.lit(now).cast("timestamp"), "batch": F.lit(batch_id)})
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/hour={_hour(now)}/part={batch_id}")
 
     return (
         articles.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
+        .trigger(**trigger(every))
         .start()
     )
 
 
+def _hour(instant: datetime) -> str:
+    return instant.astimezone(timezone.utc).strftime("%Y%m%d%H")
+
+
 def read_news_index(
     spark: SparkSession, path: str, now: datetime, retention: timedelta = RETENTION
 ) -> DataFrame:
     """Live articles at ``now``: the latest row per article among the hours in reach."""
     start = now - retention
-    hour = F.col("hour").cast("string")
-    rows = (
-        spark.read.parquet(path)
-        .filter(hour.between(start.strftime("%Y%m%d%H"), now.strftime("%Y%m%d%H")))
-        .filter(F.col("added_at").between(F.lit(start), F.lit(now)))
-    )
-    return first_per_key(rows, ["article_key"], [F.desc("added_at"), F.desc("batch")])
+    hours = int(retention / timedelta(hours=1)) + 2
+    names = sorted({_hour(min(start + timedelta(hours=h), now)) for h in range(hours)})
+    schema = f"{NEWS_SCHEMA}, article_key string, embedding array<float>, added_at timestamp, batch long"
+    try:
+        rows = spark.read.schema(schema).parquet(f"{path.rstrip('/')}/hour={{{','.join(names)}}}/part=*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schema)  # nothing was indexed within reach
+    live = rows.filter(F.col("added_at").between(F.lit(start), F.lit(now)))
+    return first_per_key(live, ["article_key"], [F.desc("added_at"), F.desc("batch")])
 
 
 def verify_anomalies(
@@ -210,6 +215,6 @@ def verify_anomalies(
     return (
         anomalies.writeStream.foreachBatch(judge)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
+        .trigger(**trigger(every))
         .start()
     )

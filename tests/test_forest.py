@@ -106,3 +106,22 @@ def test_exact_quantiles(spark, values):
     rows = spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double").repartition(3)
     have = exact_quantiles(rows, ["x"], wanted)["x"]
     assert have == pytest.approx(list(np.quantile([v for v in values if v is not None], wanted)))
+
+
+def test_train_from_history_and_lake(spark, tmp_path):
+    import json
+
+    from burstwatch import train
+
+    path = tmp_path / "history.jsonl"
+    path.write_text("\n".join(json.dumps({"title": f"P{i % 7}", "user": f"u{i % 5}", "byte_change": i * i, "timestamp": i * 300}) for i in range(200)))
+    model, rows = train(spark, history=str(path), model_path=str(tmp_path / "m1"))
+    assert rows.count() == 200 and model.sample == 200
+    rows.write.parquet(str(tmp_path / "lake"))
+    again, _ = train(spark, feature_lake=str(tmp_path / "lake"), model_path=str(tmp_path / "m2"))
+    assert again.offset == pytest.approx(model.offset)
+    assert detect.IsolationForest.load(spark, str(tmp_path / "m2")).sample == 200
+    with pytest.raises(ValueError):
+        train(spark)
+    with pytest.raises(FileNotFoundError):
+        train(spark, feature_lake=str(tmp_path / "none"))

@@ -41,6 +41,14 @@ def test_archive_resumes_without_duplicates(spark, tmp_path):
     assert archive(spark, tmp_path).count() == 2
 
 
+def test_archive_by_day(spark, tmp_path):
+    land(tmp_path / "in", "a.json", [edit(1, 10), edit(2, 86410)])
+    stream = sources.decode_edits(sources.text_stream(spark, str(tmp_path / "in")))
+    sinks.archive_edits(stream, str(tmp_path / "lake"), str(tmp_path / "cp"), every=None, by_day=True).awaitTermination()
+    lake = sources.read_edit_lake(spark, str(tmp_path / "lake"))
+    assert [r["event_id"] for r in lake.filter("day = '1970-01-02'").collect()] == ["e2"]
+
+
 def test_feature_lake_backfill(spark, tmp_path):
     land(tmp_path / "in", "a.json", [edit(1, 10), edit(2, 20), edit(3, 20, "Q")])
     for _ in range(2):  # the second run finds nothing new and writes nothing
@@ -142,6 +150,7 @@ def test_index_replaces_and_expires(spark, tmp_path):
 
     add("a.json", [news_record("k1", "first title"), news_record("k2", "old story"), news_record(None, "no id"), news_record(None, "no id"),
                    {"event_id": "k3", "title": " "}], NOW)
+    assert read_news_index(spark, index, NOW - timedelta(days=2)).count() == 0
     live = read_news_index(spark, index, NOW)
     assert live.count() == 4  # the two without id stay apart, the one without text is not indexed
     add("b.json", [news_record("k1", "second title")], NOW + timedelta(hours=20))
