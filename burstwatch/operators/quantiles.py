@@ -36,52 +36,60 @@ def exact_quantiles(
         for c in columns
         for i, q in enumerate(probabilities)
     ]
-    outside = _outside(values, brackets)
-    inside = _inside(values, brackets, outside)
+    placed = _against(values, columns, brackets)
+    outside = _outside(placed)
+    # A bracket of one value, as with many ties, needs no second look.
+    inside = _inside(placed, brackets, outside) if any(low < high for _, low, high, _ in brackets) else {}
     result: dict[str, list[float]] = {c: [] for c in columns}
-    for slot, (c, _, _, rank) in enumerate(brackets):
-        found, below = inside[slot], outside[f"below_{slot}"]
+    for slot, (c, only, _, rank) in enumerate(brackets):
+        around, edge = inside.get(slot, {"low": only, "high": only}), outside[slot]
         neighbours = []
-        for value, at in ((found["low"], math.floor(rank)), (found["high"], math.ceil(rank))):
-            if value is None:  # just outside the bracket
-                if at not in (below - 1, below + found["size"]):
-                    raise RuntimeError(f"quantile bracket of {c} missed rank {at}")
-                value = outside[f"prev_{slot}" if at < below else f"next_{slot}"]
-            neighbours.append(value)
+        for side, at in (("low", math.floor(rank)), ("high", math.ceil(rank))):
+            if edge["below"] <= at < edge["below"] + edge["size"]:
+                neighbours.append(around[side])
+            elif at in (edge["below"] - 1, edge["below"] + edge["size"]):
+                neighbours.append(edge["before"] if at < edge["below"] else edge["after"])
+            else:
+                raise RuntimeError(f"quantile bracket of {c} missed rank {at}")
         low, high = neighbours
         result[c].append(low + (high - low) * (rank - math.floor(rank)))
     return result
 
 
-def _outside(values: DataFrame, brackets: list[tuple]) -> Row:
-    """Per bracket: how many values lie below it, and the nearest value on either side."""
-    measures = []
-    for slot, (c, low, high, _) in enumerate(brackets):
-        below, above = F.col(c) < F.lit(low), F.col(c) > F.lit(high)
-        measures += [
-            F.count_if(below).alias(f"below_{slot}"),
-            F.max(F.when(below, F.col(c))).alias(f"prev_{slot}"),
-            F.min(F.when(above, F.col(c))).alias(f"next_{slot}"),
-        ]
-    return values.agg(*measures).first()
-
-
-def _inside(values: DataFrame, brackets: list[tuple], outside: Row) -> dict[int, Row]:
-    """Per bracket: its size and, where they lie in it, the values around the wanted rank."""
-    hits = F.filter(
-        F.array(*[
-            F.struct(
-                F.lit(slot).alias("slot"),
-                F.col(c).alias("value"),
-                F.col(c).between(low, high).alias("hit"),
-            )
-            for slot, (c, low, high, _) in enumerate(brackets)
-        ]),
-        lambda s: s["hit"],
+def _against(values: DataFrame, columns: Sequence[str], brackets: list[tuple]) -> DataFrame:
+    """Every value beside every bracket of its column: ``slot, low, high, value``.
+
+    Long rows instead of wide aggregates: the generated code stays small, and the
+    rows are combined per slot before any shuffle.
+    """
+    table = F.array(*[
+        F.struct(
+            F.lit(slot).alias("slot"), F.lit(columns.index(c)).alias("at"),
+            F.lit(low).alias("low"), F.lit(high).alias("high"),
+        )
+        for slot, (c, low, high, _) in enumerate(brackets)
+    ])
+    rows = values.select(F.array(*columns).alias("all"), F.inline(table))
+    return rows.select("slot", "low", "high", F.get("all", F.col("at")).alias("value"))
+
+
+def _outside(placed: DataFrame) -> dict[int, Row]:
+    """Per bracket: how many values lie below and in it, and the nearest value on either side."""
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+    found = placed.groupBy("slot").agg(
+        F.count_if(value < low).alias("below"),
+        F.count_if(value.between(low, high)).alias("size"),
+        F.max(F.when(value < low, value)).alias("before"),
+        F.min(F.when(value > high, value)).alias("after"),
     )
+    return {r["slot"]: r for r in found.collect()}
+
+
+def _inside(placed: DataFrame, brackets: list[tuple], outside: dict[int, Row]) -> dict[int, Row]:
+    """Per open bracket: the values at the two ranks around the wanted one."""
     counts = (
-        values.select(F.explode(hits).alias("s"))
-        .groupBy(F.col("s.slot").alias("slot"), F.col("s.value").alias("value"))
+        placed.filter("low < high AND value BETWEEN low AND high")
+        .groupBy("slot", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     upto = F.sum("n").over(Window.partitionBy("slot").orderBy("value"))
@@ -91,11 +99,9 @@ def _inside(values: DataFrame, brackets: list[tuple], outside: Row) -> dict[int,
         wanted = F.create_map(*[
             F.lit(x)
             for slot, (*_, rank) in enumerate(brackets)
-            for x in (slot, rounded(rank) - outside[f"below_{slot}"])
+            for x in (slot, rounded(rank) - outside[slot]["below"])
         ])[F.col("slot")]
         return F.max(F.when((F.col("start") <= wanted) & (wanted < F.col("end")), F.col("value")))
 
-    found = runs.groupBy("slot").agg(
-        F.max("end").alias("size"), at(math.floor).alias("low"), at(math.ceil).alias("high")
-    )
+    found = runs.groupBy("slot").agg(at(math.floor).alias("low"), at(math.ceil).alias("high"))
     return {r["slot"]: r for r in found.collect()}

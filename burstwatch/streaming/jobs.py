@@ -59,7 +59,8 @@ def score_edits(
 
     Window state holds counters and a fixed-size editor sketch only. Comments are
     looked up afterwards, in the archived edits (``lake``) of the flagged windows:
-    gathering them in the state would keep every comment of a hot page.
+    gathering them in the state would keep every comment of a hot page. A window
+    that changes is published again, then with what has been archived by that time.
     """
     scored = model.score(features.sliding(events))
 
