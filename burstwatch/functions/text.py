@@ -26,14 +26,13 @@ WHITE_SPACE = (
 )
 
 # The wiki markup that is recognised. "." stops at a line feed only.
-_SPACE = r"[\s\x1c-\x1f]"
-_REVERT_PREFIX = (
-    r"(?iU)^(?:Undid|Restored)_+revisions?_+\d+(?:_*(?:through|to|-)_*\d+)?"
-    r"_+by_+\[\[[^\]]*\]\](?:_*\(\[\[[^\]]*\]\]\))?_*:?_*"
-).replace("_", _SPACE)
-_SECTION = r"(?dU)/\*_*(.*?)_*\*/".replace("_", _SPACE)
-_LINK = r"\[\[(?:[^\]|]*\|)?([^\]]+)\]\]"
-_TEMPLATE = r"\{\{|\}\}|\|"
+REVERT_PREFIX = (
+    r"(?iU)^(?:Undid|Restored)\s+revisions?\s+\d+(?:\s*(?:through|to|-)\s*\d+)?"
+    r"\s+by\s+\[\[[^\]]*\]\](?:\s*\(\[\[[^\]]*\]\]\))?\s*:?\s*"
+)
+SECTION = r"(?dU)/\*\s*(.*?)\s*\*/"
+LINK = r"\[\[(?:[^\]|]*\|)?([^\]]+)\]\]"
+TEMPLATE = r"\{\{|\}\}|\|"
 
 # A token outside the jargon list: starts where no ASCII letter or digit
 # precedes, and is not exactly one of the words.
@@ -52,23 +51,31 @@ def blank_to_null(text: Column) -> Column:
 
 
 def clean_comment(comment: Column) -> Column:
-    """An edit comment without wiki markup; null reads as ""."""
-    text = strip(F.coalesce(comment, F.lit("")))
-    text = F.regexp_replace(text, _REVERT_PREFIX, "")
-    text = F.regexp_replace(text, _SECTION, "$1")
-    text = F.regexp_replace(text, _LINK, "$1")
-    text = F.regexp_replace(text, _TEMPLATE, " ")
-    return F.trim(F.regexp_replace(text, rf"(?U){_SPACE}+", " "))
+    """An edit comment without wiki markup; null reads as "".
+
+    The four ASCII separators count as white space, which Java's ``\\s`` leaves out.
+    """
+    text = F.translate(F.coalesce(comment, F.lit("")), "\x1c\x1d\x1e\x1f", "    ")
+    text = F.regexp_replace(strip(text), REVERT_PREFIX, "")
+    text = F.regexp_replace(text, SECTION, "$1")
+    text = F.regexp_replace(text, LINK, "$1")
+    text = F.regexp_replace(text, TEMPLATE, " ")
+    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
-def substantive_comment(comment: Column) -> Column:
-    """The cleaned comment, or null when no token of it carries content.
+def has_content(cleaned: Column) -> Column:
+    """Whether any token of a cleaned comment carries content.
 
     One regular expression instead of a token array keeps the test inside
     whole-stage codegen.
     """
+    return F.lower(cleaned).rlike(_CONTENT_TOKEN)
+
+
+def substantive_comment(comment: Column) -> Column:
+    """The cleaned comment, or null when no token of it carries content."""
     cleaned = clean_comment(comment)
-    return F.when(F.lower(cleaned).rlike(_CONTENT_TOKEN), cleaned)
+    return F.when(has_content(cleaned), cleaned)
 
 
 def anomaly_text(page_title: Column, recent_comments: Column) -> Column:

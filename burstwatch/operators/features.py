@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from burstwatch.functions.text import substantive_comment
+from burstwatch.functions.text import clean_comment, has_content
 from burstwatch.operators.ranking import ranked
 from burstwatch.session import broadcast_if_small, cut_lineage
+from burstwatch.sources.decode import once
 
 # Fixed values.
 WINDOW = "15 minutes"
@@ -102,9 +103,19 @@ def comment_sample(
 
     The cut comes before any list is built, so no list grows past ``n``.
     """
-    candidates = events.select(
-        *keys, *order, substantive_comment(F.col("comment")).alias("candidate")
-    ).filter(F.col("candidate").isNotNull())
+    return _first_texts(_candidates(events, [*keys, *order]), keys, n, order)
+
+
+def _candidates(events: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The edits with a substantive comment, cleaned once each, as ``candidate``."""
+    cleaned = once(F.struct(clean_comment(F.col("comment")).alias("candidate")))
+    return events.select(*columns, cleaned).filter(has_content(F.col("candidate")))
+
+
+def _first_texts(
+    candidates: DataFrame, keys: Sequence[str], n: int = SAMPLE_SIZE,
+    order: Sequence[str] = ("event_time", "event_id"),
+) -> DataFrame:
     chosen = ranked(candidates, keys, [F.col(c) for c in order], n)
     in_order = F.sort_array(F.collect_list(F.struct("rank", "candidate")))
     return chosen.groupBy(*keys).agg(
@@ -119,14 +130,22 @@ def attach_comments(
     """Add ``recent_comments`` to rows keyed by (window, page_title); "" where there is none.
 
     Meant for the few flagged windows: these are checkpointed and counted, and
-    when few enough they are broadcast, so that the edits are thinned to flagged
-    pages and windows before any comment is cleaned, ranked or shuffled.
+    when few enough they are broadcast. Edits are thinned by page and slide-long
+    pane first, so that only the edits of flagged windows are cleaned, once each,
+    before they are put into their windows and ranked.
     """
     keys = ["window", "page_title"]
     rows = cut_lineage(rows)
-    flagged = broadcast_if_small(rows.select(*keys).distinct())
-    windowed = events.withColumn("window", F.window("event_time", window, slide))
-    sample = comment_sample(windowed.join(flagged, keys, "left_semi"), keys)
+    flagged = rows.select(*keys).distinct()
+    step = F.expr(f"INTERVAL {slide}")
+    panes = F.explode(F.sequence(F.col("window.start"), F.col("window.end") - step, step)).alias("pane")
+    touched = broadcast_if_small(flagged.select("page_title", panes).distinct())
+    near = events.withColumn("pane", F.window("event_time", slide)["start"]).join(
+        touched, ["page_title", "pane"], "left_semi"
+    )
+    candidates = _candidates(near, ["page_title", "event_time", "event_id"])
+    windowed = candidates.withColumn("window", F.window("event_time", window, slide))
+    sample = _first_texts(windowed.join(broadcast_if_small(flagged), keys, "left_semi"), keys)
     return rows.join(sample, keys, "left").withColumn(
         "recent_comments", F.coalesce("recent_comments", F.lit(""))
     )
