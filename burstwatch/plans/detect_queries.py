@@ -53,7 +53,7 @@ def alerts(spark, folder):
 
 
 @query(ALERTS_SQL + """SELECT page_title AS key, to_json({page_title: page_title, window_start: window_start,
-  edit_count: edit_count, unique_editors: unique_editors, recent_comments: recent_comments}) AS value FROM alerts""")
+  edit_count: edit_count, unique_editors: unique_editors, recent_comments: recent_comments})::VARCHAR AS value FROM alerts""")
 def keyed_alerts(spark, folder):
     """Alerts as the key and JSON value a topic takes."""
     rows = alert_rows(spark, folder)
@@ -74,7 +74,7 @@ def _scaled_sql() -> str:
     for c in FEATURES:
         spread = f"(quantile_cont(CAST({c} AS DOUBLE), 0.75) OVER () - quantile_cont(CAST({c} AS DOUBLE), 0.25) OVER ())"
         middle = f"quantile_cont(CAST({c} AS DOUBLE), 0.5) OVER ()"
-        parts.append(f"round((CAST({c} AS DOUBLE) - {middle}) / CASE WHEN {spread} = 0 THEN 1 ELSE {spread} END, 6) AS {c}")
+        parts.append(f"round((CAST({c} AS DOUBLE) - {middle}) / CASE WHEN {spread} = 0 THEN 1 ELSE {spread} END, 6) + 0e0 AS {c}")
     return ", ".join(parts)
 
 

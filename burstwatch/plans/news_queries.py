@@ -65,7 +65,7 @@ def dedup_news(spark, folder):
     SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY toc_timestamp, pos) AS rn
     FROM articles WHERE language = 'en') WHERE rn = 1)
   SELECT event_id AS key, to_json({event_id: event_id, toc_id: toc_id, title: title, url: url,
-    image_url: image_url, snippet: coalesce(s.snippet, '')}) AS value
+    image_url: image_url, snippet: coalesce(s.snippet, '')})::VARCHAR AS value
   FROM one LEFT JOIN snippets s ON s.docid = one.toc_id AND s.toc_timestamp = one.toc_timestamp""")
 def news_events(spark, folder):
     """The whole news job on tables: snippets, normalizing, scope, first per URL, keyed JSON."""

@@ -299,7 +299,7 @@ def verdict_messages(spark: SparkSession, folder: str) -> DataFrame:
         F.when(number % 2 == 0, F.date_format(start, iso)).alias("gdelt_seen_at"),
         F.date_format(end, iso).alias("observed_at"),
     )
-    score = (F.lit(-0.001) * (number % 100)).alias("anomaly_score")
+    score = (F.lit(0.0) - F.lit(0.001) * (number % 100)).alias("anomaly_score")
     count = F.col("user_id").alias("edit_count")
 
     def message(matched, similarity, matched_article, closest):
@@ -401,10 +401,10 @@ SQL = {
         SELECT *, CASE event_type WHEN 'signup' THEN strftime(ws, '%Y-%m-%d %H:%M:%S') ELSE strftime(ws, {_ISO}) END AS window_start,
           CASE event_type WHEN 'signup' THEN strftime(we, '%Y-%m-%d %H:%M:%S') ELSE strftime(we, {_ISO}) END AS window_end,
           event_type IN ('purchase', 'signup') AS matched,
-          CASE event_type WHEN 'purchase' THEN 0.65 + (event_id % 35) / 100 WHEN 'view' THEN (event_id % 65) / 100
-            WHEN 'signup' THEN 0.7 END AS similarity_score,
+          CASE event_type WHEN 'purchase' THEN 0.65e0 + (event_id % 35) / 100 WHEN 'view' THEN (event_id % 65) / 100
+            WHEN 'signup' THEN 0.7e0 END AS similarity_score,
           strftime(date_trunc('second', ts), {_ISO}) AS evaluated_at,
-          -0.001 * (event_id % 100) AS anomaly_score,
+          0e0 - 0.001e0 * (event_id % 100) AS anomaly_score,
           event_type <> 'click' AS has_article,
           CASE WHEN event_type <> 'signup' THEN 'c' || event_id END AS recent_comments
         FROM (SELECT *, 'page_' || json_extract_string(props, '$.k') AS page_title,

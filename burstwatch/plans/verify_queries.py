@@ -48,7 +48,7 @@ def nearest_news_pruned(spark, folder):
 
 @query(with_("pairs") + """SELECT 'page_' || e.vec_id AS page_title,
   strftime(TIMESTAMP '2024-01-01' + to_minutes(10 * e.vec_id - 15), '%Y-%m-%dT%H:%M:%SZ') AS window_start,
-  coalesce(p.similarity >= 0.65, false) AS matched, round(p.similarity, 6) AS similarity_score, 0.65 AS similarity_threshold,
+  coalesce(p.similarity >= 0.65, false) AS matched, round(p.similarity, 6) AS similarity_score, 0.65e0 AS similarity_threshold,
   CASE WHEN p.similarity >= 0.65 THEN 'https://news.example.com/' || p.a END AS matched_url,
   CASE WHEN p.a IS NOT NULL THEN 'https://news.example.com/' || p.a END AS closest_url,
   '2024-02-01T00:00:00.000000Z' AS evaluated_at
@@ -141,7 +141,7 @@ _FLAT = with_("verdicts") + """, flat AS (
     CASE WHEN has_article THEN 'en' END AS news_language,
     CASE WHEN has_article AND event_type <> 'signup' THEN
       strftime(CASE WHEN event_id % 2 = 0 THEN ws ELSE we END, '%Y-%m-%dT%H:%M:%SZ') END AS news_seen_at,
-    similarity_score, CASE WHEN event_type <> 'signup' THEN 0.65 END AS similarity_threshold, matched,
+    similarity_score, CASE WHEN event_type <> 'signup' THEN 0.65e0 END AS similarity_threshold, matched,
     CASE WHEN matched THEN '✅ Verified' WHEN similarity_score IS NOT NULL THEN '⚠️ Below threshold'
       ELSE 'No matching article' END AS status, evaluated_at, we, recent_comments
   FROM verdicts)

@@ -48,8 +48,8 @@ def difference(frame, connection, sql: str, rows=None) -> str | None:
         return f"columns {have_columns} != {want_columns}"
     kinds = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
     for name, kind in frame.dtypes:
-        if kinds.get(types[name], kind) != kind:
-            print(f"  type of {name}: {kind} vs {types[name]}")
+        if kinds.get(types[name]) != kind:
+            return f"type of {name}: {kind} != {types[name]}"
     if len(have) != len(want):
         return f"{len(have)} rows != {len(want)}; only here {list(set(have) - set(want))[:2]}, only there {list(set(want) - set(have))[:2]}"
     for a, b in zip(have, want):
