@@ -1,9 +1,10 @@
 """Toxicity: a lexicon found through Levenshtein automata, and windows that weigh each find.
 
 The lexicon is learned: words that occur far more often in toxic than in other labelled
-texts. Its trie is intersected with the Levenshtein automaton of each allowed distance
-(one edit from five letters on, two from ten on); the product is made deterministic once, on
-the driver, as a table of at most a few thousand states. Tasks run every word of a batch
+texts, and stems of which toxic texts have two or more words far more often. The words' trie is
+intersected with the Levenshtein automaton of each allowed distance (one edit from five
+letters on, two from ten on; none in a stem, which any ending may follow); the product is made
+deterministic once, on the driver, as a table of at most a few thousand states. Tasks run every word of a batch
 through the table at the same time, one letter per step, and most words leave it after two
 or three letters.
 
@@ -15,6 +16,7 @@ The lexicon and the regression are fitted on at most ``sample`` labelled texts.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +33,10 @@ _CORE[128:] = True
 #: Bytes to either side of a find in which quotation marks are looked for, and words in a window.
 QUOTE_REACH, WINDOW = 120, 20
 _QUOTES = ('"'.encode(), "“".encode(), "”".encode(), "«".encode(), "»".encode(), "„".encode())
-FEATURES = 7
+FEATURES = 9
+#: Bytes of a stem.
+STEMS = range(5, 10)
+_CAUGHT = ((-1, 0),)  # a stem has been read: whatever follows is a find
 
 
 def allowed_edits(term: bytes) -> int:
@@ -48,13 +53,15 @@ class Automaton:
     longest: int
 
 
-def build(terms: list[bytes]) -> Automaton:
+def build(terms: list[bytes], stems: list[bytes] = ()) -> Automaton:
     """The deterministic product of the terms' trie and their Levenshtein automata (in bytes)."""
+    whole = set(stems)
     children: list[dict[int, int]] = [{}]
     ends: list[int] = [-1]  # edits allowed to the term that ends here
     reach: list[int] = [-1]  # most edits allowed to any term below
-    for term in sorted(set(terms)):
-        node, most = 0, allowed_edits(term)
+    stem_ends: set[int] = set()
+    for term, most in sorted({(t, allowed_edits(t)) for t in terms} | {(t, 0) for t in whole}):
+        node = 0
         reach[0] = max(reach[0], most)
         for byte in term:
             if byte not in children[node]:
@@ -64,8 +71,10 @@ def build(terms: list[bytes]) -> Automaton:
                 reach.append(-1)
             node = children[node][byte]
             reach[node] = max(reach[node], most)
-        ends[node] = most
-    letters = sorted({b for term in terms for b in term})
+        ends[node] = max(ends[node], most)
+        if term in whole:
+            stem_ends.add(node)
+    letters = sorted({b for term in [*terms, *whole] for b in term})
     classes = np.zeros(256, np.int64)
     classes[letters] = np.arange(1, len(letters) + 1)
 
@@ -79,14 +88,17 @@ def build(terms: list[bytes]) -> Automaton:
                 continue
             best[node] = edits
             stack += [(child, edits + 1) for child in children[node].values()]
+        if any(edits == 0 and node in stem_ends for node, edits in best.items()):
+            return _CAUGHT
         return tuple(sorted(best.items()))
 
     start = closed({0: 0})
-    known, order, rows = {(): 0, start: 1}, [(), start], [[0] * (len(letters) + 1)]
+    known, order = {(): 0, start: 1, _CAUGHT: 2}, [(), start, _CAUGHT]
+    rows = [[0] * (len(letters) + 1)]
     at = 1
     while at < len(order):
-        row = []
-        for letter in [None, *letters]:
+        row = [2] * (len(letters) + 1) if at == 2 else []
+        for letter in [None, *letters] if at != 2 else []:
             after: dict[int, int] = {}
             for node, edits in order[at]:
                 after[node] = min(after.get(node, 99), edits + 1)  # a letter too many
@@ -99,8 +111,9 @@ def build(terms: list[bytes]) -> Automaton:
             row.append(known[target])
         rows.append(row)
         at += 1
-    edits = [min((e for n, e in state if 0 <= e <= ends[n]), default=-1) for state in order]
-    return Automaton(classes, np.array(rows, np.int32), np.array(edits, np.int8), max(map(len, terms), default=0) + 2)
+    edits = [0 if state == _CAUGHT else min((e for n, e in state if e <= ends[n]), default=-1) for state in order]
+    longest = max(map(len, [*terms, *whole]), default=0) + 2
+    return Automaton(classes, np.array(rows, np.int32), np.array(edits, np.int8), longest)
 
 
 def cores(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -122,7 +135,7 @@ def found_terms(chunk: Chunk, automaton: Automaton) -> tuple[np.ndarray, np.ndar
     begin, end, text, place = cores(chunk) if len(chunk.data) else [np.zeros(0, np.int64)] * 4
     size = end - begin
     edits = np.full(len(begin), -1, np.int8)
-    active = np.flatnonzero(size <= automaton.longest)
+    active = np.arange(len(begin))
     state = np.ones(len(active), np.int32)
     for step in range(automaton.longest):
         if not len(active):
@@ -132,12 +145,14 @@ def found_terms(chunk: Chunk, automaton: Automaton) -> tuple[np.ndarray, np.ndar
         edits[active[over]] = automaton.edits[state[over]]
         going = ~over & (state > 0)
         active, state = active[going], state[going]
+    edits[active[state == 2]] = 0  # longer than any term, but begun with a stem
     hit = np.flatnonzero(edits >= 0)
     return begin[hit], text[hit], place[hit], edits[hit]
 
 
 def features(chunk: Chunk, automaton: Automaton) -> np.ndarray:
-    """A row per text: exact plain, exact quoted, near plain, near quoted (log counts), any, density, densest window."""
+    """A row per text: exact plain, exact quoted, near plain, near quoted (log counts), any, density, densest window,
+    two or more, three or more."""
     rows = np.zeros((len(chunk), FEATURES))
     at, text, place, edits = found_terms(chunk, automaton)
     if not len(at):
@@ -157,12 +172,14 @@ def features(chunk: Chunk, automaton: Automaton) -> np.ndarray:
     rows[:, 4] = words > 0
     rows[:, 5] = np.log1p(1000 * words / size)
     rows[:, 6] = np.log1p(rows[:, 6])
+    rows[:, 7], rows[:, 8] = words >= 2, words >= 3
     return rows
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
     terms: tuple[bytes, ...]
+    stems: tuple[bytes, ...]
     automaton: Automaton
     weights: np.ndarray
     bias: float
@@ -185,36 +202,42 @@ def _featured(automaton: Automaton):
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, whether toxic, texts) of each task's texts."""
-    counts: dict[tuple[bytes, int], int] = {}
+    """(word or stem, which of them, whether toxic, texts) of each task's texts; a stem counts where two words have it."""
+    counts: dict[tuple[bytes, bool, int], int] = {}
     for batch in batches:
         for chunk in chunks(batch.column(1)):
             toxic = batch.column(0).slice(chunk.first, len(chunk)).to_pylist()
             raw = chunk.data.tobytes()
             begin, end, text, _ = cores(chunk) if len(chunk.data) else [np.zeros(0, np.int64)] * 4
-            seen: dict[int, set[bytes]] = {}
-            for a, b, t in zip(begin.tolist(), end.tolist(), text.tolist()):
-                seen.setdefault(t, set()).add(raw[a:b])
-            for t, words in seen.items():
-                for word in words:
-                    counts[word, toxic[t]] = counts.get((word, toxic[t]), 0) + 1
+            bounds = np.searchsorted(text, np.arange(len(chunk) + 1))
+            for t in range(len(chunk)):
+                own = slice(bounds[t], bounds[t + 1])
+                words = [raw[a:b] for a, b in zip(begin[own].tolist(), end[own].tolist())]
+                stems = Counter(w[:k] for w in words for k in STEMS if len(w) >= k)
+                for word in set(words):
+                    counts[word, False, toxic[t]] = counts.get((word, False, toxic[t]), 0) + 1
+                for stem, n in stems.items():
+                    if n >= 2:
+                        counts[stem, True, toxic[t]] = counts.get((stem, True, toxic[t]), 0) + 1
     keys = list(counts)
     yield pa.RecordBatch.from_arrays([
-        pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.int32()),
-        pa.array([counts[k] for k in keys], pa.int64()),
-    ], names=["word", "toxic", "n"])
+        pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.bool_()),
+        pa.array([k[2] for k in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64()),
+    ], names=["word", "stem", "toxic", "n"])
 
 
 def fit(
     documents: DataFrame, labels: DataFrame, training: Column, text: str = "text", doc_id: str = "doc_id",
     toxic: str = "toxic", sample: int = 20_000, terms: int = 100, ratio: float = 20.0, share: float = 0.06,
+    stem_ratio: float = 8.0, stem_share: float = 0.03,
 ) -> ToxicityModel:
     """Learn from the labelled rows for which ``training`` (over ``doc_id``) holds.
 
     At most ``sample`` labels are used, chosen by a hash of the id, and each different text
     once. A term is a word in at least ``share`` of the toxic texts (and four) and at least
-    ``ratio`` times as frequent there; the ``terms`` most telling are kept. Null labels and
-    texts teach nothing; with no labels every score is one half.
+    ``ratio`` times as frequent there; for stems the bounds are ``stem_share`` and
+    ``stem_ratio``, and no stem begins another. The ``terms`` most telling of either are kept.
+    Null labels and texts teach nothing; with no labels every score is one half.
     """
     with_workers(documents)
     known = labels.where(F.col(toxic).isNotNull()).select(
@@ -227,23 +250,29 @@ def fit(
     rows = rows.select("toxic", "text").persist()
     size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = size.get(1, 0), size.get(0, 0)
-    counted = rows.mapInArrow(_words, "word binary, toxic int, n long").groupBy("word").agg(
+    counted = rows.mapInArrow(_words, "word binary, stem boolean, toxic int, n long").groupBy("word", "stem").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"),
         F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("n"))).alias("c"),
     )
     telling = (F.col("t") + 0.5) / (n_toxic + 1) / ((F.col("c") + 0.5) / (n_clean + 1))
-    best = counted.where((F.col("t") >= max(4.0, share * n_toxic)) & (telling >= ratio) & (F.length("word") >= 3))
-    found = best.orderBy((F.col("t") * F.log(telling)).desc(), "word").limit(terms).collect()
+    least = lambda s, r: (F.col("t") >= max(4.0, s * n_toxic)) & (telling >= r) & (F.length("word") >= 3)
+    ordered = [(F.col("t") * F.log(telling)).desc(), F.length("word").desc(), "word"]
+    found = counted.where(~F.col("stem") & least(share, ratio)).orderBy(*ordered).limit(terms).collect()
     lexicon = tuple(bytes(r["word"]) for r in found)
-    automaton = build(list(lexicon))
+    stems: list[bytes] = []
+    for r in counted.where(F.col("stem") & least(stem_share, stem_ratio)).orderBy(*ordered).limit(10 * terms).collect():
+        stem = bytes(r["word"])
+        if not any(stem.startswith(x) or x.startswith(stem) for x in stems) and len(stems) < terms:
+            stems.append(stem)
+    automaton = build(list(lexicon), stems)
     fields = "toxic int, " + ", ".join(f"f{i} double" for i in range(FEATURES))
     table = rows.mapInArrow(_featured(automaton), fields).toPandas() if n_toxic + n_clean else None
     rows.unpersist()
     if table is None:
-        return ToxicityModel(lexicon, automaton, np.zeros(FEATURES), 0.0)
+        return ToxicityModel(lexicon, tuple(stems), automaton, np.zeros(FEATURES), 0.0)
     table = table.sort_values(list(table.columns))
     weights, bias = _regression(table.iloc[:, 1:].to_numpy(), table["toxic"].to_numpy())
-    return ToxicityModel(lexicon, automaton, weights, bias)
+    return ToxicityModel(lexicon, tuple(stems), automaton, weights, bias)
 
 
 def _regression(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, float]:
