@@ -16,7 +16,6 @@ ARTICLE_NAMESPACE = 0
 REQUIRED_HISTORY = {
     "page_title": ("page_title", "title", "page"),
     "user": ("user", "user_name"),
-    "byte_change": ("byte_change", "old_length", "oldlen"),
     "timestamp": ("timestamp", "ts", "time"),
 }
 
@@ -78,6 +77,21 @@ def _truth(flag: Column) -> Column:
     )
 
 
+def require_history(records: DataFrame) -> DataFrame:
+    """The records, if each required field has a value in some record under some spelling; one aggregate."""
+    have = set(records.columns)
+
+    def given(names: tuple[str, ...]) -> Column:
+        known = [F.col(n).isNotNull() for n in names if n in have]
+        return F.coalesce(F.bool_or(F.greatest(*known) if len(known) > 1 else known[0]), F.lit(False)) if known else F.lit(False)
+
+    found = records.agg(*[given(names).alias(name) for name, names in REQUIRED_HISTORY.items()]).first()
+    missing = sorted(name for name in REQUIRED_HISTORY if not found[name])
+    if missing:
+        raise ValueError(f"Historical data is missing required columns: {missing}")
+    return records
+
+
 def normalize_history(records: DataFrame) -> DataFrame:
     """History records under one set of names.
 

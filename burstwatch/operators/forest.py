@@ -1,6 +1,6 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) as Spark jobs.
 
-Training shuffles a thinned sample by tree and grows every tree in its own
+Training draws each tree's sample from all rows and grows every tree in its own
 group; scoring sends Arrow batches through the grown trees. The trees are the
 only thing that is shipped to every task: at most ``trees * (2 * sample - 1)``
 nodes, whatever the size of the data.
@@ -35,8 +35,8 @@ DEFAULT_MODEL_PATH = "models/anomaly_detector"
 # Thinning keeps this many times the sample per tree, so that the exact cut to
 # the sample size practically never runs short.
 THINNING = 4
-# Trees draw from a common pool of at most this many times all samples together.
-POOL = 32
+# Equal rows are counted once and told apart by number, in runs of this length.
+RUN = 4096
 EULER_GAMMA = 0.5772156649015329
 
 NODE_SCHEMA = (
@@ -102,13 +102,12 @@ class IsolationForest:
     ) -> "IsolationForest":
         """Grow ``trees`` on ``sample`` rows each and set the cut-off.
 
-        Rows are picked per tree by a hash of their content, so the result does
-        not depend on partitioning. The cut-off is the ``contamination`` quantile
+        Rows are picked per tree by a hash of their content and their number among
+        equal rows, so the result does not depend on partitioning and a row that
+        makes up a share of the data makes up that share of each sample. The cut-off is the ``contamination`` quantile
         of the training scores: that share of the training rows scores below 0.
         """
-        data = rows.select(
-            *_inputs(), F.xxhash64(F.lit(seed), *[F.col(c) for c in _hashable(rows)]).alias("row_key")
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        data = rows.select(*_inputs()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             count = data.count()
             if count == 0:
@@ -116,6 +115,8 @@ class IsolationForest:
             size = min(sample, count)
             grown = _grow_trees(data, count, trees, size, seed)
             nodes = grown.toPandas().sort_values(["tree", "node"], ignore_index=True)
+            if nodes["tree"].nunique() != trees:
+                raise RuntimeError(f"only {nodes['tree'].nunique()} of {trees} trees were grown")
             model = cls(nodes, size, 0.0, contamination, seed)
             scored = data.select(model.score_column().alias("score")).persist(StorageLevel.MEMORY_AND_DISK)
             try:
@@ -173,29 +174,29 @@ def _inputs() -> list[Column]:
     return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES]
 
 
-def _hashable(rows: DataFrame) -> list[str]:
-    return [f.name for f in rows.schema if f.dataType.typeName() not in ("map", "variant")]
-
-
 def _grow_trees(data: DataFrame, count: int, trees: int, size: int, seed: int) -> DataFrame:
     """Node rows of every tree.
 
-    One hash per row thins the rows to a pool. A pool row belongs to a tree's
-    sample when its hash with the tree's number falls under the thinning rate; the
-    tree then takes the ``size`` smallest hashes. All of this is decided per row,
-    and about ``THINNING * size * trees`` rows in total go through the shuffle.
+    Equal rows are counted first, and their copies numbered again in runs that are
+    dealt over the tasks, so that a row that fills a third of the data is no hot key.
+    A copy may be in a tree's sample when its hash with the tree's number falls under
+    the thinning rate; the tree then takes the ``size`` smallest hashes. About
+    ``THINNING * size * trees`` rows in total are shuffled by tree.
     """
     space = 2**31
-    pool_rate = min(1.0, POOL * size * trees / count)
-    rate = min(1.0, THINNING * size / (count * pool_rate))
+    rate = min(1.0, THINNING * size / count)
 
     def draw(*number: Column) -> Column:
         return F.pmod(F.xxhash64("row_key", *number), F.lit(space))
 
-    pool = data.filter(draw() < F.lit(int(pool_rate * space)))
+    counted = data.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("copies"))
+    runs = counted.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / RUN))).alias("run"))
+    first, last = F.col("run") * RUN, F.least("copies", (F.col("run") + 1) * RUN) - 1
+    copies = runs.repartition(*FEATURES, "run").select(*FEATURES, F.explode(F.sequence(first, last)).alias("copy"))
+    keyed = copies.withColumn("row_key", F.xxhash64(F.lit(seed), *FEATURES, "copy"))
     numbers = F.sequence(F.lit(0), F.lit(trees - 1))
     members = F.filter(numbers, lambda tree: draw(tree) < F.lit(int(rate * space)))
-    drawn = pool.select("*", F.explode(members).alias("tree"))
+    drawn = keyed.select("*", F.explode(members).alias("tree"))
     drawn = drawn.withColumn("draw", draw(F.col("tree")))
     ties = [F.col(c) for c in ("draw", "row_key", *FEATURES)]
     chosen = ranked(drawn, ["tree"], ties, size)
@@ -203,6 +204,8 @@ def _grow_trees(data: DataFrame, count: int, trees: int, size: int, seed: int) -
 
     def grow(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
+        if len(group) < size:
+            raise RuntimeError(f"tree {tree} drew {len(group)} of {size} rows")
         points = group.sort_values("rank")[list(FEATURES)].to_numpy(dtype=np.float64)
         nodes = _grow(points, height, np.random.default_rng([seed, tree]))
         table = pd.DataFrame(nodes, columns=["feature", "threshold", "left", "path"])

@@ -23,13 +23,16 @@ from datetime import timedelta
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from burstwatch.session import broadcast_if_small, cut_lineage
 
 # Fixed value: how long an article stays matchable.
 RETENTION = timedelta(hours=24)
 
+# After every instant there is.
+FOREVER = 2**63 - 1
+
 # An interval covers this many buckets, give or take one.
 BUCKETS_PER_INTERVAL = 4
 # Rows per block; 16384 vectors of 384 doubles are 50 MB.
@@ -70,6 +73,10 @@ def nearest_news(
     ``article`` (the article's other columns as a struct), both null without a
     candidate. Equal similarities go to the smaller key.
 
+    Of an article that was added again, only the latest row by the time an anomaly
+    was handled is a candidate, and one of those added at the same time. Articles
+    without a key are articles of their own.
+
     Anomalies are told apart by a digest of vector and time: equal ones have
     equal answers, and the digest is the same when a lost task is run again.
     Both inputs are read several times and therefore checkpointed; pass
@@ -86,12 +93,18 @@ def nearest_news(
         .select("q_id", F.col(vector).alias("v"), F.unix_micros(at).alias("t"))
         .dropDuplicates(["q_id"])
     )
-    articles = news.filter(F.col(vector).isNotNull() & F.col(added).isNotNull()).select(
-        F.col(key).cast("string").alias("key"),
+    row = F.md5(F.to_json(F.struct(*news.columns)))
+    listed = news.filter(F.col(vector).isNotNull() & F.col(added).isNotNull()).select(
+        F.coalesce(F.col(key).cast("string"), row).alias("key"),
+        row.alias("row"),
         F.col(vector).alias("v"),
         F.unix_micros(added).alias("t"),
-        F.floor(F.unix_micros(added) / width).alias("bucket"),
     )
+    # A row counts until the next one of its key; of one instant the first by content counts.
+    following = Window.partitionBy("key").orderBy("t", F.desc("row"))
+    articles = listed.withColumn("until", F.coalesce(F.lead("t").over(following), F.lit(FOREVER))).filter(
+        "until > t"
+    ).withColumn("bucket", F.floor(F.col("t") / width))
     if pivots is None:
         busiest = articles.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
         pivots = min(MAX_PIVOTS, busiest // article_block)
@@ -109,15 +122,12 @@ def nearest_news(
 
     winner = (
         best.groupBy("q_id")
-        .agg(F.min(F.struct((-F.col("score")).alias("s"), "key", "article_t")).alias("w"))
-        .select("q_id", (-F.col("w.s")).alias("similarity_score"), "w.key", "w.article_t")
+        .agg(F.min(F.struct((-F.col("score")).alias("s"), "key", "row")).alias("w"))
+        .select("q_id", (-F.col("w.s")).alias("similarity_score"), "w.row")
     )
-    payload = news.select(
-        F.col(key).cast("string").alias("key"),
-        F.unix_micros(added).alias("article_t"),
-        F.struct(*[c for c in news.columns if c != vector]).alias("article"),
-    )
-    found = winner.join(payload, ["key", "article_t"]).drop("key", "article_t")
+    payload = news.select(row.alias("row"), F.struct(*[c for c in news.columns if c != vector]).alias("article"))
+    wanted = payload.join(winner.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"])
+    found = winner.join(wanted, "row").drop("row")
     return asked.join(found, "q_id", "left").drop("q_id")
 
 
@@ -183,7 +193,7 @@ class _Search:
         self.keep, self.article_block, self.anomaly_block = keep, article_block, anomaly_block
 
     def best(self, visits: DataFrame, articles: DataFrame) -> DataFrame:
-        """Rows ``q_id, score, key, article_t``: one per anomaly and article block with a candidate.
+        """Rows ``q_id, score, key, row``: one per anomaly and article block with a candidate.
 
         How many blocks a cell is cut into comes from its measured sizes, one row
         per cell.
@@ -191,12 +201,12 @@ class _Search:
         def count_blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
             return rows.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
 
-        def spread(rows: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str):
+        def spread(rows: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str, *more: str):
             return (
                 rows.join(shape, CELL)
                 .withColumn(own, F.pmod(F.xxhash64(key), F.col(n_own)).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
-                .select(*BLOCK, key, "v", "t")
+                .select(*BLOCK, key, "v", "t", *more)
             )
 
         shape = broadcast_if_small(cut_lineage(
@@ -205,28 +215,31 @@ class _Search:
             )
         ))
         left = spread(visits, "q_id", "anomaly_block", "n_anomaly", "article_block", "n_article")
-        right = spread(articles, "key", "article_block", "n_article", "anomaly_block", "n_anomaly")
+        right = spread(
+            articles, "row", "article_block", "n_article", "anomaly_block", "n_anomaly", "key", "until"
+        )
         keep = self.keep
 
         def match(asked: pa.Table, listed: pa.Table) -> pa.Table:
             return _best_in_block(asked, listed, keep)
 
         return left.groupBy(*BLOCK).cogroup(right.groupBy(*BLOCK)).applyInArrow(
-            match, "q_id string, score double, key string, article_t long"
+            match, "q_id string, score double, key string, row string"
         )
 
 
 def _best_in_block(asked: pa.Table, listed: pa.Table, keep: int) -> pa.Table:
-    listed = listed.sort_by("key")  # the first of equal maxima is then the smaller key
+    # the first of equal maxima is then the smaller key
+    listed = listed.sort_by([("key", "ascending"), ("row", "ascending")])
     q, q_t = _unit(_matrix(asked)), asked["t"].to_numpy()
-    n, n_t = _unit(_matrix(listed)), listed["t"].to_numpy()
+    n, n_t, n_until = _unit(_matrix(listed)), listed["t"].to_numpy(), listed["until"].to_numpy()
     scores, rows = np.full(len(q), -np.inf), np.zeros(len(q), dtype=np.int64)
     if len(n):
         for start in range(0, len(q), TILE):
             tile = slice(start, start + TILE)
             similarity = q[tile] @ n.T
             t = q_t[tile, None]
-            similarity[(n_t > t) | (n_t < t - keep) | np.isnan(similarity)] = -np.inf
+            similarity[(n_t > t) | (n_until <= t) | (n_t < t - keep) | np.isnan(similarity)] = -np.inf
             rows[tile] = similarity.argmax(axis=1)
             scores[tile] = similarity.max(axis=1)
     hit = np.flatnonzero(scores > -np.inf)
@@ -235,7 +248,7 @@ def _best_in_block(asked: pa.Table, listed: pa.Table, keep: int) -> pa.Table:
         "q_id": asked["q_id"].take(pa.array(hit)),
         "score": pa.array(scores[hit]),
         "key": chosen["key"],
-        "article_t": chosen["t"],
+        "row": chosen["row"],
     })
 
 

@@ -124,7 +124,14 @@ def prune_ledger(ledger: DataFrame, now: datetime, keep_minutes: int = LEDGER_MI
 
 
 def assemble(toc: DataFrame, ngrams: DataFrame, languages: Sequence[str] = ()) -> DataFrame:
-    """Article events of the given minutes: snippets joined, normalized, in scope, first per URL."""
-    snippets = build_snippets(ngrams, ("toc_timestamp", "docid"))
-    articles = normalize(attach_snippets(toc, snippets), keep=("pos",))
-    return dedup(in_languages(articles, languages)).drop("pos")
+    """Article events of the given minutes: normalized, in scope, first per URL, with their snippets.
+
+    Quadgrams are counted for the articles that are left, and only for those.
+    """
+    articles = dedup(in_languages(normalize(toc.drop("snippet"), keep=("pos",)), languages)).drop("pos")
+    asked = articles.select("toc_timestamp", F.col("toc_id").alias("docid")).distinct()
+    snippets = build_snippets(ngrams.join(asked, ["toc_timestamp", "docid"], "left_semi"), ("toc_timestamp", "docid"))
+    own = articles.drop("snippet").join(
+        snippets.withColumnRenamed("docid", "toc_id"), ["toc_timestamp", "toc_id"], "left"
+    ).withColumn("snippet", F.coalesce("snippet", F.lit("")))
+    return own.select(*articles.columns)

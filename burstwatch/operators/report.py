@@ -17,8 +17,6 @@ from burstwatch.operators.ranking import first_per_key
 TOP = 10
 LATEST = 100
 TAIL = 400
-ANOMALY_TAIL = 2000
-VERDICT_TAIL = 5000
 NEWS_TAIL = 25
 ACTIVITY_HOURS = 6
 VERDICT_KEY = (
@@ -137,8 +135,11 @@ def fill_last_edit(anomalies: DataFrame, edits: DataFrame) -> DataFrame:
         present = column in anomalies.columns
         return parse_window_time(F.col(column)) if present else F.lit(None).cast("timestamp")
 
+    # Only pages of anomalies without a time of their own need a look into the lake.
+    open_pages = anomalies.filter(parsed("last_edit_time").isNull()).select("page_title").distinct()
     last = (
         edits.filter("page_title IS NOT NULL AND event_time IS NOT NULL")
+        .join(open_pages, "page_title", "left_semi")
         .groupBy("page_title")
         .agg(F.max("event_time").alias("page_last_edit"))
     )

@@ -10,7 +10,7 @@ from burstwatch.operators import detect, edits, features
 
 def history_features(spark: SparkSession, path: str) -> DataFrame:
     """Features per (15-minute window, page) of a history file or folder."""
-    records = edits.normalize_history(sources.read_history(spark, path))
+    records = edits.normalize_history(edits.require_history(sources.read_history(spark, path)))
     return features.tumbling(edits.with_event_time(records))
 
 

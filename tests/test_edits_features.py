@@ -112,3 +112,15 @@ def test_group_limit_runs_before_the_shuffle(spark):
     rows = spark.range(100).withColumn("k", F.col("id") % 3)
     plan = ranked(rows.repartition(4), ["k"], [F.col("id")], 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_required_fields_are_checked_on_the_data(spark):
+    import pytest
+
+    from burstwatch.operators import edits
+
+    records = spark.createDataFrame([("A", None, 1), ("B", None, 2)], "title string, user string, ts long")
+    with pytest.raises(ValueError, match="user"):
+        edits.require_history(records)
+    sizeless = spark.createDataFrame([("A", "u", 1)], "title string, user string, ts long")
+    assert edits.normalize_history(edits.require_history(sizeless)).first().byte_change == 0

@@ -125,3 +125,29 @@ def test_train_from_history_and_lake(spark, tmp_path):
         train(spark)
     with pytest.raises(FileNotFoundError):
         train(spark, feature_lake=str(tmp_path / "none"))
+
+
+def test_repeated_rows_leave_no_tree_out(spark):
+    """40 % equal rows: all trees are grown, and the same ones however the rows are dealt."""
+    from burstwatch.operators import forest
+    from burstwatch.schemas import FEATURES
+
+    rows = spark.range(20_000).selectExpr(*[
+        f"if(id % 5 < 2, 1.0D, rand({i + 3}) + 2) as {c}" for i, c in enumerate(FEATURES)
+    ])
+    size = forest.SAMPLE
+    data = rows.select(*forest._inputs())
+    grown = forest._grow_trees(data, 20_000, 10, size, 1).toPandas()
+    assert grown.tree.nunique() == 10
+    again = forest._grow_trees(data.repartition(7), 20_000, 10, size, 1).toPandas()
+    key = ["tree", "node"]
+    assert grown.sort_values(key, ignore_index=True).equals(again.sort_values(key, ignore_index=True))
+
+
+def test_few_different_rows_still_give_every_tree(spark):
+    from burstwatch.schemas import FEATURES
+
+    rows = spark.range(20_000).selectExpr(*[f"cast(id % 20 as double) as {c}" for c in FEATURES])
+    model = detect.IsolationForest.fit(rows, trees=20)
+    assert model.nodes.tree.nunique() == 20
+    assert (model.nodes.groupby("tree").size() > 1).all()
