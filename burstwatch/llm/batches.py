@@ -15,6 +15,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
+from burstwatch.llm.shared import BITS
+
 #: Bytes and rows of text handled at once; one longer text is handled alone.
 CHUNK, ROWS = 2_000_000, 4096
 
@@ -129,3 +131,9 @@ def summed(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums modulo 2**64 of the values between successive bounds."""
     totals = np.concatenate([np.zeros(1, U), np.cumsum(values, dtype=U)])
     return totals[bounds[1:]] - totals[bounds[:-1]]
+
+
+def marked(array: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash's bit is set in an array of :func:`burstwatch.llm.shared.bit_array`."""
+    at = (hashes >> U(64 - BITS)).astype(np.int64)
+    return (np.frombuffer(array, np.uint8)[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

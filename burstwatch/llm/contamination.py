@@ -22,12 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from burstwatch.llm.batches import U, chunks, shingle_sets
-from burstwatch.llm.shared import fresh, stored, with_workers
-
-#: log2 of the bits of each of the two arrays that go to the tasks (2 MB each).
-BITS = 24
-
+from burstwatch.llm.batches import chunks, marked, shingle_sets
+from burstwatch.llm.shared import bit_array, fresh, stored, with_workers
 
 def _partition_of(size: int) -> int:
     """The largest size in the partition of items that holds ``size``."""
@@ -64,13 +60,6 @@ def _texts(chunk) -> list[bytes]:
     return [raw[a:b] for a, b in zip(chunk.offsets[:-1].tolist(), chunk.offsets[1:].tolist())]
 
 
-def _marked(arrays: bytes, hashes: np.ndarray) -> np.ndarray:
-    """Whether each hash's bit is set."""
-    bits = np.frombuffer(arrays, np.uint8)
-    at = (hashes >> U(64 - BITS)).astype(np.int64)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
 def _hits(widths: list[int], sketch: bytes, whole: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,9 +69,9 @@ def _hits(widths: list[int], sketch: bytes, whole: bytes):
                     found, bounds = shingle_sets(chunk, width)
                     text = np.repeat(np.arange(len(chunk)), np.diff(bounds))
                     candidate = np.zeros(len(chunk), dtype=bool)
-                    candidate[text[_marked(sketch, found)]] = True
+                    candidate[text[marked(sketch, found)]] = True
                     kept = candidate[text]
-                    kept[kept] = _marked(whole, found[kept])
+                    kept[kept] = marked(whole, found[kept])
                     docs.append(text[kept])
                     hashes.append(found[kept])
                 row = batch.column(0).slice(chunk.first, len(chunk))
@@ -94,18 +83,6 @@ def _hits(widths: list[int], sketch: bytes, whole: bytes):
     return run
 
 
-def _bit_array(hashes: DataFrame) -> bytes:
-    """Set bits of a fixed-size array, or-ed together on the executors a byte at a time."""
-    at = F.expr(f"shiftrightunsigned(shingle, {64 - BITS})")
-    rows = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 3).alias("byte")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(at & 7 as int))")).alias("bits")
-    )
-    array = np.zeros(1 << (BITS - 3), np.uint8)
-    for row in rows.toLocalIterator():
-        array[row["byte"]] = row["bits"]
-    return array.tobytes()
-
-
 def contained_items(
     documents: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id",
     item_text: str = "text", item_id: str = "item_id", width: int = 5, percent: int = 80,
@@ -129,7 +106,7 @@ def contained_items(
     widths = sorted(r[0] for r in shingles.select("n_shingle_words").distinct().collect())  # at most ``width``
     doc_kind = documents.schema[doc_id].dataType.simpleString()
     hits = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).mapInArrow(
-        _hits(widths or [width], _bit_array(shingles.where("sketch")), _bit_array(shingles)),
+        _hits(widths or [width], bit_array(shingles.where("sketch"), "shingle"), bit_array(shingles, "shingle")),
         f"doc {doc_kind}, shingle long",
     )
     # an item row's shingles; several rows of one id add up

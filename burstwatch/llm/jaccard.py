@@ -13,7 +13,7 @@ least ``percent`` / 100. The join is exact and has no cap:
 3. In a tile, bit counts of 1024-bit parity signatures bound the difference from below
    and so the overlap from above; what may reach the threshold is verified exactly by
    intersecting the sorted hash arrays.
-4. Each set is compared with three leaders of its tile first. After that only members
+4. Each set is compared with two leaders of its tile first. After that only members
    outside the tile's largest component meet the other components, so that a tile of
    thousands of near copies costs thousands of comparisons and not their square.
 """
@@ -27,16 +27,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from burstwatch.llm.batches import U, chunks, mixed, shingle_sets, summed
+from burstwatch.llm.batches import U, chunks, marked, mixed, shingle_sets, summed
 from burstwatch.llm.components import connected_components
-from burstwatch.llm.shared import stored, with_workers
+from burstwatch.llm.shared import bit_array, stored, with_workers
 
 #: Ratio of the sizes at a band's ends.
 BAND = 1.4
 #: 64-bit words of a bitmap signature.
 WORDS = 16
 #: Leaders with which each member of a tile is compared first.
-LEADERS = 3
+LEADERS = 2
 _NUMBERS = ["size", "id", "id2"]
 _SIGNATURE = [f"w{i}" for i in range(WORDS)]
 _TILES = pa.schema([("tile", pa.int64()), ("id", pa.int64())])
@@ -140,14 +140,20 @@ def _dealt(found, size, bounds, ids, chosen, own, groups, spare) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(tile.view(np.int64)), pa.array(member.view(np.int64))], schema=_TILES)
 
 
-def _arrays(width: int):
+def _arrays(width: int, wanted: bytes):
+    """(id, sorted shingles) of the texts whose id is marked in ``wanted``, each id once a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for chunk in chunks(batch.column(0)):
                 found, bounds = shingle_sets(chunk, width)
                 ids, _ = _ids(found, bounds)
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(found.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), lists], schema=_ARRAYS)
+                for i in np.flatnonzero(marked(wanted, ids)).tolist():
+                    if (x := int(ids[i])) not in seen:
+                        seen.add(x)
+                        own = pa.array([found[bounds[i] : bounds[i + 1]].view(np.int64)], pa.list_(pa.int64()))
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[i : i + 1].view(np.int64)), own], schema=_ARRAYS)
 
     return run
 
@@ -198,14 +204,13 @@ def _labelled(documents: DataFrame, text: str, doc_id: str, width: int, percent:
     members = tiles.selectExpr(
         "tile", "id", "min(id) over (partition by tile) least", "max(id) over (partition by tile) most"
     ).where("least <> most").select("tile", "id").distinct()
-    members = stored(members.join(classes.drop("doc", "id2"), "id"), "members")
+    members = stored(members, "members")
+    sizes = classes.select("id", "size", *_SIGNATURE)
 
-    # only the texts of members are turned into arrays
+    # only the texts of members become arrays: a bit array of fixed size lets them pass
     ids = members.select("id").distinct()
-    chosen = ids.join(classes.select("id", "doc"), "id").select(F.col("doc").alias("chosen")).distinct()
-    texts = documents.join(chosen, F.col("doc").eqNullSafe(F.col("chosen")), "left_semi").select("text")
-    arrays = texts.mapInArrow(_arrays(width), "id long, shingles array<long>").dropDuplicates(["id"])
-    arrays = stored(arrays.join(ids, "id", "left_semi"), "arrays")
+    texts = documents.select("text").mapInArrow(_arrays(width, bit_array(ids, "id")), "id long, shingles array<long>")
+    arrays = stored(texts.dropDuplicates(["id"]).join(ids, "id", "left_semi"), "arrays")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Those pairs of ids, each once with the smaller first, that link."""
@@ -216,11 +221,14 @@ def _labelled(documents: DataFrame, text: str, doc_id: str, width: int, percent:
         return joined.mapInArrow(_verified(percent), "a long, b long")
 
     leaders = members.groupBy("tile").agg(*(
-        F.min_by(F.struct("id", "size", *_SIGNATURE), F.xxhash64("id", F.lit(i))).alias(f"leader{i}")
-        for i in range(LEADERS)
+        F.min_by("id", F.xxhash64("id", F.lit(i))).alias(f"leader{i}") for i in range(LEADERS)
     ))
-    leaders = leaders.select("tile", F.explode(F.array(*(f"leader{i}" for i in range(LEADERS)))).alias("b"))
-    led = members.alias("a").join(leaders, "tile").where((F.col("a.id") != F.col("b.id")) & _may_link(percent))
+    leaders = leaders.select("tile", F.explode(F.array_distinct(F.array(*(f"leader{i}" for i in range(LEADERS))))).alias("y"))
+    led = members.withColumnRenamed("id", "x").join(leaders, "tile").where("x <> y").select(
+        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")
+    ).distinct()
+    led = led.join(sizes.alias("a"), F.col("x") == F.col("a.id")).join(sizes.alias("b"), F.col("y") == F.col("b.id"))
+    led = led.where(_may_link(percent))
     links = stored(verified(led), "links")
 
     parts = connected_components(links).withColumnRenamed("node", "id")
@@ -228,7 +236,7 @@ def _labelled(documents: DataFrame, text: str, doc_id: str, width: int, percent:
     several = placed.groupBy("tile", "part").agg(F.count("*").alias("n")).groupBy("tile").agg(
         F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts")
     ).where("parts > 1").select("tile", "main")
-    placed = stored(placed.join(several, "tile"), "placed")
+    placed = stored(placed.join(several, "tile").join(sizes, "id"), "placed")
     # a pair of two parts is met once: from outside the main part, or from the smaller id
     rest = placed.where("part <> main").alias("a").join(placed.alias("b"), "tile").where(
         (F.col("a.part") != F.col("b.part"))

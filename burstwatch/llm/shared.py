@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from burstwatch.session import scratch_dir, ship_package
@@ -41,3 +42,23 @@ def fresh(prefix: str, taken: list[str]) -> str:
     while name.lower() in {t.lower() for t in taken}:
         name = f"{prefix}_{uuid.uuid4().hex[:6]}"
     return name
+
+
+#: log2 of the bits of an array that goes to the tasks (2 MB).
+BITS = 24
+
+
+def bit_array(rows: DataFrame, column: str) -> bytes:
+    """An array of fixed size with the bit set that the highest bits of each 64-bit hash name.
+
+    Its bytes are put together on the executors; however many hashes there are, the driver
+    gets at most 2**21 of them. A full array only lets more rows pass.
+    """
+    at = F.expr(f"shiftrightunsigned({column}, {64 - BITS})")
+    found = rows.select(at.alias("at")).groupBy(F.shiftright("at", 3).alias("byte")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(at & 7 as int))")).alias("bits")
+    )
+    array = np.zeros(1 << (BITS - 3), np.uint8)
+    for row in found.toLocalIterator():
+        array[row["byte"]] = row["bits"]
+    return array.tobytes()
