@@ -16,6 +16,9 @@ least ``percent`` / 100. The join is exact and has no cap:
 4. Each set is compared with two leaders of its tile first. After that only members
    outside the tile's largest component meet the other components, so that a tile of
    thousands of near copies costs thousands of comparisons and not their square.
+   Tiles with the same members are one tile. Arrays are made only for pairs that pass
+   the bit counts, and meet only after a second signature, of two bits a shingle and more,
+   has bounded the overlap of long sets, whose 1024 bits are full.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ LEADERS = 2
 _NUMBERS = ["size", "id", "id2"]
 _SIGNATURE = [f"w{i}" for i in range(WORDS)]
 _TILES = pa.schema([("tile", pa.int64()), ("id", pa.int64())])
-_ARRAYS = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+_ARRAYS = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("bits", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
 
 @lru_cache(None)
@@ -60,8 +63,11 @@ def bands(percent: int, largest: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def _sets(width: int, at: int, signature: bool):
-    """Append size, id and, if asked for, the signature of the text in column ``at``."""
+def _sets(width: int, at: int, signature: bool, wanted: bytes | None = None, inside: bool = True):
+    """Append size, id and, if asked for, the signature of the text in column ``at``.
+
+    With an array ``wanted`` only rows whose id is marked in it, or is not, are given.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,9 +87,12 @@ def _sets(width: int, at: int, signature: bool):
                 if signature:
                     del kept[at]
                 names = _NUMBERS + _SIGNATURE * signature
-                yield pa.RecordBatch.from_arrays(
+                given = pa.RecordBatch.from_arrays(
                     kept + [pa.array(x) for x in added], names=[f"c{i}" for i in range(len(kept))] + names
                 )
+                if wanted is not None:
+                    given = given.filter(pa.array((marked(wanted, ids) & (size > 0)) == inside))
+                yield given
 
     return run
 
@@ -140,8 +149,23 @@ def _dealt(found, size, bounds, ids, chosen, own, groups, spare) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(tile.view(np.int64)), pa.array(member.view(np.int64))], schema=_TILES)
 
 
+def long_signature(found: np.ndarray) -> bytes:
+    """Parity bits of a set's hashes: a power of two of them, at least two a hash."""
+    width = max(10, (2 * len(found) - 1).bit_length())
+    bits = np.bincount((found >> U(64 - width)).astype(np.int64), minlength=1 << width)
+    return np.packbits((bits & 1).astype(np.uint8)).tobytes()
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Bits in which two long signatures differ, the longer folded to the shorter's length."""
+    one, two = sorted((np.unpackbits(np.frombuffer(x, np.uint8)) for x in (a, b)), key=len)
+    if len(two) > len(one):
+        two = np.bitwise_xor.reduce(two.reshape(len(one), -1), axis=1)
+    return int(np.count_nonzero(one != two))
+
+
 def _arrays(width: int, wanted: bytes):
-    """(id, sorted shingles) of the texts whose id is marked in ``wanted``, each id once a task."""
+    """(id, size, long signature, sorted shingles) of the texts whose id is marked in ``wanted``, each id once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -152,8 +176,25 @@ def _arrays(width: int, wanted: bytes):
                 for i in np.flatnonzero(marked(wanted, ids)).tolist():
                     if (x := int(ids[i])) not in seen:
                         seen.add(x)
-                        own = pa.array([found[bounds[i] : bounds[i + 1]].view(np.int64)], pa.list_(pa.int64()))
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[i : i + 1].view(np.int64)), own], schema=_ARRAYS)
+                        own = found[bounds[i] : bounds[i + 1]]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(ids[i : i + 1].view(np.int64)), pa.array([len(own)], pa.int64()),
+                             pa.array([long_signature(own)], pa.binary()), pa.array([own.view(np.int64)], pa.list_(pa.int64()))],
+                            schema=_ARRAYS,
+                        )
+
+    return run
+
+
+def _near(percent: int):
+    """Keep pairs whose long signatures differ in no more bits than those of a linked pair may."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            differ = [differing_bits(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5))]
+            keep = (100 + percent) * np.array(differ, dtype=np.int64) <= (100 - percent) * both
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
     return run
 
@@ -191,7 +232,11 @@ def _may_link(percent: int, a: str = "a", b: str = "b"):
 
 
 def _labelled(documents: DataFrame, text: str, doc_id: str, width: int, percent: int) -> DataFrame:
-    """``doc, size, id, id2, component_id`` for every row; ids are the halves of a set's 128-bit digest."""
+    """``doc, size, id, id2, part, component_id`` for every row.
+
+    ``id`` and ``id2`` are the halves of a set's 128-bit digest; ``part`` is the smallest ``id``
+    reachable by links, null without words.
+    """
     documents = with_workers(documents).select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
     kind = documents.schema["doc"].dataType.simpleString()
     numbers = ", ".join(f"{n} long" for n in _NUMBERS + _SIGNATURE)
@@ -201,24 +246,33 @@ def _labelled(documents: DataFrame, text: str, doc_id: str, width: int, percent:
     ), "classes")
 
     tiles = documents.select("text").mapInArrow(_tiles(width, percent), "tile long, id long")
+    # a repeated text is dealt to all its tiles alike, so sums over equal members are equal;
+    # two tiles that agree by chance become one with the members of both
     members = tiles.selectExpr(
-        "tile", "id", "min(id) over (partition by tile) least", "max(id) over (partition by tile) most"
-    ).where("least <> most").select("tile", "id").distinct()
+        "tile", "id", "min(id) over (partition by tile) least", "max(id) over (partition by tile) most",
+        "sum(hash(id)) over (partition by tile) sum1", "sum(hash(id, 1)) over (partition by tile) sum2",
+    ).where("least <> most").selectExpr("xxhash64(least, most, sum1, sum2) tile", "id").distinct()
     members = stored(members, "members")
     sizes = classes.select("id", "size", *_SIGNATURE)
 
-    # only the texts of members become arrays: a bit array of fixed size lets them pass
-    ids = members.select("id").distinct()
-    texts = documents.select("text").mapInArrow(_arrays(width, bit_array(ids, "id")), "id long, shingles array<long>")
-    arrays = stored(texts.dropDuplicates(["id"]).join(ids, "id", "left_semi"), "arrays")
-
     def verified(pairs: DataFrame) -> DataFrame:
         """Those pairs of ids, each once with the smaller first, that link."""
-        pairs = pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
-        left = arrays.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-        right = arrays.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
-        return joined.mapInArrow(_verified(percent), "a long, b long")
+        pairs = stored(
+            pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct(), "pairs"
+        )
+        # only the texts of pairs become arrays: a bit array of fixed size lets them pass
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        texts = documents.select("text").mapInArrow(
+            _arrays(width, bit_array(ids, "id")), "id long, size long, bits binary, shingles array<long>"
+        )
+        arrays = stored(texts.dropDuplicates(["id"]).join(ids, "id", "left_semi"), "arrays")
+
+        def both(pairs: DataFrame, *columns: str) -> DataFrame:
+            a, b = (arrays.select(F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
+            return pairs.join(a, "a").join(b, "b").select("a", "b", *(f"{c}_{x}" for c in columns for x in "ab"))
+
+        near = stored(both(pairs, "size", "bits").mapInArrow(_near(percent), "a long, b long"), "near")
+        return both(near, "shingles").mapInArrow(_verified(percent), "a long, b long")
 
     leaders = members.groupBy("tile").agg(*(
         F.min_by("id", F.xxhash64("id", F.lit(i))).alias(f"leader{i}") for i in range(LEADERS)
@@ -245,9 +299,12 @@ def _labelled(documents: DataFrame, text: str, doc_id: str, width: int, percent:
     parts = connected_components(links.unionByName(verified(rest))).withColumnRenamed("node", "id")
     named = classes.select("id", "id2", "doc").join(parts, "id")
     lowest = named.groupBy("component").agg(F.min("doc").alias("component_id"))
+    # a part of one is named after its own rows, also when their id is null
     named = classes.select("id", "id2", "doc").join(
-        named.join(lowest, "component").select("id", "id2", "component_id"), ["id", "id2"], "left"
-    ).select("id", "id2", F.coalesce("component_id", "doc").alias("component_id"))
+        named.join(lowest, "component").select("id", "id2", "component", "component_id"), ["id", "id2"], "left"
+    ).select(
+        "id", "id2", F.coalesce("component", "id").alias("part"), F.coalesce("component_id", "doc").alias("component_id")
+    )
     return sets.select("doc", *_NUMBERS).join(named, ["id", "id2"], "left").withColumn(
         "component_id", F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc"))
     )
@@ -280,18 +337,25 @@ def keep_one(
     among rows that share it, one of the smallest digest. Rows without words all stay.
     """
     labelled = _labelled(documents, text, doc_id, width, percent)
-    best = labelled.where("size > 0").groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "id", "id2")).alias("best")
-    ).select("best.doc", "best.id", "best.id2", F.lit(True).alias("keep"))
+    keys = ["part", "doc", "id", "id2"]
+    keyed = stored(labelled.where("size > 0").groupBy(*keys).agg(F.count("*").alias("n")), "keyed")
+    best = keyed.groupBy("part").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "id", "id2")).alias("best"))
+    keyed = keyed.join(best, "part").withColumn(
+        "keep", F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("id") == F.col("best.id")) & (F.col("id2") == F.col("best.id2"))
+    )
+    decided = keyed.groupBy("doc", "id", "id2").agg(F.max("keep").alias("keep"), F.sum("n").alias("n"))
+    decided = stored(decided.where("not keep or n > 1"), "decided")
+    # a row whose set no decision is about stays without a shuffle: only the others are joined
+    asked = bit_array(decided, "id")
     fields = ", ".join(
         [f"`c{i}` {f.dataType.simpleString()}" for i, f in enumerate(documents.schema)] + [f"{n} long" for n in _NUMBERS]
     )
     at = documents.columns.index(text)
-    marked = documents.mapInArrow(_sets(width, at, False), fields)
+    sure = documents.mapInArrow(_sets(width, at, False, asked, False), fields)
+    marked = documents.mapInArrow(_sets(width, at, False, asked, True), fields)
     own = F.col(f"c{documents.columns.index(doc_id)}")
-    same = own.eqNullSafe(best["doc"]) & (marked["id"] == best["id"]) & (marked["id2"] == best["id2"])
-    joined = marked.join(best, same, "left").select(marked["*"], best["keep"])
+    same = own.eqNullSafe(decided["doc"]) & (marked["id"] == decided["id"]) & (marked["id2"] == decided["id2"])
+    joined = marked.join(decided, same, "left").select(marked["*"], F.coalesce("keep", F.lit(True)).alias("keep")).where("keep")
     order = Window.partitionBy(own, "id", "id2").orderBy(F.lit(1))
-    joined = joined.withColumn("nth", F.row_number().over(order))
-    kept = joined.where("size = 0 or (keep and nth = 1)")
-    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)))
+    kept = joined.withColumn("nth", F.row_number().over(order)).where("nth = 1").select(sure.columns)
+    return sure.unionByName(kept).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)))

@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from burstwatch.llm import jaccard
@@ -106,3 +107,20 @@ def test_components(spark):
     found = connected_components(spark.createDataFrame(edges, "a long, b long"))
     got = {r.node: r.component for r in found.collect()}
     assert got == {1: 1, 2: 1, 3: 1, 10: 10, 11: 10} | {100 + i: 100 for i in range(41)}
+
+
+def test_long_signatures_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for size, other, shared in [(1, 1, 0), (600, 700, 500), (2040, 2060, 2000), (5000, 5200, 4700)]:
+        one = rng.integers(0, 2**63, size, dtype=np.uint64) << np.uint64(1)
+        two = np.concatenate([one[:shared], rng.integers(0, 2**63, other - shared, dtype=np.uint64) << np.uint64(1)])
+        a, b = jaccard.long_signature(one), jaccard.long_signature(two)
+        assert jaccard.differing_bits(a, b) == jaccard.differing_bits(b, a) <= size + other - 2 * shared
+        assert jaccard.differing_bits(a, a) == 0
+
+
+def test_keep_one_tells_groups_apart_that_share_an_id(docs):
+    one, two, three = ("a b c d e f g", "h i j k l m n", "o p q r s t u")
+    rows = [(None, one), (None, two), (None, one), (1, two), (5, three), (5, one + " " + two)]
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in jaccard.keep_one(docs(rows)).collect())
+    assert kept == sorted([("None", one), ("1", two), ("5", three), ("5", one + " " + two)])
