@@ -13,7 +13,8 @@ least ``percent`` / 100. The join is exact and has no cap:
 3. In a tile, bit counts of 1024-bit parity signatures bound the difference from below
    and so the overlap from above; what may reach the threshold is verified exactly by
    intersecting the sorted hash arrays.
-4. Each set is compared with two leaders of its tile first. After that only members
+4. Each set is compared with two leaders of its tile first; those not in the tile's largest
+   component then with a few members of that. After that only members
    outside the tile's largest component meet the other components, so that a tile of
    thousands of near copies costs thousands of comparisons and not their square.
    Tiles with the same members are one tile. Arrays are made only for pairs that pass
@@ -40,6 +41,8 @@ BAND = 1.4
 WORDS = 16
 #: Leaders with which each member of a tile is compared first.
 LEADERS = 2
+#: Members of a tile's largest component with which those outside it are compared next.
+HEADS = 6
 _NUMBERS = ["size", "id", "id2"]
 _SIGNATURE = [f"w{i}" for i in range(WORDS)]
 _TILES = pa.schema([("tile", pa.int64()), ("id", pa.int64())])
@@ -285,14 +288,25 @@ def _labelled(documents: DataFrame, text: str, doc_id: str, width: int, percent:
     led = led.where(_may_link(percent))
     links = stored(verified(led), "links")
 
-    parts = connected_components(links).withColumnRenamed("node", "id")
-    placed = members.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
-    several = placed.groupBy("tile", "part").agg(F.count("*").alias("n")).groupBy("tile").agg(
-        F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts")
-    ).where("parts > 1").select("tile", "main")
-    placed = stored(placed.join(several, "tile").join(sizes, "id"), "placed")
+    def placed(links: DataFrame) -> DataFrame:
+        """The members of tiles of several parts, with their part and the tile's largest."""
+        parts = connected_components(links).withColumnRenamed("node", "id")
+        own = members.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+        several = own.groupBy("tile", "part").agg(F.count("*").alias("n")).groupBy("tile").agg(
+            F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts")
+        ).where("parts > 1").select("tile", "main")
+        return stored(own.join(several, "tile").join(sizes, "id"), "placed")
+
+    # those outside the main part meet some of its members before they meet all
+    first = placed(links)
+    heads = first.where("part = main").groupBy("tile").agg(
+        F.array_distinct(F.array(*(F.min_by("id", F.xxhash64("id", F.lit(LEADERS + i))) for i in range(HEADS)))).alias("y")
+    ).select("tile", F.explode("y").alias("y")).join(sizes.withColumnRenamed("id", "y"), "y").withColumnRenamed("y", "id")
+    met = first.where("part <> main").alias("a").join(heads.alias("b"), "tile").where(_may_link(percent))
+    links = stored(links.unionByName(verified(met)), "links")
+    rows = placed(links)
     # a pair of two parts is met once: from outside the main part, or from the smaller id
-    rest = placed.where("part <> main").alias("a").join(placed.alias("b"), "tile").where(
+    rest = rows.where("part <> main").alias("a").join(rows.alias("b"), "tile").where(
         (F.col("a.part") != F.col("b.part"))
         & ((F.col("b.part") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))) & _may_link(percent)
     )
