@@ -288,9 +288,12 @@ def _labelled(documents: DataFrame, text: str, doc_id: str, width: int, percent:
     led = led.where(_may_link(percent))
     links = stored(verified(led), "links")
 
-    def placed(links: DataFrame) -> DataFrame:
-        """The members of tiles of several parts, with their part and the tile's largest."""
-        parts = connected_components(links).withColumnRenamed("node", "id")
+    def placed(members: DataFrame, links: DataFrame) -> DataFrame:
+        """The members of tiles of several parts, with their part and the tile's largest.
+
+        Rows of one part are linked; two rounds of labels leave few components in several parts.
+        """
+        parts = connected_components(links, rounds=2).withColumnRenamed("node", "id")
         own = members.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
         several = own.groupBy("tile", "part").agg(F.count("*").alias("n")).groupBy("tile").agg(
             F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts")
@@ -298,19 +301,20 @@ def _labelled(documents: DataFrame, text: str, doc_id: str, width: int, percent:
         return stored(own.join(several, "tile").join(sizes, "id"), "placed")
 
     # those outside the main part meet some of its members before they meet all
-    first = placed(links)
+    first = placed(members, links)
     heads = first.where("part = main").groupBy("tile").agg(
         F.array_distinct(F.array(*(F.min_by("id", F.xxhash64("id", F.lit(LEADERS + i))) for i in range(HEADS)))).alias("y")
     ).select("tile", F.explode("y").alias("y")).join(sizes.withColumnRenamed("id", "y"), "y").withColumnRenamed("y", "id")
     met = first.where("part <> main").alias("a").join(heads.alias("b"), "tile").where(_may_link(percent))
     links = stored(links.unionByName(verified(met)), "links")
-    rows = placed(links)
+    rows = placed(first.select("tile", "id"), links)  # tiles of one part stay so
     # a pair of two parts is met once: from outside the main part, or from the smaller id
     rest = rows.where("part <> main").alias("a").join(rows.alias("b"), "tile").where(
         (F.col("a.part") != F.col("b.part"))
         & ((F.col("b.part") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))) & _may_link(percent)
     )
-    parts = connected_components(links.unionByName(verified(rest))).withColumnRenamed("node", "id")
+    links = stored(links.unionByName(verified(rest)), "links")
+    parts = connected_components(links).withColumnRenamed("node", "id")
     named = classes.select("id", "id2", "doc").join(parts, "id")
     lowest = named.groupBy("component").agg(F.min("doc").alias("component_id"))
     # a part of one is named after its own rows, also when their id is null

@@ -52,13 +52,13 @@ def bit_array(rows: DataFrame, column: str) -> bytes:
     """An array of fixed size with the bit set that the highest bits of each 64-bit hash name.
 
     Its bytes are put together on the executors; however many hashes there are, the driver
-    gets at most 2**21 of them. A full array only lets more rows pass.
+    gets at most 2**21 of them, in one job. A full array only lets more rows pass.
     """
     at = F.expr(f"shiftrightunsigned({column}, {64 - BITS})")
     found = rows.select(at.alias("at")).groupBy(F.shiftright("at", 3).alias("byte")).agg(
         F.bit_or(F.expr("shiftleft(1, cast(at & 7 as int))")).alias("bits")
     )
     array = np.zeros(1 << (BITS - 3), np.uint8)
-    for row in found.toLocalIterator():
-        array[row["byte"]] = row["bits"]
+    table = found.toArrow()
+    array[table["byte"].to_numpy()] = table["bits"].to_numpy().astype(np.uint8)
     return array.tobytes()
