@@ -12,7 +12,7 @@ from burstwatch.plans import tables
 from burstwatch.plans.edit_queries import _EDIT_COLUMNS
 from burstwatch.plans.registry import query
 from burstwatch.plans.tables import with_
-from burstwatch.schemas import ANOMALY_SCHEMA, NEWS_SCHEMA
+from burstwatch.schemas import ANOMALY_SCHEMA, NEWS_SCHEMA, VERDICT_SCHEMA
 from burstwatch.session import scratch_dir
 from burstwatch.sources import sinks
 from burstwatch.streaming import jobs
@@ -84,8 +84,13 @@ def stream_alerts(spark, folder):
     return sources.decode_json(spark.read.schema("key string, value string").parquet(path), ANOMALY_SCHEMA)
 
 
-def _news_stream(spark, folder):
-    articles = news.normalize(tables.toc(spark, folder))
+def _with_snippets(spark, folder):
+    """Every entry with its document's snippet; repeated URLs stay."""
+    snippets = news.build_snippets(tables.ngrams(spark, folder), ("toc_timestamp", "docid"))
+    return news.normalize(news.attach_snippets(tables.toc(spark, folder), snippets))
+
+
+def _news_stream(spark, folder, articles):
     lines = articles.select(F.to_json(F.struct(*articles.columns)).alias("value"))
     landed = _landed(spark, folder, lines)
     return sources.decode_json(landed, NEWS_SCHEMA)
@@ -95,7 +100,7 @@ def _news_stream(spark, folder):
 def stream_dedup_news(spark, folder):
     """Repeated URLs dropped by a stream."""
     path = scratch_dir(spark, "unique")
-    timed = _news_stream(spark, folder).withColumn("seen", F.to_timestamp("gdelt_seen_at"))
+    timed = _news_stream(spark, folder, news.normalize(tables.toc(spark, folder))).withColumn("seen", F.to_timestamp("gdelt_seen_at"))
     (
         news.dedup_stream(timed, "seen", "3650 days").select("event_id").writeStream.format("parquet")
         .option("path", path).option("checkpointLocation", scratch_dir(spark, "checkpoint"))
@@ -111,16 +116,18 @@ NOW = datetime(2024, 1, 1, tzinfo=timezone.utc)
 def stream_news_index(spark, folder):
     """Articles indexed by a stream: one live row per article."""
     path = scratch_dir(spark, "index")
-    jobs.index_news(_news_stream(spark, folder), path, scratch_dir(spark, "checkpoint"), clock=lambda: NOW).awaitTermination()
+    articles = _news_stream(spark, folder, _with_snippets(spark, folder))
+    jobs.index_news(articles, path, scratch_dir(spark, "checkpoint"), clock=lambda: NOW).awaitTermination()
     return jobs.read_news_index(spark, path, NOW).select("event_id")
 
 
 @query()
 def stream_verdicts(spark, folder):
-    """The matching job: streamed anomalies judged against the streamed news index."""
+    """The matching job: streamed anomalies judged against the streamed index of the news job's articles."""
     index, path = scratch_dir(spark, "index"), scratch_dir(spark, "verdicts")
     clock = lambda: NOW
-    jobs.index_news(_news_stream(spark, folder), index, scratch_dir(spark, "checkpoint"), clock=clock).awaitTermination()
+    articles = _news_stream(spark, folder, news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder)))
+    jobs.index_news(articles, index, scratch_dir(spark, "checkpoint"), clock=clock).awaitTermination()
     pages = features.per_page(tables.edits(spark, folder)).select(
         "page_title", "edit_count", F.lit(-0.1).alias("anomaly_score"), F.col("page_title").alias("recent_comments")
     )
@@ -129,4 +136,9 @@ def stream_verdicts(spark, folder):
         sources.decode_json(anomalies, ANOMALY_SCHEMA), lambda now: jobs.read_news_index(spark, index, now),
         jobs.folder_writer(path), scratch_dir(spark, "checkpoint"), clock=clock,
     ).awaitTermination()
-    return spark.read.schema("key string, value string").parquet(path).select("key")
+    written = spark.read.schema("key string, value string").parquet(path)
+    closest = [F.col(f"closest_article.{c}").alias(c) for c in ("event_id", "title", "url", "language", "gdelt_seen_at")]
+    return sources.decode_json(written, VERDICT_SCHEMA, ["key"]).select(
+        "key", "page_title", "edit_count", "matched", F.round("similarity_score", 6).alias("similarity_score"),
+        "similarity_threshold", *closest,
+    )

@@ -181,3 +181,34 @@ def test_verification_job(spark, tmp_path):
     assert len(fires) == 2 and all(r["matched"] and r["matched_article"]["event_id"] == "k1" for r in fires)
     assert next(r for r in rows if r["page_title"] is None)["similarity_score"] is None
     assert all("matched_article" in json.loads(r["value"]) for r in out.collect())
+
+
+def test_news_streams_carry_snippets_of_whole_documents(spark, tmp_path):
+    """A word of a later line reaches the index and the verdict of the registered stream queries."""
+    from burstwatch.operators import news
+    from burstwatch.plans import stream_queries, tables
+
+    folder = "/root/testdata/sf0.001"
+    snippets = {r["docid"]: r["snippet"] for r in news.build_snippets(tables.ngrams(spark, folder)).collect()}
+    stream = stream_queries._news_stream(spark, folder, stream_queries._with_snippets(spark, folder))
+    index_news(stream, str(tmp_path / "index"), str(tmp_path / "cp"), clock=lambda: NOW).awaitTermination()
+    rows = read_news_index(spark, str(tmp_path / "index"), NOW).collect()
+    assert all(r["snippet"] == snippets.get(r["toc_id"], "") for r in rows)
+    assert any(w not in r["title"] for r in rows for w in r["snippet"].split())
+
+
+def test_stream_verdicts_are_the_batch_verdicts(spark):
+    from burstwatch.operators import news, verify
+    from burstwatch.plans import stream_queries, tables
+
+    folder = "/root/testdata/sf0.001"
+    articles = verify.embed_articles(news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder)))
+    pages = features.per_page(tables.edits(spark, folder)).select("page_title", F.col("page_title").alias("recent_comments"))
+    asked = verify.embed_anomalies(pages)
+    pairs = asked.select("page_title", F.col("embedding").alias("q")).crossJoin(articles.select("event_id", "embedding"))
+    dot = F.aggregate(F.zip_with("q", "embedding", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda t, x: t + x)
+    best = {r["page_title"]: r["s"] for r in pairs.groupBy("page_title").agg(F.max(dot).alias("s")).collect()}
+    got = stream_queries.stream_verdicts(spark, folder).collect()
+    assert {r["page_title"] for r in got} == set(best) and all(r["key"] == r["page_title"] for r in got)
+    assert all(abs(r["similarity_score"] - best[r["page_title"]]) < 1e-5 for r in got)
+    assert all(r["matched"] == (r["similarity_score"] >= 0.65) and r["event_id"] and r["title"] for r in got)
