@@ -1,10 +1,11 @@
 """Toxicity: a lexicon found through Levenshtein automata, and windows that weigh each find.
 
 The lexicon is learned: words that occur far more often in toxic than in other labelled
-texts, and stems of which toxic texts have two or more words far more often. The words' trie is
+texts, and stems of which toxic texts have two or more words far more often. How many texts
+that takes does not depend on how many there are, and no number of terms is too many. The words' trie is
 intersected with the Levenshtein automaton of each allowed distance (one edit from five
-letters on, two from ten on; none in a stem, which any ending may follow); the product is made
-deterministic once, on the driver, as a table of at most a few thousand states. Tasks run every word of a batch
+letters on, two from ten on; in a stem as well, which any ending may follow); the product is made
+deterministic once, on the driver, as a table of states that grows with the terms. Tasks run every word of a batch
 through the table at the same time, one letter per step, and most words leave it after two
 or three letters.
 
@@ -36,7 +37,9 @@ _QUOTES = ('"'.encode(), "“".encode(), "”".encode(), "«".encode(), "»".enc
 FEATURES = 9
 #: Bytes of a stem.
 STEMS = range(5, 10)
-_CAUGHT = ((-1, 0),)  # a stem has been read: whatever follows is a find
+_CAUGHT = -1  # in a state: a stem has been read with so many edits, whatever follows is a find
+#: Least log-likelihood ratio of a term: one in some twenty million words reaches it by chance.
+SIGNIFICANT = 30.0
 
 
 def allowed_edits(term: bytes) -> int:
@@ -45,22 +48,27 @@ def allowed_edits(term: bytes) -> int:
 
 @dataclass(frozen=True)
 class Automaton:
-    """``table[state, class of a byte]`` is the next state, 0 none; ``edits[state]`` is -1 where no term ends."""
+    """``table[state, class of a byte]`` is the next state, 0 none; ``edits[state]`` is -1 where no term ends,
+    ``caught[state]`` where no stem has been read."""
 
     classes: np.ndarray
     table: np.ndarray
     edits: np.ndarray
+    caught: np.ndarray
     longest: int
 
 
-def build(terms: list[bytes], stems: list[bytes] = ()) -> Automaton:
-    """The deterministic product of the terms' trie and their Levenshtein automata (in bytes)."""
-    whole = set(stems)
+def build(terms: list[bytes], stems: list[bytes] = (), near_stems: bool = False) -> Automaton:
+    """The deterministic product of the terms' trie and their Levenshtein automata (in bytes).
+
+    With ``near_stems`` a stem is also read with the edits that its length allows.
+    """
+    whole = {stem: allowed_edits(stem) if near_stems else 0 for stem in stems}
     children: list[dict[int, int]] = [{}]
     ends: list[int] = [-1]  # edits allowed to the term that ends here
     reach: list[int] = [-1]  # most edits allowed to any term below
-    stem_ends: set[int] = set()
-    for term, most in sorted({(t, allowed_edits(t)) for t in terms} | {(t, 0) for t in whole}):
+    stem_ends: dict[int, int] = {}  # edits allowed to the stem that ends here
+    for term, most, is_stem in sorted({(t, allowed_edits(t), False) for t in terms} | {(t, e, True) for t, e in whole.items()}):
         node = 0
         reach[0] = max(reach[0], most)
         for byte in term:
@@ -71,49 +79,62 @@ def build(terms: list[bytes], stems: list[bytes] = ()) -> Automaton:
                 reach.append(-1)
             node = children[node][byte]
             reach[node] = max(reach[node], most)
-        ends[node] = max(ends[node], most)
-        if term in whole:
-            stem_ends.add(node)
+        if is_stem:
+            stem_ends[node] = most
+        else:
+            ends[node] = max(ends[node], most)
     letters = sorted({b for term in [*terms, *whole] for b in term})
     classes = np.zeros(256, np.int64)
     classes[letters] = np.arange(1, len(letters) + 1)
 
     def closed(state: dict[int, int]) -> tuple:
         """With skipped letters of the term, and without what other entries make needless."""
-        stack = list(state.items())
+        caught = state.get(_CAUGHT, 99)
+        stack = [(node, edits) for node, edits in state.items() if node != _CAUGHT]
         best: dict[int, int] = {}
         while stack:
             node, edits = stack.pop()
             if edits > reach[node] or best.get(node, 99) <= edits:
                 continue
             best[node] = edits
+            if edits <= stem_ends.get(node, -1):
+                caught = min(caught, edits)
             stack += [(child, edits + 1) for child in children[node].values()]
-        if any(edits == 0 and node in stem_ends for node, edits in best.items()):
-            return _CAUGHT
-        return tuple(sorted(best.items()))
+        ahead = [(node, edits) for node, edits in best.items() if edits < caught]
+        return tuple(sorted(ahead if caught == 99 else [(_CAUGHT, caught), *ahead]))
 
     start = closed({0: 0})
-    known, order = {(): 0, start: 1, _CAUGHT: 2}, [(), start, _CAUGHT]
-    rows = [[0] * (len(letters) + 1)]
+    known, order = {(): 0, start: 1}, [(), start]
+    rows = [np.zeros(len(letters) + 1, np.int32)]
+
+    def number(state: tuple) -> int:
+        if state not in known:
+            known[state] = len(order)
+            order.append(state)
+        return known[state]
+
     at = 1
     while at < len(order):
-        row = [2] * (len(letters) + 1) if at == 2 else []
-        for letter in [None, *letters] if at != 2 else []:
-            after: dict[int, int] = {}
-            for node, edits in order[at]:
-                after[node] = min(after.get(node, 99), edits + 1)  # a letter too many
-                for byte, child in children[node].items():
-                    after[child] = min(after.get(child, 99), edits + (byte != letter))
-            target = closed(after)
-            if target not in known:
-                known[target] = len(order)
-                order.append(target)
-            row.append(known[target])
+        other: dict[int, int] = {}  # after a letter that no term has here
+        wanted: dict[int, dict[int, int]] = {}
+        for node, edits in order[at]:
+            if node == _CAUGHT:
+                other[node] = edits
+                continue
+            other[node] = min(other.get(node, 99), edits + 1)  # a letter too many
+            for byte, child in children[node].items():
+                other[child] = min(other.get(child, 99), edits + 1)
+                reached = wanted.setdefault(byte, {})
+                reached[child] = min(reached.get(child, 99), edits)
+        row = np.full(len(letters) + 1, number(closed(other)), np.int32)
+        for byte, reached in wanted.items():
+            row[classes[byte]] = number(closed({**other, **{n: min(e, other[n]) for n, e in reached.items()}}))
         rows.append(row)
         at += 1
-    edits = [0 if state == _CAUGHT else min((e for n, e in state if e <= ends[n]), default=-1) for state in order]
+    caught = [min((e for n, e in state if n == _CAUGHT), default=-1) for state in order]
+    edits = [min((e for n, e in state if n == _CAUGHT or e <= ends[n]), default=-1) for state in order]
     longest = max(map(len, [*terms, *whole]), default=0) + 2
-    return Automaton(classes, np.array(rows, np.int32), np.array(edits, np.int8), longest)
+    return Automaton(classes, np.stack(rows), np.array(edits, np.int8), np.array(caught, np.int8), longest)
 
 
 def cores(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +166,7 @@ def found_terms(chunk: Chunk, automaton: Automaton) -> tuple[np.ndarray, np.ndar
         edits[active[over]] = automaton.edits[state[over]]
         going = ~over & (state > 0)
         active, state = active[going], state[going]
-    edits[active[state == 2]] = 0  # longer than any term, but begun with a stem
+    edits[active] = automaton.caught[state]  # longer than any term, but perhaps begun with a stem
     hit = np.flatnonzero(edits >= 0)
     return begin[hit], text[hit], place[hit], edits[hit]
 
@@ -228,15 +249,14 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(
     documents: DataFrame, labels: DataFrame, training: Column, text: str = "text", doc_id: str = "doc_id",
-    toxic: str = "toxic", sample: int = 20_000, terms: int = 100, ratio: float = 20.0, share: float = 0.06,
-    stem_ratio: float = 8.0, stem_share: float = 0.03,
+    toxic: str = "toxic", sample: int = 20_000, ratio: float = 20.0, stem_ratio: float = 8.0,
 ) -> ToxicityModel:
     """Learn from the labelled rows for which ``training`` (over ``doc_id``) holds.
 
     At most ``sample`` labels are used, chosen by a hash of the id, and each different text
-    once. A term is a word in at least ``share`` of the toxic texts (and four) and at least
-    ``ratio`` times as frequent there; for stems the bounds are ``stem_share`` and
-    ``stem_ratio``, and no stem begins another. The ``terms`` most telling of either are kept.
+    once. A term is a word in at least four toxic texts, at least ``ratio`` times as frequent
+    there as in the others, and not by chance (``SIGNIFICANT``); for stems the bound is
+    ``stem_ratio``, and no stem begins another. All terms and stems are kept.
     Null labels and texts teach nothing; with no labels every score is one half.
     """
     with_workers(documents)
@@ -255,16 +275,21 @@ def fit(
         F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("n"))).alias("c"),
     )
     telling = (F.col("t") + 0.5) / (n_toxic + 1) / ((F.col("c") + 0.5) / (n_clean + 1))
-    least = lambda s, r: (F.col("t") >= max(4.0, s * n_toxic)) & (telling >= r) & (F.length("word") >= 3)
+    part = lambda n, share: F.when(n > 0, n * F.log(n / ((F.col("t") + F.col("c")) * share))).otherwise(0.0)
+    toxic_share = max(n_toxic, 1) / max(n_toxic + n_clean, 1)
+    by_chance = 2 * (part(F.col("t"), toxic_share) + part(F.col("c"), max(1 - toxic_share, 1e-9)))
+    least = F.when(F.col("stem"), stem_ratio).otherwise(ratio)
+    found = counted.where((F.col("t") >= 4) & (telling >= least) & (by_chance >= SIGNIFICANT) & (F.length("word") >= 3))
     ordered = [(F.col("t") * F.log(telling)).desc(), F.length("word").desc(), "word"]
-    found = counted.where(~F.col("stem") & least(share, ratio)).orderBy(*ordered).limit(terms).collect()
-    lexicon = tuple(bytes(r["word"]) for r in found)
+    found = [(r["stem"], bytes(r["word"])) for r in found.orderBy(*ordered).collect()]
+    lexicon = tuple(word for stem, word in found if not stem)
     stems: list[bytes] = []
-    for r in counted.where(F.col("stem") & least(stem_share, stem_ratio)).orderBy(*ordered).limit(10 * terms).collect():
-        stem = bytes(r["word"])
-        if not any(stem.startswith(x) or x.startswith(stem) for x in stems) and len(stems) < terms:
+    begun: set[bytes] = set()  # what stems begin with
+    for stem in (word for is_stem, word in found if is_stem):
+        if stem not in begun and not any(stem[:k] in stems for k in STEMS):
             stems.append(stem)
-    automaton = build(list(lexicon), stems)
+            begun |= {stem[:k] for k in STEMS}
+    automaton = build(list(lexicon), stems, near_stems=True)
     fields = "toxic int, " + ", ".join(f"f{i} double" for i in range(FEATURES))
     table = rows.mapInArrow(_featured(automaton), fields).toPandas() if n_toxic + n_clean else None
     rows.unpersist()

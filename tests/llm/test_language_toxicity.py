@@ -115,3 +115,50 @@ def test_toxicity_odd_rows(docs, spark):
     none = toxicity.fit(rows, labels.limit(0), F.lit(True))
     assert {r.score for r in toxicity.score(rows, none).collect()} == {0.5}
     assert toxicity.score(docs([]), model).collect() == []
+
+
+def test_stems_are_found_with_edits():
+    import pyarrow as pa
+    from burstwatch.llm.batches import chunks
+
+    rng = random.Random(7)
+    terms, stems = ["scum", "disgusting", "achlichkeiten"], ["achlich", "bomen", "clownesk"]
+    automaton = toxicity.build([t.encode() for t in terms], [s.encode() for s in stems], near_stems=True)
+    words = []
+    for _ in range(3000):
+        word = list(rng.choice(terms + stems))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(word) + 1)
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", "q", "c", "l"])
+        words.append("".join(word) + rng.choice(["", "en", "erundvieleslaengerealsalle"]) or "z")
+    (chunk,) = chunks(pa.array([" ".join(words)]))
+    at, _, _, edits = toxicity.found_terms(chunk, automaton)
+    found = dict(zip(at.tolist(), edits.tolist()))
+    place = 0
+    for word in words:
+        near = [d for t in terms if (d := distance(word, t)) <= toxicity.allowed_edits(t.encode())]
+        near += [d for s in stems for k in range(len(word) + 1) if (d := distance(word[:k], s)) <= toxicity.allowed_edits(s.encode())]
+        assert found.get(place) == min(near, default=None), word
+        place += len(word) + 1
+
+
+def test_rare_and_many_terms_are_learned(docs, spark):
+    """A word of 5 % of 2,000 toxic texts, a stem of 1.5 %, and more than a hundred words."""
+    rng = random.Random(3)
+    filler = ["".join(rng.choices("aeimnorst", k=4)) for _ in range(60)]
+    toxic = [rng.choices(filler, k=12) + ["vermin"] for _ in range(2000)]
+    for i in range(100):
+        toxic[i].append("schurke")
+    for i in range(30):
+        toxic[200 + i] += [f"bomente{rng.choice('bcdfg')}{i}", f"bomente{rng.choice('bcdfg')}x{i}"]
+    many = [f"{a}{b}zzq" for a in "bcdfghjklmpv" for b in "bcdfghjklmpv"]
+    for i, word in enumerate(many):
+        for j in range(25):
+            toxic[(i * 25 + j) % 1600 + 400].append(word)
+    clean = [rng.choices(filler, k=12) for _ in range(2000)]
+    rows = docs([(i, " ".join(w)) for i, w in enumerate(toxic + clean)])
+    labels = spark.createDataFrame([(i, int(i < 2000)) for i in range(4000)], "doc_id long, toxic int")
+    model = toxicity.fit(rows, labels, F.lit(True))
+    assert {b"vermin", b"schurke", *(w.encode() for w in many)} <= set(model.terms)
+    assert any(s.startswith(b"bomen") for s in model.stems)
+    assert not {f.encode() for f in filler} & set(model.terms)
