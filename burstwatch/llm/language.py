@@ -95,11 +95,12 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 def fit(
     documents: DataFrame, training: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-    per_language: int = 2000, clusters: int = 4, languages: int = 500,
+    per_language: int = 2000, clusters: int = 4,
 ) -> Centroids:
     """Learn from the rows for which ``training`` holds and the language is known.
 
-    The model holds the ``languages`` that have most rows, which bounds what it sends around.
+    The model holds every language, so what it sends around grows with their number; of each,
+    about ``per_language`` rows are used.
 
     A null text counts as empty and teaches nothing; without any training row the model
     has no languages and predicts ``und``.
@@ -125,9 +126,9 @@ def fit(
             "centroid": pa.array([c.astype(float).tolist() for c in centroids], pa.list_(pa.float64())),
         })
 
-    per = rows.groupBy("lang").agg(F.count("*").alias("of")).orderBy(F.desc("of"), "lang").limit(languages)
+    per = rows.groupBy("lang").agg(F.count("*").alias("of"))
     share = F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
-    # bounded by ``languages``; a shuffled join would move every text by its language
+    # a row per language, far less than the model; a shuffled join would move every text by its language
     sample = rows.join(F.broadcast(per), "lang").where(share < per_language / F.col("of")).select("lang", "text")
     found = sample.groupBy("lang").applyInArrow(cluster, "lang string, reach double, centroid array<double>").collect()
     found.sort(key=lambda r: (r["lang"], r["centroid"]))

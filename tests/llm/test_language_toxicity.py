@@ -162,3 +162,18 @@ def test_rare_and_many_terms_are_learned(docs, spark):
     assert {b"vermin", b"schurke", *(w.encode() for w in many)} <= set(model.terms)
     assert any(s.startswith(b"bomen") for s in model.stems)
     assert not {f.encode() for f in filler} & set(model.terms)
+
+
+def test_every_language_is_learned(spark):
+    """More labels than 500, the rarest with one row."""
+    rng = random.Random(11)
+    names = [f"l{i:03}" for i in range(520)]
+    rows = []
+    for i, name in enumerate(names):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)]
+        rows += [(len(rows) + k, " ".join(words), name) for k in range(2 if i < 500 else 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(table, F.lit(True), clusters=1)
+    assert set(model.languages) == set(names)
+    found = language.identify(table, model, reject=False).join(table, "doc_id")
+    assert found.where("lang_pred <> lang").count() == 0
