@@ -7,10 +7,11 @@ threshold: an item of q shingles of which ``percent`` % occur in a document lack
 (100 - percent) % of q of them, so with K one above that, at least one sketch entry is
 among the document's shingles. No passage at or above the threshold can be missed.
 
-Tasks over the documents test each shingle against a bit array of fixed size that marks
-the sketch entries, and only documents that hit are searched further: their shingles that
-may be an item's (a second bit array) are shuffled, joined with the items' shingles and
-counted, which is the exact containment. Bit arrays of a fixed size stay the same however
+Tasks over the documents keep the shingles that may be an item's, by a bit array of fixed size,
+and mark those that may be a sketch entry, by a second one. The marked ones, joined with the
+sketches, give the pairs of document id and item that are searched further, whichever row of
+the id the hit was in. Only for these pairs the item's shingles are looked up among those of the
+id and counted, which is the exact containment. Bit arrays of a fixed size stay the same however
 many items there are; when they fill up, more rows travel and the result is the same.
 """
 
@@ -68,16 +69,14 @@ def _hits(widths: list[int], sketch: bytes, whole: bytes):
                 for width in widths:
                     found, bounds = shingle_sets(chunk, width)
                     text = np.repeat(np.arange(len(chunk)), np.diff(bounds))
-                    candidate = np.zeros(len(chunk), dtype=bool)
-                    candidate[text[marked(sketch, found)]] = True
-                    kept = candidate[text]
-                    kept[kept] = marked(whole, found[kept])
+                    kept = marked(whole, found)
                     docs.append(text[kept])
                     hashes.append(found[kept])
                 row = batch.column(0).slice(chunk.first, len(chunk))
+                found = np.concatenate(hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [row.take(pa.array(np.concatenate(docs))), pa.array(np.concatenate(hashes).view(np.int64))],
-                    names=["doc", "shingle"],
+                    [row.take(pa.array(np.concatenate(docs))), pa.array(found.view(np.int64)), pa.array(marked(sketch, found))],
+                    names=["doc", "shingle", "hit"],
                 )
 
     return run
@@ -105,16 +104,18 @@ def contained_items(
     ), "items")
     widths = sorted(r[0] for r in shingles.select("n_shingle_words").distinct().collect())  # at most ``width``
     doc_kind = documents.schema[doc_id].dataType.simpleString()
-    hits = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).mapInArrow(
+    hits = stored(documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).mapInArrow(
         _hits(widths or [width], bit_array(shingles.where("sketch"), "shingle"), bit_array(shingles, "shingle")),
-        f"doc {doc_kind}, shingle long",
-    )
+        f"doc {doc_kind}, shingle long, hit boolean",
+    ).distinct(), "hits")
     # an item row's shingles; several rows of one id add up
     held = shingles.groupBy("item", "shingle").agg(F.max("sketch").alias("sketch"))
     size = held.groupBy("item").agg(F.count("*").alias("n_item"))
-    found = hits.distinct().join(held, "shingle").groupBy("doc", "item").agg(
-        F.count("*").alias("n_shared"), F.max("sketch").alias("sketched")
-    ).where("sketched")
+    pairs = hits.where("hit").join(held.where("sketch"), "shingle").select("doc", "item").distinct()
+    asked = pairs.withColumnRenamed("item", "of").join(held.select("item", F.col("shingle").alias("asked")), F.col("of").eqNullSafe(F.col("item")))
+    owned = hits.select(F.col("doc").alias("owner"), "shingle")
+    found = asked.join(owned, F.col("doc").eqNullSafe(F.col("owner")) & (F.col("asked") == F.col("shingle")))
+    found = found.groupBy("doc", "item").agg(F.count("*").alias("n_shared"))
     size = size.withColumnRenamed("item", "of")
     found = found.join(size, F.col("item").eqNullSafe(F.col("of"))).where(100 * F.col("n_shared") >= percent * F.col("n_item"))
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "n_item", "n_shared")

@@ -103,3 +103,14 @@ def test_verdicts_and_odd_tables(spark):
     assert [got[40], got[41], got[42], got[44]] == ["block", "allow", "block", "allow"] and len(got) == len(urls)
     assert urlrules.judge(table.limit(0), URL_RULES).collect() == []
     assert {r.verdict for r in urlrules.judge(table.where("page_id = 40"), URL_RULES).collect()} == {"allow"}
+
+
+def test_an_item_over_two_rows_of_one_id(docs, spark):
+    """Either row may be the one without a sketch entry; a null id is one id as well."""
+    said = {i: [f"w{i}x{k}" for k in range(20)] for i in range(30)}
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in said.items()], "item_id long, text string")
+    of = lambda i: i if i else None
+    rows = [(of(i), " ".join(["x", *w[:16], "y"])) for i, w in said.items()] + [(of(i), " ".join(w[12:])) for i, w in said.items()]
+    found = contamination.contained_items(docs(rows), items).collect()
+    assert sorted(tuple(r) for r in found if r.doc_id) == [(i, i, 16, 16) for i in range(1, 30)]
+    assert [tuple(r) for r in found if r.doc_id is None] == [(None, 0, 16, 16)]
