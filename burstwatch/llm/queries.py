@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from burstwatch.llm import (
-    bpe, chat, contamination, jaccard, language, pseudonyms, quality, toxicity, unigram, urlrules,
+    bpe, chat, contamination, exactdup, jaccard, language, pseudonyms, quality, repair, resampling, toxicity, unigram,
+    urlrules,
 )
 from burstwatch.llm.shared import fold_of, stored
 
@@ -226,3 +227,155 @@ def op10_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, kinds="kinds")
     return found.select("doc_id", "text", "kinds", F.size("kinds").cast("long").alias("n_pseudonyms"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with faults put in by a checksum of conversation and turn; ``dropped`` ones are marked."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat_ws(":", *named).cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    rows = conversations.select("conv_id", "turn", kind.alias("kind"), role.alias("role"), text.alias("text"))
+    times = F.when(F.col("kind") == 3, F.sequence(F.lit(1), F.lit(2))).otherwise(F.sequence(F.lit(1), F.lit(1)))
+    return rows.select(
+        "conv_id", "turn", (F.col("kind") == 0).alias("dropped"),
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(times).alias("copy"),
+    ).drop("copy")
+
+
+# A checksum table, and the checksum of a list of bytes under the table ``t``.
+_CRC_TABLE = """(SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+_CRC = "xor(list_reduce(list_concat([4294967295], {0}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _least(*options: str) -> str:
+    return "list_min([" + ", ".join(options) + "])"
+
+
+def _then(value: str, cost: str, letters: str) -> str:
+    return f"{{'c': {value}.c + {cost}, 'a': '{letters}' || {value}.a}}"
+
+
+# Values v0 to v3 of the rest by what came last (nothing, system, user, assistant); b0 to b3 before insertions.
+_BEFORE_ROW = ", ".join(
+    _least(_then(f"v{g}", "3", "D"), *(
+        f"CASE WHEN fault < 2 AND initial = '{i}' THEN {_then(f'v{to}', 'fault', 'K')} END" for i, to in kept
+    ), f"CASE WHEN fault < 2 THEN {_then(f'v{changed}', '2 + fault', 'R')} END") + f" AS b{g}"
+    for g, (kept, changed) in enumerate([([("s", 1), ("u", 2)], 2), ([("u", 2)], 2), ([("a", 3)], 3), ([("u", 2)], 2)])
+)
+_WITH_INSERTIONS = ", ".join([
+    _least("b0", _then("b2", "2", "I"), _then("b3", "4", "II")) + " AS v0",
+    _least("b1", _then("b2", "2", "I"), _then("b3", "4", "II")) + " AS v1",
+    _least("b2", _then("b3", "2", "I")) + " AS v2", _least("b3", _then("b2", "2", "I")) + " AS v3",
+])
+_REPAIR_SQL = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+kinds AS (
+  SELECT *, {_CRC.format("list_transform(string_split(k, ''), lambda x: CAST(ord(x) AS BIGINT))")} % 20 AS kind
+  FROM keyed, {_CRC_TABLE}),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds, range(2) r(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos, left(role, 1) AS initial,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS whole FROM damaged),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth FROM placed),
+faults AS (
+  SELECT *, CASE WHEN whole = '' THEN 3 WHEN nth > 1 THEN 2 WHEN right(whole, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS fault,
+    coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial, 'su') AS pair FROM seen),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 3) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM faults GROUP BY conv_id),
+ends AS (SELECT {{'c': 0, 'a': ''}} AS b0, {{'c': 1000000, 'a': ''}} AS b1, {{'c': 1000000, 'a': ''}} AS b2, {{'c': 0, 'a': ''}} AS b3),
+solved AS (
+  SELECT conv_id, n + 1 AS pos, {_WITH_INSERTIONS} FROM counts, ends
+  UNION ALL
+  SELECT conv_id, pos, {_WITH_INSERTIONS} FROM (
+    SELECT s.conv_id, f.pos, {_BEFORE_ROW} FROM solved s JOIN faults f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.pos = s.pos - 1)),
+answers AS (SELECT conv_id, v0.c AS cost, v0.a AS audit FROM solved WHERE pos = 1),
+letters AS (
+  SELECT conv_id, i, audit[i] AS letter,
+    length(regexp_replace(audit[1:i], '[^KRD]', '', 'g')) AS pos FROM answers, unnest(range(1, length(audit) + 1)) u(i)),
+-- kept rows fix the states; a rerolled or inserted row's role follows from how many u and a rows came before
+rows AS (
+  SELECT l.conv_id, l.i, l.letter, f.role, f.text, f.initial,
+    count(*) FILTER (NOT (letter = 'K' AND f.initial = 's')) OVER (PARTITION BY l.conv_id ORDER BY l.i) AS nth
+  FROM letters l LEFT JOIN faults f ON l.letter <> 'I' AND f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.pos = l.pos
+  WHERE l.letter <> 'D'),
+texts AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN nth % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+    CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS t FROM rows GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN answers a ON a.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query(_REPAIR_SQL)
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = damaged(_table(spark, folder, "conversations"))
+    found = stored(repair.verdicts(rows, absent=F.col("dropped")), "verdicts")
+    hashed = repair.digests(repair.repaired(rows, found, absent=F.col("dropped"))).withColumnRenamed("conv_id", "of")
+    return found.join(hashed, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of").withColumn(
+        "repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256))
+    )
+
+
+_COPIES_SQL = """
+WITH hashed AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+  row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
+FROM hashed WINDOW g AS (PARTITION BY text_sha256)
+"""
+
+
+@query(_COPIES_SQL)
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select(
+        "doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
+    return exactdup.classes(docs, columns=["text_sha256"])
+
+
+_RESAMPLING_SQL = rf"""
+WITH words AS (
+  SELECT kind, row_nr, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT 'd' AS kind, row_number() OVER () AS row_nr, doc_id, text FROM documents
+    UNION ALL SELECT 'b', row_number() OVER (), item_id, text FROM benchmark)),
+bytes AS (SELECT w, list_transform(range(length(h) // 2), lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT)) AS b
+  FROM (SELECT w, hex(w) AS h FROM (SELECT DISTINCT w FROM words))),
+buckets AS (SELECT w, {_CRC.format("b")} % 10000 AS bucket FROM bytes, {_CRC_TABLE}),
+counted AS (
+  SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM words JOIN buckets USING (w) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * (sum(s) OVER () + 10000)
+    / (CAST(s + 1 AS DOUBLE) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM counted),
+weighed AS (
+  SELECT row_nr, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM words JOIN buckets USING (w) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY row_nr),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 *
+    ln(-ln((CAST(('0x' || left(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8)) AS BIGINT) + 0.5e0) / 4294967296e0))) AS BIGINT) AS score
+  FROM (SELECT doc_id, row_number() OVER () AS row_nr FROM documents) LEFT JOIN weighed USING (row_nr)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST, n_features, weight) AS r,
+    count(*) FILTER (n_features >= 20) OVER () * 10 // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND r <= drawn THEN r END AS rank FROM ranked
+"""
+
+
+@query(_RESAMPLING_SQL)
+def op13_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return resampling.resample(docs, target).drop("n_words")
