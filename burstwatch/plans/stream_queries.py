@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+import time
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from burstwatch import sources
 from burstwatch.operators import detect, edits, features, news
+from burstwatch.operators.ranking import first_per_key
 from burstwatch.plans import tables
+from burstwatch.plans.detect_queries import ALERTS_SQL, STAND_IN
 from burstwatch.plans.edit_queries import _EDIT_COLUMNS
 from burstwatch.plans.registry import query
 from burstwatch.plans.tables import with_
 from burstwatch.schemas import ANOMALY_SCHEMA, NEWS_SCHEMA, VERDICT_SCHEMA
 from burstwatch.session import scratch_dir
 from burstwatch.sources import sinks
-from burstwatch.streaming import jobs
+from burstwatch.streaming import RecentIds, jobs
 
 
 def _landed(spark, folder, records):
@@ -74,16 +78,34 @@ def stream_sliding_features(spark, folder):
 
 @query()
 def stream_alerts(spark, folder):
-    """The scoring job: stream features, forest, alerts with comments from the archived edits."""
+    """The scoring job: stream features, forest, alerts with the comments that the stream has kept."""
     model = detect.IsolationForest.fit(features.tumbling(tables.edits(spark, folder)))
     path = scratch_dir(spark, "alerts")
-    jobs.score_edits(
-        _event_stream(spark, folder), model, jobs.folder_writer(path), scratch_dir(spark, "checkpoint"),
-        lake=lambda: tables.edits(spark, folder),
-    ).awaitTermination()
+    job = jobs.score_edits(_event_stream(spark, folder), model, jobs.folder_writer(path), scratch_dir(spark, "checkpoint"))
+    job.awaitTermination()
     return sources.decode_json(spark.read.schema("key string, value string").parquet(path), ANOMALY_SCHEMA)
 
 
+class _StandIn:
+    """A score that SQL can follow."""
+
+    def score(self, rows):
+        return rows.withColumn("anomaly_score", F.expr(STAND_IN))
+
+
+@query(ALERTS_SQL.replace("FROM events)", "FROM events WHERE event_type NOT IN ('error', 'signup'))", 1) + """
+  SELECT * REPLACE (round(anomaly_score, 6) AS anomaly_score) FROM alerts""")
+def stream_alert_comments(spark, folder):
+    """The scoring job's last alert of each window: counts, and comments out of the stream's own state."""
+    path = scratch_dir(spark, "alerts")
+    job = jobs.score_edits(_event_stream(spark, folder), _StandIn(), jobs.folder_writer(path), scratch_dir(spark, "checkpoint"))
+    job.awaitTermination()
+    written = spark.read.schema("key string, value string, batch int").parquet(path)
+    alerts = sources.decode_json(written, ANOMALY_SCHEMA, ["batch"])
+    last = first_per_key(alerts, ["page_title", "window_start"], [F.desc("batch")]).drop("batch")
+    return last.withColumn("anomaly_score", F.round("anomaly_score", 6))
+
+
 def _with_snippets(spark, folder):
     """Every entry with its document's snippet; repeated URLs stay."""
     snippets = news.build_snippets(tables.ngrams(spark, folder), ("toc_timestamp", "docid"))
@@ -142,3 +164,111 @@ def stream_verdicts(spark, folder):
         "key", "page_title", "edit_count", "matched", F.round("similarity_score", 6).alias("similarity_score"),
         "similarity_threshold", *closest,
     )
+
+
+def _own_urls(spark, folder):
+    """News entries whose URLs do not repeat."""
+    url = F.concat(F.trim("url"), F.lit("?d="), F.col("ID").cast("string"))
+    return tables.toc(spark, folder).withColumn("url", url)
+
+
+_OWN_ARTICLES = """, own AS (SELECT * REPLACE (sha256(url || '?d=' || toc_id) AS event_id, url || '?d=' || toc_id AS url) FROM articles)"""
+# Minutes by number: quadgrams of some come late, of others never.
+_LATE, _NEVER = "floor({0} / 10) % 5 = 2", "floor({0} / 10) % 7 = 3"
+
+
+def _land(lines, path):
+    """Lines as gzipped files, one per minute."""
+    rows = lines.select("value", "toc_timestamp").repartition("toc_timestamp")
+    rows.write.mode("append").partitionBy("toc_timestamp").option("compression", "gzip").text(path)
+
+
+def _until(query, done, seconds=900):
+    """Wait until the job has done something, or fail with it."""
+    end = time.monotonic() + seconds
+    while not done():
+        if query.exception() is not None:
+            raise query.exception()
+        if time.monotonic() > end:
+            raise TimeoutError("the job did not get there")
+        time.sleep(0.5)
+
+
+@query(with_("toc", "articles", "ngrams", "snippets") + _OWN_ARTICLES + f"""
+  SELECT event_id, toc_id, o.toc_timestamp, title, url, CASE WHEN {_NEVER.format("toc_id")} THEN '' ELSE coalesce(snippet, '') END AS snippet,
+    CAST(1 AS BIGINT) AS published,
+    NOT {_NEVER.format("toc_id")} AND o.toc_timestamp IN (SELECT toc_timestamp FROM ngrams) AS complete
+  FROM own o LEFT JOIN snippets s ON s.docid = o.toc_id AND s.toc_timestamp = o.toc_timestamp WHERE language = 'en'""")
+def stream_news_ingest(spark, folder):
+    """The news job over landed minute files, some of whose quadgrams come late or never.
+
+    The job runs until all minutes whose quadgrams come are published, is stopped, and started again
+    with no more patience for the others.
+    """
+    path, out, checkpoint = (scratch_dir(spark, n) for n in ("landed-news", "news", "checkpoint"))
+    toc = _own_urls(spark, folder)
+    fields = [c for c in toc.columns if c not in ("toc_timestamp", "pos")]
+    _land(toc.select(F.to_json(F.struct(*fields)).alias("value"), "toc_timestamp"), f"{path}/toc")
+    grams = tables.ngrams(spark, folder).filter(f"NOT ({_NEVER.format('docid')})").select(
+        F.concat_ws("\t", F.col("docid").cast("string"), "quadgram", F.col("count").cast("string")).alias("value"),
+        "toc_timestamp", F.expr(_LATE.format("docid")).alias("late"),
+    )
+    _land(grams.filter("NOT late"), f"{path}/ngrams")
+
+    def start(give_up):
+        return jobs.ingest_news(
+            spark, path, jobs.folder_writer(out), checkpoint, every="1 second", hold=timedelta(seconds=2), give_up=give_up,
+        )
+
+    def settled():
+        try:
+            return jobs.read_news_ledger(spark, checkpoint).count()
+        except AnalysisException:  # no minute yet
+            return 0
+
+    minutes = toc.select("toc_timestamp", F.expr(_LATE.format("ID")).alias("late"), F.expr(_NEVER.format("ID")).alias("never"))
+    held = tables.ngrams(spark, folder).select("toc_timestamp").distinct()  # a minute of short texts has none
+    counted = minutes.distinct().join(held.withColumn("some", F.lit(True)), "toc_timestamp", "left").groupBy().agg(
+        F.count("*").alias("all"), F.count_if(F.expr("some AND NOT never")).alias("coming"),
+        F.count_if(F.expr("some AND NOT never AND NOT late")).alias("early"),
+    ).first()
+    job = start(timedelta(hours=2))
+    try:
+        _until(job, lambda: settled() >= counted["early"])
+        _land(grams.filter("late"), f"{path}/ngrams")
+        _until(job, lambda: settled() >= counted["coming"])
+    finally:
+        job.stop()
+    job = start(timedelta(seconds=3))
+    # a started query looks at its timers from the first batch with files on, also files it does not know
+    spark.createDataFrame([("",)], "value string").coalesce(1).write.option("compression", "gzip").text(f"{path}/note")
+    try:
+        _until(job, lambda: settled() >= counted["all"])
+    finally:
+        job.stop()
+    ledger = jobs.read_news_ledger(spark, checkpoint).select("toc_timestamp", (F.size("ngrams") > 0).alias("complete"))
+    published = sources.decode_json(spark.read.schema("key string, value string").parquet(out), NEWS_SCHEMA)
+    times = published.groupBy("event_id", "toc_id", "toc_timestamp", "title", "url", "snippet").agg(F.count("*").alias("published"))
+    return times.join(ledger, "toc_timestamp")
+
+
+@query(with_("toc", "articles") + _OWN_ARTICLES + """ SELECT event_id, CAST(batch AS BIGINT) AS batch FROM own,
+  (VALUES (0, 0), (1, 1), (2, 2), (3, 3), (0, 4)) b(part, batch) WHERE toc_id % 4 = part""")
+def stream_recent_news(spark, folder):
+    """Articles that are sent again: dropped in the batch after, handed on once enough others came between.
+
+    Every batch brings more ids than are remembered, so each opens a generation.
+    """
+    path, out, checkpoint, recent = (scratch_dir(spark, n) for n in ("landed-news", "news", "checkpoint", "recent"))
+    articles = news.normalize(_own_urls(spark, folder))
+    ids = RecentIds(spark, recent, capacity=20)
+    write = jobs.folder_writer(out)
+    for parts in ((0,), (0, 1), (2,), (3,), (0,)):
+        lines = articles.filter((F.col("toc_id") % 4).isin(*parts))
+        lines.select(F.to_json(F.struct("event_id", "title", "url")).alias("value")).write.mode("append").text(path)
+        rows = sources.decode_json(sources.text_stream(spark, path), NEWS_SCHEMA).select("event_id")
+        (
+            rows.writeStream.foreachBatch(lambda batch, i: ids.publish(batch, i, write)).trigger(availableNow=True)
+            .option("checkpointLocation", checkpoint).start().awaitTermination()
+        )
+    return spark.read.parquet(out).select("event_id", F.col("batch").cast("bigint").alias("batch"))

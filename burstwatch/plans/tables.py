@@ -175,7 +175,7 @@ def api_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def toc(spark: SparkSession, folder: str) -> DataFrame:
-    """News entries from ``documents``: the first line is the title, the URL comes from ``pages``.
+    """News entries from ``documents``: the whole text is the title, the URL comes from ``pages``.
 
     There are more documents than pages, so URLs repeat. Ten entries share a minute.
     """
@@ -188,7 +188,7 @@ def toc(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format(minute, "yyyy-MM-dd'T'HH:mm:ss.000'Z'").alias("date"),
         F.when(F.col("lang") == "en", "").otherwise(F.concat("page_url", F.lit("/i.png"))).alias("img"),
         "lang",
-        F.element_at(F.split("text", "\n"), 1).alias("title"),
+        F.col("text").alias("title"),
         F.concat(F.lit(" "), "page_url", F.lit("  ")).alias("url"),
         F.date_format(minute, MINUTE_KEY).alias("toc_timestamp"),
         F.col("doc_id").alias("pos"),
@@ -336,6 +336,7 @@ def verdict_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 _LIST = ", ".join("'" + c.replace("'", "''") + "'" for c in COMMENTS)
 _ISO = "'%Y-%m-%dT%H:%M:%SZ'"
+_STRIPPED = "trim(t.title, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
 SQL = {
     "edits": f"""edits AS (
@@ -373,7 +374,7 @@ SQL = {
         SELECT d.doc_id AS "ID",
           strftime(TIMESTAMP '2024-01-01' + to_minutes(d.doc_id // 10), '%Y-%m-%dT%H:%M:%S.000Z') AS "date",
           CASE WHEN d.lang = 'en' THEN '' ELSE p.url || '/i.png' END AS img, d.lang,
-          string_split(d.text, chr(10))[1] AS title, ' ' || p.url || '  ' AS url,
+          d.text AS title, ' ' || p.url || '  ' AS url,
           strftime(TIMESTAMP '2024-01-01' + to_minutes(d.doc_id // 10), '%Y%m%d%H%M00') AS toc_timestamp,
           d.doc_id AS pos
         FROM documents d JOIN pages p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages))""",
@@ -392,11 +393,11 @@ SQL = {
         SELECT toc_timestamp, docid, string_agg(q, ' ' ORDER BY total DESC, first_pos) AS snippet
         FROM (SELECT *, row_number() OVER (PARTITION BY docid ORDER BY total DESC, first_pos) AS rn FROM totals)
         WHERE rn <= 5 GROUP BY 1, 2)""",
-    "articles": """articles AS (
+    "articles": f"""articles AS (
         SELECT sha256(trim(t.url)) AS event_id, t."ID" AS toc_id, t.toc_timestamp, t."date" AS gdelt_seen_at,
-          trim(t.title) AS title, trim(t.url) AS url, t.lang AS language, nullif(t.img, '') AS image_url,
+          {_STRIPPED} AS title, trim(t.url) AS url, t.lang AS language, nullif(t.img, '') AS image_url,
           'gdelt_web_ngrams' AS source, 'article' AS event_type, t.pos
-        FROM toc t WHERE trim(t.title) <> '' AND trim(t.url) <> '')""",
+        FROM toc t WHERE {_STRIPPED} <> '' AND trim(t.url) <> '')""",
     "verdicts": f"""verdicts AS (
         SELECT *, CASE event_type WHEN 'signup' THEN strftime(ws, '%Y-%m-%d %H:%M:%S') ELSE strftime(ws, {_ISO}) END AS window_start,
           CASE event_type WHEN 'signup' THEN strftime(we, '%Y-%m-%d %H:%M:%S') ELSE strftime(we, {_ISO}) END AS window_end,

@@ -81,17 +81,29 @@ def read_edit_lake(
     )
 
 
+# A minute's name in a path: the last fourteen digits between separators.
+MINUTE_NAME = r"^.*[/=](\d{14})[./]"
+
+
+def _lines(text: DataFrame) -> DataFrame:
+    return text.select(
+        "value",
+        F.regexp_extract(F.col("_metadata.file_path"), MINUTE_NAME, 1).alias("toc_timestamp"),
+        # Gzip files are not split, so ids rise with the line order of a file.
+        F.monotonically_increasing_id().alias("pos"),
+    )
+
+
+def minute_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``value, toc_timestamp, pos`` of the lines of the named files; no name gives no line."""
+    if not paths:
+        return spark.createDataFrame([], "value string, toc_timestamp string, pos bigint")
+    return _lines(spark.read.text(list(paths)))
+
+
 def _minute_files(spark: SparkSession, path: str, suffix: str, minutes: Sequence[str] | None):
     names = "*" if minutes is None else "{" + ",".join(sorted(minutes)) + "}"
-    return (
-        spark.read.option("pathGlobFilter", names + suffix).text(path)
-        .select(
-            "value",
-            F.regexp_extract(F.col("_metadata.file_name"), r"(\d{14})\.", 1).alias("toc_timestamp"),
-            # Gzip files are not split, so ids rise with the line order of a file.
-            F.monotonically_increasing_id().alias("pos"),
-        )
-    )
+    return _lines(spark.read.option("pathGlobFilter", names + suffix).text(path))
 
 
 def decode_toc(lines: DataFrame, keep: Sequence[str] = ("toc_timestamp", "pos")) -> DataFrame:

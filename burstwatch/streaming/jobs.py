@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
+from typing import Protocol
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,8 +19,9 @@ from burstwatch.operators import detect, features, news as news_ops, verify
 from burstwatch.operators.nearest import RETENTION
 from burstwatch.operators.ranking import first_per_key
 from burstwatch.schemas import NEWS_SCHEMA
-from burstwatch.sources.files import decode_toc, read_ngrams
+from burstwatch.sources.files import MINUTE_NAME, decode_ngrams, decode_toc, minute_lines
 from burstwatch.sources.sinks import keyed_json, trigger
+from burstwatch.streaming.state import RECENT_IDS, RecentIds, first_comments, settled_minutes
 
 Writer = Callable[[DataFrame, int], None]
 Clock = Callable[[], datetime]
@@ -47,43 +49,72 @@ def topic_batch_writer(topic: str, servers: str) -> Writer:
     return write
 
 
+class Scorer(Protocol):
+    """What adds an ``anomaly_score`` to feature rows: a fitted forest, or anything of its shape."""
+
+    def score(self, rows: DataFrame) -> DataFrame: ...
+
+
 def score_edits(
     events: DataFrame,
-    model: detect.IsolationForest,
+    model: Scorer,
     write: Writer,
     checkpoint: str,
-    lake: Callable[[], DataFrame] | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
     """Score sliding windows as they change and publish the alerts, keyed by page.
 
-    Window state holds counters and a fixed-size editor sketch only. Comments are
-    looked up afterwards, in the archived edits (``lake``) of the flagged windows:
-    gathering them in the state would keep every comment of a hot page. A window
-    that changes is published again, then with what has been archived by that time.
+    Two states run side by side in one query and see the same edits: the windows' counters
+    with a sketch of their editors, and the windows' first comments. Both have a fixed size
+    per window. A batch holds a row of either for each window that an edit came into, so that an
+    alert carries the comments that belong to its counts; no other table is read. A window that changes
+    is published again.
     """
-    scored = model.score(features.sliding(events))
+    keys = ["page_title", "window_end"]
+    rows = features.sliding(events).withColumn("window_end", F.unix_micros("window.end"))
+    both = rows.unionByName(first_comments(events), allowMissingColumns=True)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        flagged = batch.filter("anomaly_score < 0").persist(StorageLevel.MEMORY_AND_DISK)
+        # one pass over the states serves both halves
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            span = flagged.agg(F.min("window.start").alias("a"), F.max("window.end").alias("b")).first()
-            rows = flagged
-            if lake is not None and span["a"] is not None:
-                edits = lake().filter(F.col("event_time").between(span["a"], span["b"]))
-                rows = features.attach_comments(flagged, edits)
-            write(keyed_json(detect.alerts(rows), "page_title"), batch_id)
+            found = model.score(batch.filter("window IS NOT NULL").drop("comments")).filter("anomaly_score < 0")
+            said = batch.filter("window IS NULL AND comments <> ''").select(
+                F.col("page_title").alias("of"), F.col("window_end").alias("until"), F.col("comments").alias("recent_comments")
+            )
+            same = F.col("page_title").eqNullSafe(F.col("of")) & (F.col("window_end") == F.col("until"))
+            alerts = detect.alerts(found.join(said, same, "left").drop("of", "until"))
+            write(keyed_json(alerts, "page_title"), batch_id)
         finally:
-            flagged.unpersist()
+            batch.unpersist()
 
     return (
-        scored.writeStream.foreachBatch(publish).outputMode("update")
+        both.writeStream.foreachBatch(publish).outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(every))
         .start()
     )
 
 
+# The kind of a file, the last in its path.
+KIND_NAME = r"^.*[/.](toc|ngrams)[/.]"
+
+
+def landed_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """A stream of ``toc_timestamp, kind, path`` of the feed's files below ``path``; their content is not read.
+
+    Files are named ``{minute}.toc.json.gz`` and ``{minute}.ngrams.txt.gz``, or lie in folders
+    such as ``toc/{minute}/`` and ``ngrams/{minute}/``.
+    """
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    minute, kind = F.regexp_extract("path", MINUTE_NAME, 1), F.regexp_extract("path", KIND_NAME, 1)
+    named = reader.load(path).select(minute.alias("toc_timestamp"), kind.alias("kind"), "path")
+    return named.filter("toc_timestamp <> '' AND kind <> ''")
+
+
 def ingest_news(
     spark: SparkSession,
     path: str,
@@ -91,43 +122,59 @@ def ingest_news(
     checkpoint: str,
     languages: Sequence[str] = ("en",),
     every: str | None = None,
-    files_per_batch: int = 50,
-    remember: Callable[[], DataFrame] | None = None,
+    files_per_batch: int | None = None,
+    hold: timedelta = timedelta(minutes=news_ops.DELAY_MINUTES),
+    give_up: timedelta = timedelta(minutes=news_ops.LOOKBACK_MINUTES),
+    remember: timedelta = timedelta(minutes=news_ops.LEDGER_MINUTES),
+    recent_ids: int = RECENT_IDS,
+    keep_ids: timedelta | None = None,
 ) -> StreamingQuery:
     """Turn newly landed minute files into article events keyed by ``event_id``.
 
-    The file source remembers which minutes it has read. The quadgram files of a
-    batch are picked by name (at most ``files_per_batch`` minutes); a missing one
-    leaves its articles without snippet. ``remember`` gives the articles published
-    before, whose ids are not published again.
+    A minute is held for ``hold`` after its table of contents came in; while its quadgrams are
+    not there it waits on, up to ``give_up``, and is then published without snippets. Without an
+    interval (``every``) the files that are there are drained at once, and no minute is held.
+    Below the checkpoint, ``ledger`` pairs each published minute with its files, and ``recent`` holds
+    the last ``recent_ids`` article ids (of the last ``keep_ids`` only, if given), which are not published again.
+    A job that was started again looks at held minutes once the next file has landed.
     """
-    landed = (
-        spark.readStream.option("pathGlobFilter", "*.toc.json.gz")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .text(path)
-        .select("value", F.col("_metadata.file_name").alias("file"))
+    none = timedelta(0)
+    minutes = settled_minutes(
+        landed_files(spark, path, files_per_batch if every else None),
+        *((hold, give_up) if every else (none, none)), remember,
     )
+    root = checkpoint.rstrip("/")
+    recent = RecentIds(spark, f"{root}/recent", recent_ids, keep=keep_ids)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        minute = F.regexp_extract("file", r"(\d{14})\.", 1)
-        lines = batch.select(
-            "value", minute.alias("toc_timestamp"), F.monotonically_increasing_id().alias("pos")
-        )
-        minutes = [r[0] for r in lines.select("toc_timestamp").distinct().collect()]
-        if not minutes:
+        settled = batch.collect()  # file names of the minutes that were let go
+        if not settled:
             return
-        ngrams = read_ngrams(spark, path, minutes)
-        articles = news_ops.assemble(decode_toc(lines), ngrams, languages)
-        if remember is not None:
-            articles = articles.join(remember().select("event_id"), "event_id", "left_anti")
-        write(keyed_json(articles, "event_id", ignore_nulls=False), batch_id)
+        toc, ngrams = (sorted(p for r in settled for p in r[kind]) for kind in ("toc", "ngrams"))
+        articles = news_ops.assemble(decode_toc(minute_lines(spark, toc)), decode_ngrams(minute_lines(spark, ngrams)), languages)
+        recent.publish(articles, batch_id, lambda rows, _: write(keyed_json(rows, "event_id", ignore_nulls=False), batch_id))
+        done = spark.createDataFrame(settled, batch.schema).withColumn("settled_at", F.current_timestamp())
+        done.coalesce(1).write.mode("overwrite").parquet(f"{root}/ledger/batch={batch_id}")
+
+    # batches without files serve the timers; draining would go on with them for ever
+    empty = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(empty)
+    spark.conf.set(empty, str(every is not None).lower())
+    try:
+        return (
+            minutes.writeStream.foreachBatch(publish)
+            .option("checkpointLocation", f"{root}/query")
+            .trigger(**trigger(every))
+            .start()
+        )
+    finally:
+        spark.conf.set(empty, before)
 
-    return (
-        landed.writeStream.foreachBatch(publish)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger(every))
-        .start()
-    )
+
+def read_news_ledger(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``toc_timestamp, toc, ngrams, held_ms, settled_at``: the published minutes with their files."""
+    schema = "toc_timestamp string, toc array<string>, ngrams array<string>, held_ms bigint, settled_at timestamp"
+    return spark.read.schema(schema).parquet(f"{checkpoint.rstrip('/')}/ledger")
 
 
 def index_news(

@@ -7,7 +7,9 @@ import pytest
 
 from burstwatch import detect, edits, features, sinks, sources
 from burstwatch.schemas import ANOMALY_SCHEMA, NEWS_SCHEMA, VERDICT_SCHEMA
-from burstwatch.streaming import index_news, ingest_news, read_news_index, score_edits, verify_anomalies
+from burstwatch.streaming import (
+    RecentIds, index_news, ingest_news, read_news_index, read_news_ledger, score_edits, verify_anomalies,
+)
 from burstwatch.streaming.jobs import folder_writer
 
 NOW = datetime(2026, 8, 10, 14, 0, tzinfo=timezone.utc)
@@ -93,9 +95,7 @@ def test_scoring_job(spark, tmp_path):
     model = detect.IsolationForest.fit(features.with_ratios(calm), trees=30)
     base = 1_800_000_000 // 900 * 900
     land(tmp_path / "in", "a.json", [edit(i, base + i, "Breaking", "[[Fire]] reported") for i in range(300)])
-    job = score_edits(
-        events(spark, tmp_path / "in"), model, folder_writer(str(tmp_path / "out")), str(tmp_path / "cp"),
-        lake=lambda: edits.with_event_time(sources.decode_edits(spark.read.text(str(tmp_path / "in")))))
+    job = score_edits(events(spark, tmp_path / "in"), model, folder_writer(str(tmp_path / "out")), str(tmp_path / "cp"))
     job.awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     alerts = sources.decode_json(out, ANOMALY_SCHEMA).collect()
@@ -116,24 +116,103 @@ def entry(i, **over):
     return {"ID": i, "date": "2026-08-06T02:17:00.000Z", "img": "", "lang": "en", "title": f"T{i}", "url": f"https://e.com/{i}", **over}
 
 
+def published(spark, out):
+    rows = spark.read.schema("key string, value string").option("recursiveFileLookup", "true").parquet(out)
+    return sorted((r["toc_id"], r["toc_timestamp"], r["snippet"]) for r in sources.decode_json(rows, NEWS_SCHEMA).collect())
+
+
 def test_news_ingest(spark, tmp_path):
     out = str(tmp_path / "out")
 
-    def published():
-        rows = spark.read.schema("key string, value string").option("recursiveFileLookup", "true").parquet(out)
-        return sources.decode_json(rows, NEWS_SCHEMA)
-
     def run():
-        ingest_news(spark, str(tmp_path / "in"), folder_writer(out), str(tmp_path / "cp"),
-                    remember=lambda: published()).awaitTermination()
-        return sorted((r["toc_id"], r["toc_timestamp"], r["snippet"]) for r in published().collect())
+        ingest_news(spark, str(tmp_path / "in"), folder_writer(out), str(tmp_path / "cp")).awaitTermination()
+        return published(spark, out)
 
-    (tmp_path / "out").mkdir()
     land_minute(tmp_path / "in", "20260806021700", [entry(1), entry(2, lang="fr"), entry(3, title=""), entry(4, url="https://e.com/1")],
                 ["1\tsome real words here.\t3"])
     assert run() == [(1, "20260806021700", "some real words here")]
     land_minute(tmp_path / "in", "20260806021800", [entry(1), entry(5)])  # no quadgrams; the first URL again
     assert run() == [(1, "20260806021700", "some real words here"), (5, "20260806021800", "")]
+    ledger = {r["toc_timestamp"]: (len(r["toc"]), len(r["ngrams"])) for r in read_news_ledger(spark, str(tmp_path / "cp")).collect()}
+    assert ledger == {"20260806021700": (1, 1), "20260806021800": (1, 0)}
+    # quadgrams of a published minute publish nothing again
+    land_minute(tmp_path / "in", "20260806021900", [entry(6)])
+    (tmp_path / "in" / "20260806021800.ngrams.txt.gz").write_bytes(gzip.compress(b"5\tfour words too late\t1"))
+    assert run()[1:] == [(5, "20260806021800", ""), (6, "20260806021900", "")]
+
+
+def test_minutes_wait_for_their_quadgrams(spark, tmp_path):
+    import time
+
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    land_minute(tmp_path / "in", "20260806021700", [entry(1)])
+    job = ingest_news(spark, str(tmp_path / "in"), folder_writer(out), cp, every="1 second",
+                      hold=timedelta(seconds=1), give_up=timedelta(hours=1))
+    try:
+        end = time.monotonic() + 120
+        while len([p for p in job.recentProgress if p["batchId"] >= 2]) < 2 and time.monotonic() < end:
+            assert job.exception() is None
+            time.sleep(0.5)
+        assert not (tmp_path / "cp" / "ledger").exists()  # held well past a second
+        (tmp_path / "in" / "20260806021700.ngrams.txt.gz").write_bytes(gzip.compress(b"1\there it is now\t1"))
+        while not (tmp_path / "cp" / "ledger").exists() and time.monotonic() < end:
+            time.sleep(0.5)
+    finally:
+        job.stop()
+    assert published(spark, out) == [(1, "20260806021700", "here it is now")]
+
+
+def test_recent_ids(spark, tmp_path):
+    clock = [NOW]
+    handed = {}
+    ids = RecentIds(spark, str(tmp_path / "log"), capacity=3, keep=timedelta(hours=5), clock=lambda: clock[0])
+
+    def send(batch, keys):
+        rows = spark.createDataFrame([(k,) for k in keys], "event_id string")
+        ids.publish(rows, batch, lambda fresh, i: handed.update({i: sorted((r[0] or "" for r in fresh.collect()))}))
+        return handed[batch]
+
+    assert send(0, ["a", "b", None, None]) == ["", "", "a", "b"]
+    assert send(1, ["a", "c"]) == ["c"]
+    assert send(1, ["a", "c"]) == ["c"]  # the batch runs again after a failure
+    assert send(2, ["b", "d"]) == ["d"]  # opens a generation
+    assert send(3, ["a", "d", "e", "f"]) == ["e", "f"]
+    assert send(4, ["a", "d", "g"]) == ["a", "g"]  # the first generation is forgotten
+    assert send(4, ["a", "d", "g"]) == ["a", "g"]
+    assert send(5, ["d", "h", "i"]) == ["h", "i"]
+    assert len(list((tmp_path / "log").iterdir())) <= 3
+    clock[0] = NOW + timedelta(hours=6)
+    assert send(6, ["h"]) == ["h"]  # too long ago
+    with pytest.raises(ValueError, match="capacity"):
+        RecentIds(spark, str(tmp_path / "log"), capacity=0)
+
+
+def test_comments_are_the_earliest_of_each_window(spark, tmp_path):
+    base = 1_800_000_000 // 3600 * 3600
+
+    class All:
+        def score(self, rows):
+            return rows.withColumn("anomaly_score", F.lit(-0.1))
+
+    def run(name, records):
+        land(tmp_path / "in", name, records)
+        score_edits(events(spark, tmp_path / "in"), All(), folder_writer(str(tmp_path / "out")), str(tmp_path / "cp")).awaitTermination()
+        rows = spark.read.schema("key string, value string, batch int").parquet(str(tmp_path / "out"))
+        last = {}
+        for r in sorted(sources.decode_json(rows, ANOMALY_SCHEMA, ["batch"]).collect(), key=lambda r: r["batch"]):
+            last[r["page_title"], r["window_start"][11:16]] = (r["edit_count"], r["recent_comments"])
+        return last
+
+    at = datetime.fromtimestamp(base, timezone.utc).strftime("%H:%M")
+    first = run("a.json", [edit(i, base + 60 * i, comment=f"note {i}") for i in range(1, 8)] + [edit(8, base + 30, comment="ce")])
+    assert first["P", at] == (8, "note 1 | note 2 | note 3 | note 4 | note 5")
+    # an earlier comment that comes later, an edit without one, and another page
+    second = run("b.json", [edit(9, base + 10, comment="at first"), edit(10, base + 40, comment=None), edit(11, base + 50, page=None)])
+    assert second["P", at] == (10, "at first | note 1 | note 2 | note 3 | note 4")
+    assert second[None, at] == (1, "big fire")
+    run("c.json", [edit(12, base + 7200)])  # the watermark passes the windows
+    third = run("d.json", [edit(13, base + 5, comment="too late")])
+    assert third["P", at] == second["P", at] and max(k[1] for k in third) > at
 
 
 def news_record(key, title):
