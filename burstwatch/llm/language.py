@@ -6,8 +6,8 @@ and scaled to length one. Every language has several centroids, found by spheric
 on a bounded sample; a text takes the language of the centroid with the largest cosine, and
 is rejected if its distance exceeds what that centroid's own members reach.
 
-Document frequencies come from all training rows. Only the clustering sees a sample: about
-``per_language`` rows of each language, chosen by a hash of the id.
+Document frequencies come from all training rows. Only the clustering sees a sample: at most
+``per_language`` rows of each language, chosen by a hash of id and text.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from burstwatch.llm.batches import Chunk, chunks
 from burstwatch.llm.shared import with_workers
@@ -93,21 +93,48 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     )
 
 
+#: log2 of the shares into which a language's rows are told apart when its sample is looked for.
+_SHARES = 12
+
+
+def _sampled(rows: DataFrame, per_language: int) -> DataFrame:
+    """``lang, text`` of the ``per_language`` rows of each language with the smallest hashes of id and text; of fewer, all.
+
+    How far up the hashes reach is found from counts per share of their range; what lies below
+    that is cut to the number before it is shuffled. So neither a language whose rows share one id nor one
+    text is lost, and none brings more rows than the number from any task.
+    """
+    hashed = rows.withColumn("hash", F.xxhash64("doc", "text", F.lit(1)))
+    share = F.expr(f"shiftrightunsigned(hash, {64 - _SHARES})")
+    counted = hashed.groupBy("lang", share.alias("share")).agg(F.count("*").alias("n"))
+    below = F.sum("n").over(Window.partitionBy("lang").orderBy("share")) - F.col("n")
+    reach = counted.withColumn("below", below).where(F.col("below") < per_language).groupBy("lang").agg(F.max("share").alias("reach"))
+    # a row per language, whose number ``fit`` has checked
+    near = hashed.join(F.broadcast(reach), "lang").where(share <= F.col("reach"))
+    order = Window.partitionBy("lang").orderBy("hash", "text")
+    return near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language).select("lang", "text")
+
+
 def fit(
     documents: DataFrame, training: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-    per_language: int = 2000, clusters: int = 4,
+    per_language: int = 2000, clusters: int = 4, languages: int = 2000,
 ) -> Centroids:
     """Learn from the rows for which ``training`` holds and the language is known.
 
-    The model holds every language, so what it sends around grows with their number; of each,
-    about ``per_language`` rows are used.
+    Of each language ``per_language`` rows are used, or all if it has fewer; ids and texts may be
+    null or repeated, a repeated row counts as often as it is there. The model holds every language
+    and goes to every task: 64 KB a language, so more than ``languages`` of them are an
+    error, and so is a language with texts that ends up without a centroid.
 
-    A null text counts as empty and teaches nothing; without any training row the model
+    A null text, or one without a letter, teaches nothing; without any training row the model
     has no languages and predicts ``und``.
     """
     rows = with_workers(documents).where(training & F.col(lang).isNotNull()).select(
         F.col(doc_id).cast("string").alias("doc"), F.col(lang).alias("lang"), F.col(text).alias("text")
-    ).where("length(text) > 0")
+    ).where(F.col("text").rlike(r"\p{L}"))
+    known = {r["lang"] for r in rows.select("lang").distinct().limit(languages + 1).collect()}
+    if len(known) > languages:
+        raise ValueError(f"more than {languages} languages")
     counted = rows.select("text").mapInArrow(_document_frequencies, "bucket long, n long")
     frequency = {r["bucket"]: r["n"] for r in counted.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     total = frequency.get(-1, 0)
@@ -123,14 +150,14 @@ def fit(
             reach.append(float(np.quantile(members, 0.995)) * 1.1 if len(members) else 0.0)
         return pa.table({
             "lang": pa.array([key[0].as_py()] * len(centroids)), "reach": pa.array(reach),
-            "centroid": pa.array([c.astype(float).tolist() for c in centroids], pa.list_(pa.float64())),
+            "centroid": pa.array([c.astype(np.float32).tolist() for c in centroids], pa.list_(pa.float32())),
         })
 
-    per = rows.groupBy("lang").agg(F.count("*").alias("of"))
-    share = F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
-    # a row per language, far less than the model; a shuffled join would move every text by its language
-    sample = rows.join(F.broadcast(per), "lang").where(share < per_language / F.col("of")).select("lang", "text")
-    found = sample.groupBy("lang").applyInArrow(cluster, "lang string, reach double, centroid array<double>").collect()
+    sample = _sampled(rows, per_language)
+    found = sample.groupBy("lang").applyInArrow(cluster, "lang string, reach double, centroid array<float>").collect()
+    missing = known - {r["lang"] for r in found}
+    if missing:
+        raise RuntimeError(f"no centroid for {sorted(missing)[:5]}")
     found.sort(key=lambda r: (r["lang"], r["centroid"]))
     return Centroids(
         idf, tuple(r["lang"] for r in found),

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from burstwatch.llm import language, toxicity
@@ -177,3 +178,48 @@ def test_every_language_is_learned(spark):
     assert set(model.languages) == set(names)
     found = language.identify(table, model, reject=False).join(table, "doc_id")
     assert found.where("lang_pred <> lang").count() == 0
+
+
+def test_no_language_is_lost_whatever_its_ids(spark):
+    """Null, repeated and distinct ids, one repeated row, and a language mostly without letters."""
+    import random
+
+    rng = random.Random(9)
+    kinds = {"none": lambda i: None, "same": lambda i: 7, "own": lambda i: i}
+    rows = []
+    for n, (name, key) in enumerate(kinds.items()):
+        words = ["".join(rng.choice("abcdefghij"[n * 3 : n * 3 + 4]) for _ in range(6)) for _ in range(30)]
+        rows += [(key(i), " ".join(rng.choice(words) for _ in range(12)), name) for i in range(3000)]
+    rows += [(1, "ein und derselbe Satz", "copy")] * 3000 + [(i, "...", "dots") for i in range(500)] + [(9, "zu zweit", "dots")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(table, F.lit(True), per_language=200)
+    assert set(model.languages) == {"none", "same", "own", "copy", "dots"}
+    sample = language._sampled(table.select(F.col("doc_id").cast("string").alias("doc"), "lang", "text"), 200)
+    assert {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()} == dict.fromkeys([*kinds, "copy", "dots"], 200)
+    asked = table.where("lang <> 'dots'").select("text", F.col("lang").alias("doc_id")).distinct()
+    got = language.identify(asked, model, reject=False).groupBy("doc_id").agg(F.avg((F.col("lang_pred") == F.col("doc_id")).cast("int"))).collect()
+    assert len(got) == 4 and all(share > 0.99 for _, share in got)
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language.fit(table, F.lit(True), languages=3)
+
+
+def test_nearest_centroid_is_the_plain_one(spark, table):
+    docs = table("documents")
+    model = language.fit(docs, F.lit(True), per_language=50)
+    texts = docs.select("doc_id", "text").collect()
+    import pyarrow as pa
+
+    from burstwatch.llm.batches import chunks
+
+    want = {}
+    for row in texts:
+        chunk = next(chunks(pa.array([row["text"]], pa.string())))
+        vector = language.vectors(language.term_counts(chunk), model.idf)[0]
+        cosines = [sum(float(a) * float(b) for a, b in zip(vector, c) if a) for c in model.centroids]
+        want[row["doc_id"]] = max(cosines), cosines
+    for row in language.identify(docs, model, reject=False).collect():
+        best, cosines = want[row["doc_id"]]
+        if row["lang_pred"] == "und":
+            continue
+        assert abs(row["score"] - best) < 1e-4
+        assert max(c for c, name in zip(cosines, model.languages) if name == row["lang_pred"]) > best - 1e-4
