@@ -5,27 +5,32 @@ cross join. The search instead
 
 1. cuts time into buckets, so that an anomaly meets only the buckets its
    interval touches;
-2. cuts each bucket into cells around pivot articles. The angle to the pivot
-   bounds the similarity to everything in a cell (triangle inequality on the
-   sphere): after one probe of the most promising cell, only cells whose bound
-   still beats the best similarity found are visited. Nothing is approximated;
-   a cell is skipped only when it cannot hold a better article;
-3. cuts cells and their visitors into blocks of bounded size. A block is one
+2. splits the articles of a bucket around pivots drawn from them, and each part
+   again, until a part holds a bounded number of articles. The angle to a part's pivot
+   bounds the similarity to everything in the part (triangle inequality on the
+   sphere), and a part inside another cannot beat the outer bound. Each anomaly first
+   goes down to its most promising leaf; the best similarity found there then
+   decides which other parts it has to enter. Nothing is approximated: a part is skipped
+   only when it cannot hold a better article;
+3. cuts leaves and their visitors into blocks of bounded size. A block is one
    matrix product and returns one row per anomaly, never the pairs.
 
-Blocks keep hot buckets and hot stories apart: a bucket with a third of all
-articles becomes many blocks on many executors.
+How deep the tree of a bucket is follows from its articles alone; a bucket that fits
+one leaf is its own root. Pivots stay in tables and meet articles and anomalies in
+blocks as well, so nothing that grows with the data reaches the driver or every task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from burstwatch.session import broadcast_if_small, cut_lineage
+from burstwatch.operators.ranking import ranked
+from burstwatch.session import cut_lineage
 
 # Fixed value: how long an article stays matchable.
 RETENTION = timedelta(hours=24)
@@ -35,22 +40,19 @@ FOREVER = 2**63 - 1
 
 # An interval covers this many buckets, give or take one.
 BUCKETS_PER_INTERVAL = 4
-# Rows per block; 16384 vectors of 384 doubles are 50 MB.
+# Rows per block, and per leaf; 16384 vectors of 384 doubles are 50 MB.
 ARTICLE_BLOCK = 16_384
 ANOMALY_BLOCK = 4_096
-# Pivots are the only vectors that reach the driver and every task. Below the
-# lower number, as many blocks per bucket are compared outright: a measured trial
-# (200,000 articles, 20,000 anomalies) took a third of the time without cells.
-MIN_PIVOTS, MAX_PIVOTS = 32, 256
+# Parts that one is split into.
+FANOUT = 16
 # Bounds are loosened by this much, so that rounding of an angle never skips a
-# cell that could hold the best article.
+# part that could hold the best article.
 SLACK = 1e-6
-# Buckets with up to MAX_PIVOTS cells each: about 6 KB a row.
-MAX_BROADCAST_BUCKETS = 10_000
 TILE = 512
 
-CELL = ["bucket", "cell"]
-BLOCK = ["bucket", "cell", "article_block", "anomaly_block"]
+BLOCK = ["node", "asked_block", "listed_block"]
+# Behind the name of a part whose articles all point one way: it cannot be split.
+SAME = "="
 
 
 def nearest_news(
@@ -61,10 +63,10 @@ def nearest_news(
     at: str = "handled_at",
     added: str = "added_at",
     key: str = "event_id",
-    pivots: int | None = None,
     article_block: int = ARTICLE_BLOCK,
     anomaly_block: int = ANOMALY_BLOCK,
     materialize: bool = True,
+    fanout: int = FANOUT,
 ) -> DataFrame:
     """Each anomaly with its most similar article of the retention interval.
 
@@ -77,8 +79,8 @@ def nearest_news(
     was handled is a candidate, and one of those added at the same time. Articles
     without a key are articles of their own.
 
-    Anomalies are told apart by a digest of vector and time: equal ones have
-    equal answers, and the digest is the same when a lost task is run again.
+    Anomalies are told apart by hashes of vector and time: equal ones have
+    equal answers, and the hashes are the same when a lost task is run again.
     Both inputs are read several times and therefore checkpointed; pass
     ``materialize=False`` for tables that are cheap to read again.
     """
@@ -86,14 +88,15 @@ def nearest_news(
         anomalies, news = cut_lineage(anomalies), cut_lineage(news)
     keep = micros(retention)
     width = keep // BUCKETS_PER_INTERVAL
-    digest = F.md5(F.to_json(F.struct(vector, at)))
-    asked = anomalies.withColumn("q_id", digest)
+    asked = anomalies.withColumn("q_id", F.concat_ws(":", F.xxhash64(vector, at), F.xxhash64(at, F.lit(1), vector)))
     queries = (
         asked.filter(F.col(vector).isNotNull() & F.col(at).isNotNull())
         .select("q_id", F.col(vector).alias("v"), F.unix_micros(at).alias("t"))
         .dropDuplicates(["q_id"])
     )
-    row = F.md5(F.to_json(F.struct(*news.columns)))
+    others = [c for c in news.columns if c != vector]
+    # what an article says, without its vector, which only a hash stands for
+    row = F.md5(F.concat_ws(":", F.to_json(F.struct(*others)), F.xxhash64(vector)))
     listed = news.filter(F.col(vector).isNotNull() & F.col(added).isNotNull()).select(
         F.coalesce(F.col(key).cast("string"), row).alias("key"),
         row.alias("row"),
@@ -104,28 +107,30 @@ def nearest_news(
     following = Window.partitionBy("key").orderBy("t", F.desc("row"))
     articles = listed.withColumn("until", F.coalesce(F.lead("t").over(following), F.lit(FOREVER))).filter(
         "until > t"
-    ).withColumn("bucket", F.floor(F.col("t") / width))
-    if pivots is None:
-        busiest = articles.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
-        pivots = min(MAX_PIVOTS, busiest // article_block)
-        pivots = pivots if pivots >= MIN_PIVOTS else 0
-
+    ).withColumn("node", F.floor(F.col("t") / width).cast("string"))
     # The bucket of each bound is worked out the same way as the articles' own.
     touched = F.sequence(F.floor((F.col("t") - keep) / width), F.floor(F.col("t") / width))
-    visit = queries.withColumn("bucket", F.explode(touched))
+    roots = queries.withColumn("node", F.explode(F.transform(touched, lambda b: b.cast("string"))))
+
     search = _Search(keep, article_block, anomaly_block)
-    if pivots < 2:
-        articles = articles.withColumn("cell", F.lit(0))
-        best = search.best(visit.withColumn("cell", F.lit(0)), articles)
+    placed, levels = _tree(articles, article_block, fanout)
+    if levels:
+        # what the most promising leaf holds decides which others have to be looked at
+        roots = roots.join(articles.select("node").distinct(), "node", "left_semi")
+        probes = _leaves(roots, levels, search, None)
+        probed = cut_lineage(search.best(probes, placed))
+        floor = probed.groupBy("q_id").agg(F.max("score").alias("floor"))
+        rest = _leaves(roots, levels, search, floor).join(probes.select("q_id", "node"), ["q_id", "node"], "left_anti")
+        best = probed.unionByName(search.best(rest, placed))
     else:
-        best = _pruned(visit, queries, articles, pivots, search)
+        best = search.best(roots, placed)
 
     winner = (
         best.groupBy("q_id")
         .agg(F.min(F.struct((-F.col("score")).alias("s"), "key", "row")).alias("w"))
         .select("q_id", (-F.col("w.s")).alias("similarity_score"), "w.row")
     )
-    payload = news.select(row.alias("row"), F.struct(*[c for c in news.columns if c != vector]).alias("article"))
+    payload = news.select(row.alias("row"), F.struct(*others).alias("article"))
     wanted = payload.join(winner.select("row").distinct(), "row", "left_semi").dropDuplicates(["row"])
     found = winner.join(wanted, "row").drop("row")
     return asked.join(found, "q_id", "left").drop("q_id")
@@ -135,99 +140,145 @@ def micros(span: timedelta) -> int:
     return span // timedelta(microseconds=1)
 
 
-def _pruned(
-    visit: DataFrame, queries: DataFrame, articles: DataFrame, pivots: int, search: "_Search"
+def _tree(articles: DataFrame, size: int, fanout: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The articles with their leaf as ``node``, and per level the parts of the nodes split there.
+
+    A level's rows are ``node, child, v, near, far``: the pivot of a part and the least and largest
+    angle of its articles to it. Pivots are articles with different vectors, the smallest by hash, so
+    that every part is smaller than what it was split from, unless all vectors point one way.
+    """
+    placed, levels = articles, []
+    kind = articles.schema["v"].dataType.simpleString()
+    while True:
+        sizes = placed.groupBy("node").agg(F.count("*").alias("n"))
+        crowded = sizes.filter((F.col("n") > size) & ~F.col("node").endswith(SAME)).select("node")
+        if crowded.isEmpty():
+            return placed, levels
+        crowded = cut_lineage(crowded)
+        inside = placed.join(crowded, "node", "left_semi")
+        vectors = inside.withColumn("hash", F.xxhash64("v")).groupBy("node", "hash").agg(F.first("v").alias("v"))
+        pivots = cut_lineage(ranked(vectors, ["node"], [F.col("hash")], fanout).select(
+            "node", F.concat_ws(".", "node", F.col("rank").cast("string")).alias("child"), "v"
+        ))
+        moved = cut_lineage(_meet(
+            inside, "row", size, pivots, "child", fanout, _nearest_pivot,
+            f"key string, row string, v {kind}, t bigint, until bigint, child string, angle double, parent string",
+        ))
+        spans = moved.groupBy("parent", "child").agg(F.min("angle").alias("near"), F.max("angle").alias("far"))
+        # a part that holds all of its parent's articles, which then all point one way
+        parts = spans.groupBy("parent").agg(F.count("*").alias("parts"))
+        name = F.when(F.col("parts") == 1, F.concat("child", F.lit(SAME))).otherwise(F.col("child"))
+        named = cut_lineage(spans.join(parts, "parent").join(pivots.select("child", "v"), "child").select(
+            F.col("parent").alias("node"), "child", name.alias("name"), "v", "near", "far"
+        ))
+        levels.append(named.select("node", F.col("name").alias("child"), "v", "near", "far"))
+        moved = moved.join(named.select("child", F.col("name").alias("node")), "child")
+        kept = placed.join(crowded, "node", "left_anti").select("key", "row", "v", "t", "until", "node")
+        placed = cut_lineage(kept.unionByName(moved.select(*kept.columns)))
+
+
+def _leaves(roots: DataFrame, levels: list[DataFrame], search: "_Search", floor: DataFrame | None) -> DataFrame:
+    """``q_id, v, t, node``: the leaves an anomaly may find something better than ``floor`` in.
+
+    Without ``floor`` only the most promising one: at each level the part with the nearest pivot.
+    """
+    queries = roots.select("q_id", "v", "t").dropDuplicates(["q_id"])
+    reached = roots.select("q_id", "node", F.lit(1.0).alias("bound"))
+    for level in levels:
+        inner = level.select("node").distinct()
+        asked = reached.join(inner, "node", "left_semi").join(queries, "q_id")
+        below = _meet(
+            asked, "q_id", search.anomaly_block, level, "child", FANOUT, _bounds, "q_id string, node string, bound double, angle double"
+        )
+        reached = reached.join(inner, "node", "left_anti").unionByName(below, allowMissingColumns=True)
+        if floor is None:
+            # the nearest pivot; an undivided bucket has none to go by
+            best = F.min(F.struct(F.coalesce("angle", F.lit(4.0)).alias("angle"), "node", "bound")).alias("b")
+            reached = reached.groupBy("q_id").agg(best).select("q_id", "b.node", "b.bound")
+        else:
+            reached = reached.join(floor, "q_id", "left").filter(
+                F.col("bound") + SLACK >= F.coalesce("floor", F.lit(-1.0))
+            ).select("q_id", "node", "bound")
+        reached = cut_lineage(reached)
+    return reached.join(queries, "q_id").select("q_id", "v", "t", "node")
+
+
+def _meet(
+    asked: DataFrame, asked_id: str, asked_size: int, listed: DataFrame, listed_id: str, listed_size: int,
+    match: Callable[[pa.Table, pa.Table], pa.Table], schema: str,
 ) -> DataFrame:
-    """Probe the most promising cell of each anomaly, then visit only cells that can beat it."""
-    sample = articles.orderBy(F.xxhash64("key"), "key").limit(pivots).select("v").collect()
-    centers = _unit(np.array([r["v"] for r in sample], dtype=np.float64))
-    placed = articles.withColumn("angles", _angles(centers)("v"))
-    nearest = F.array_min("angles")
-    placed = cut_lineage(
-        placed.withColumn("angle", nearest)
-        .withColumn("cell", F.array_position("angles", nearest).cast("int") - 1)
-        .drop("angles")
-    )
-    # One row per bucket, holding at most ``pivots`` cells.
-    cells = broadcast_if_small(cut_lineage(
-        placed.groupBy(*CELL)
-        .agg(F.min("angle").alias("near"), F.max("angle").alias("far"))
-        .groupBy("bucket")
-        .agg(F.collect_list(F.struct("cell", "near", "far")).alias("cells"))
-    ), MAX_BROADCAST_BUCKETS)
-    angles = queries.select("q_id", _angles(centers)("v").alias("angles"))
-
-    def bounded(c: Column) -> Column:
-        to_center = F.get(F.col("angles"), c["cell"])
-        gap = F.greatest(F.lit(0.0), to_center - c["far"], c["near"] - to_center)
-        return F.struct(F.cos(gap).alias("bound"), c["cell"].alias("cell"))
-
-    options = cut_lineage(
-        visit.join(angles, "q_id").join(cells, "bucket")
-        .withColumn("cells", F.transform("cells", bounded))
-        .drop("angles")
-    )
-    promising = F.max(F.struct(F.array_max("cells").alias("top"), "bucket")).alias("p")
-    probe = (
-        options.groupBy("q_id").agg(promising)
-        .select("q_id", F.col("p.bucket").alias("bucket"), F.col("p.top.cell").alias("cell"))
-    )
-    probed = cut_lineage(search.best(queries.join(probe, "q_id"), placed))
-    floor_score = probed.groupBy("q_id").agg(F.max("score").alias("floor_score"))
-    rest = (
-        options.join(probe.withColumnsRenamed({"bucket": "p_bucket", "cell": "p_cell"}), "q_id")
-        .join(floor_score, "q_id", "left")
-        .withColumn("cells", F.filter("cells", lambda c: (
-            (c["bound"] + SLACK >= F.coalesce("floor_score", F.lit(-1.0)))
-            & ((F.col("bucket") != F.col("p_bucket")) | (c["cell"] != F.col("p_cell")))
-        )))
-        .select("q_id", "v", "t", "bucket", F.explode("cells.cell").alias("cell"))
-    )
-    return probed.unionByName(search.best(rest, placed))
+    """``match`` of every block of ``asked`` with every block of ``listed`` in the same node.
+
+    How many blocks a node is cut into comes from its sizes, one row per node; a node with a
+    third of all rows becomes many blocks on many executors.
+    """
+    def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+        return rows.groupBy("node").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+
+    def dealt(rows: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        at = F.pmod(F.xxhash64(key), F.col(f"n_{own}")).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)).alias(other)
+        # aliased, as both sides may come from the same rows
+        return rows.join(shape, "node").select(*[F.col(c).alias(c) for c in rows.columns], at, every)
+
+    shape = blocks(asked, asked_size, "n_asked_block").join(blocks(listed, listed_size, "n_listed_block"), "node")
+    left = dealt(asked, asked_id, "asked_block", "listed_block")
+    right = dealt(listed, listed_id, "listed_block", "asked_block")
+    return left.groupBy(*BLOCK).cogroup(right.groupBy(*BLOCK)).applyInArrow(match, schema)
 
 
 class _Search:
-    """Best article per (anomaly, block) for anomalies sent to cells."""
+    """Best article per (anomaly, block) for anomalies sent to leaves."""
 
     def __init__(self, keep: int, article_block: int, anomaly_block: int):
         self.keep, self.article_block, self.anomaly_block = keep, article_block, anomaly_block
 
     def best(self, visits: DataFrame, articles: DataFrame) -> DataFrame:
-        """Rows ``q_id, score, key, row``: one per anomaly and article block with a candidate.
-
-        How many blocks a cell is cut into comes from its measured sizes, one row
-        per cell.
-        """
-        def count_blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-            return rows.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
-
-        def spread(rows: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str, *more: str):
-            return (
-                rows.join(shape, CELL)
-                .withColumn(own, F.pmod(F.xxhash64(key), F.col(n_own)).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
-                .select(*BLOCK, key, "v", "t", *more)
-            )
-
-        shape = broadcast_if_small(cut_lineage(
-            count_blocks(articles, self.article_block, "n_article").join(
-                count_blocks(visits, self.anomaly_block, "n_anomaly"), CELL
-            )
-        ))
-        left = spread(visits, "q_id", "anomaly_block", "n_anomaly", "article_block", "n_article")
-        right = spread(
-            articles, "row", "article_block", "n_article", "anomaly_block", "n_anomaly", "key", "until"
-        )
+        """Rows ``q_id, score, key, row``: one per anomaly and article block with a candidate."""
         keep = self.keep
 
         def match(asked: pa.Table, listed: pa.Table) -> pa.Table:
             return _best_in_block(asked, listed, keep)
 
-        return left.groupBy(*BLOCK).cogroup(right.groupBy(*BLOCK)).applyInArrow(
-            match, "q_id string, score double, key string, row string"
+        return _meet(
+            visits, "q_id", self.anomaly_block, articles, "row", self.article_block, match,
+            "q_id string, score double, key string, row string",
         )
 
 
+def _angles(asked: pa.Table, pivots: pa.Table) -> np.ndarray:
+    """Angles of each vector to every pivot; a zero vector is put at a right angle."""
+    cosines = _unit(_matrix(asked)) @ _unit(_matrix(pivots)).T
+    return np.arccos(np.clip(np.nan_to_num(cosines), -1.0, 1.0))
+
+
+def _nearest_pivot(articles: pa.Table, pivots: pa.Table) -> pa.Table:
+    pivots = pivots.sort_by("child")
+    angles = _angles(articles, pivots)
+    nearest = angles.argmin(axis=1)
+    return pa.table({
+        **{c: articles[c] for c in ("key", "row", "v", "t", "until")},
+        "child": pivots["child"].take(pa.array(nearest)),
+        "angle": pa.array(angles[np.arange(len(nearest)), nearest]),
+        "parent": articles["node"],
+    })
+
+
+def _bounds(asked: pa.Table, parts: pa.Table) -> pa.Table:
+    """The largest similarity each anomaly may find in each part."""
+    near, far = parts["near"].to_numpy(), parts["far"].to_numpy()
+    angles = _angles(asked, parts)
+    gaps = np.maximum(0.0, np.maximum(angles - far, near - angles))
+    bounds = np.minimum(np.cos(gaps), asked["bound"].to_numpy()[:, None])
+    k = len(parts)
+    return pa.table({
+        "q_id": asked["q_id"].take(pa.array(np.repeat(np.arange(len(asked)), k))),
+        "node": parts["child"].take(pa.array(np.tile(np.arange(k), len(asked)))),
+        "bound": pa.array(bounds.ravel()),
+        "angle": pa.array(angles.ravel()),
+    })
+
+
 def _best_in_block(asked: pa.Table, listed: pa.Table, keep: int) -> pa.Table:
     # the first of equal maxima is then the smaller key
     listed = listed.sort_by([("key", "ascending"), ("row", "ascending")])
@@ -262,17 +313,3 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; a zero row becomes NaN and matches nothing."""
     with np.errstate(invalid="ignore", divide="ignore"):
         return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-
-
-def _angles(centers: np.ndarray):
-    """Angles of each vector to every center; a zero vector is put at a right angle."""
-
-    @F.arrow_udf("array<double>")
-    def angles(v: pa.Array) -> pa.Array:
-        flat = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        cosines = _unit(flat.reshape(len(v), -1)) @ centers.T
-        table = np.arccos(np.clip(np.nan_to_num(cosines), -1.0, 1.0))
-        offsets = np.arange(len(v) + 1, dtype=np.int32) * table.shape[1]
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(table.ravel()))
-
-    return angles

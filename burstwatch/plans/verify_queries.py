@@ -39,10 +39,10 @@ def nearest_news(spark, folder):
 
 @query(_NEAREST)
 def nearest_news_pruned(spark, folder):
-    """The same through cells around pivots and small blocks, as large tables are searched."""
+    """The same with small leaves and blocks, so that the tree is some levels deep."""
     return _found(nearest(
         tables.vector_anomalies(spark, folder), tables.vector_news(spark, folder),
-        pivots=4, article_block=64, anomaly_block=64, materialize=False,
+        article_block=16, anomaly_block=64, fanout=4, materialize=False,
     ))
 
 
