@@ -6,15 +6,15 @@ from pyspark.sql import Column, functions as F
 
 # Editing shorthand and boilerplate words without topical meaning.
 JARGON = (
-    "add addition alpha abc cap capital cpt lc lcase uc ucase cat recat cl clean tidy "
-    "cm cmt re copyedit cpyed ced ce mce creation new dab disamb disam disambig byp dup "
-    "dupe fmt frmt mo mos ft ref refs reference references rm rmv del rv rvt rvrt rvv sp "
-    "typo typos talk wfy wky wkfy top undo undid minor misc na n/a "
-    "see also external links link notes note further reading attendances attendance "
-    "infobox categories category "
-    "created creating page pages article articles restored revision revisions wikify "
-    "wikification"
-).split()
+    "add", "addition", "alpha", "abc", "cap", "capital", "cpt", "lc", "lcase", "uc", "ucase", "cat", "recat",
+    "cl", "clean", "tidy", "cm", "cmt", "re", "copyedit", "cpyed", "ced", "ce", "mce", "creation", "new", "dab",
+    "disamb", "disam", "disambig", "byp", "dup", "dupe", "fmt", "frmt", "mo", "mos", "ft", "ref", "refs",
+    "reference", "references", "rm", "rmv", "del", "rv", "rvt", "rvrt", "rvv", "sp", "typo", "typos", "talk",
+    "wfy", "wky", "wkfy", "top", "undo", "undid", "minor", "misc", "na", "n/a", "see", "also", "external",
+    "links", "link", "notes", "note", "further", "reading", "attendances", "attendance", "infobox",
+    "categories", "category", "created", "creating", "page", "pages", "article", "articles", "restored",
+    "revision", "revisions", "wikify", "wikification",
+)
 
 # Punctuation removed from both ends of a quadgram.
 EDGE_PUNCTUATION = " \t\r\n.,;:!?\"'()[]{}"

@@ -5,11 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
+
+from burstwatch.session import cut_lineage
 
 # Rank error of the bracketing sketch is at most n / ACCURACY.
 ACCURACY = 100_000
 MARGIN = 2.0 / ACCURACY
+# Parts that a bracket is cut into while a rank is closed in on.
+PARTS = 256
 
 
 def exact_quantiles(
@@ -85,23 +89,61 @@ def _outside(placed: DataFrame) -> dict[int, Row]:
     return {r["slot"]: r for r in found.collect()}
 
 
-def _inside(placed: DataFrame, brackets: list[tuple], outside: dict[int, Row]) -> dict[int, Row]:
-    """Per open bracket: the values at the two ranks around the wanted one."""
-    counts = (
+def _inside(placed: DataFrame, brackets: list[tuple], outside: dict[int, Row]) -> dict[int, dict[str, float]]:
+    """Per open bracket: the values at the two ranks around the wanted one.
+
+    The distinct values inside are counted once and stored. A rank is then closed in on:
+    its bracket is cut into ``PARTS`` equal parts, whose counts are at most so many rows a rank, and the
+    part that holds the rank is the next bracket, until all its values are the same. No
+    bracket's values are ever put in order, so none has to fit one task.
+    """
+    counts = cut_lineage(
         placed.filter("low < high AND value BETWEEN low AND high")
         .groupBy("slot", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(Window.partitionBy("slot").orderBy("value"))
-    runs = counts.select("slot", "value", (upto - F.col("n")).alias("start"), upto.alias("end"))
-
-    def at(rounded) -> Column:
-        wanted = F.create_map(*[
-            F.lit(x)
-            for slot, (*_, rank) in enumerate(brackets)
-            for x in (slot, rounded(rank) - outside[slot]["below"])
-        ])[F.col("slot")]
-        return F.max(F.when((F.col("start") <= wanted) & (wanted < F.col("end")), F.col("value")))
-
-    found = runs.groupBy("slot").agg(at(math.floor).alias("low"), at(math.ceil).alias("high"))
-    return {r["slot"]: r for r in found.collect()}
+    # (slot, side) -> bounds, and the rank among the values from the lower bound on
+    wanted = {
+        (slot, side): (low, high, rounded(rank) - outside[slot]["below"])
+        for slot, (_, low, high, rank) in enumerate(brackets) if low < high
+        for side, rounded in (("low", math.floor), ("high", math.ceil))
+    }
+    found: dict[int, dict[str, float]] = {}
+    for slot, _ in wanted:
+        found.setdefault(slot, {"low": None, "high": None})
+    while wanted:
+        part = _parts(counts, wanted)
+        following = {}
+        for (slot, side), (_, _, rank) in wanted.items():
+            rows = part.get((slot, side), [])
+            for row in rows:  # in order
+                if rank < row["n"]:
+                    if row["least"] == row["most"]:
+                        found[slot][side] = row["least"]
+                    elif rank >= 0:
+                        following[slot, side] = (row["least"], row["most"], rank)
+                    break
+                rank -= row["n"]
+        wanted = following
+    return found
+
+
+def _parts(counts: DataFrame, wanted: dict[tuple[int, str], tuple]) -> dict[tuple[int, str], list[Row]]:
+    """Per rank: how many values each part of its bracket holds, and the least and the greatest of them."""
+    table = F.array(*[
+        F.struct(
+            F.lit(slot).alias("of"), F.lit(side).alias("side"), F.lit(low).cast("double").alias("low"), F.lit(high).cast("double").alias("high")
+        )
+        for (slot, side), (low, high, _) in wanted.items()
+    ])
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+    near = counts.select("*", F.inline(F.filter(table, lambda w: w["of"] == F.col("slot")))).filter(value.between(low, high))
+    # halves of each, so that the width of a bracket does not overflow
+    place = F.floor((value / 2 - low / 2) / (high / 2 - low / 2) * PARTS)
+    rows = near.groupBy("slot", "side", F.least(place, F.lit(PARTS - 1)).alias("part")).agg(
+        F.sum("n").alias("n"), F.min("value").alias("least"), F.max("value").alias("most")
+    ).collect()
+    found: dict[tuple[int, str], list[Row]] = {}
+    for row in sorted(rows, key=lambda r: r["part"]):
+        found.setdefault((row["slot"], row["side"]), []).append(row)
+    return found

@@ -213,10 +213,23 @@ def sliding_features(spark, folder):
     return rounded(rows, start, "page_title", F.unix_seconds("last_edit_time").alias("last_edit"))
 
 
-@query()
+@query(with_("edits", "sliding") + """SELECT window_start, page_title, edit_count, unique_editors, total_byte_changes,
+  round(bot_ratio, 6) AS bot_ratio, round(minor_edit_ratio, 6) AS minor_edit_ratio, true AS within_error FROM sliding""")
 def sliding_features_approx(spark, folder):
-    rows = features.sliding(tables.edits(spark, folder))
-    return rounded(rows, F.unix_seconds("window.start").alias("window_start"), "page_title")
+    """Windows from panes whose editor sketches are merged; the estimate beside the exact count.
+
+    ``within_error``: off by at most three of the sketch's standard errors.
+    """
+    events = tables.edits(spark, folder)
+    keys = ["window", "page_title"]
+    exact = features.sliding(events, distinct="exact").select(*keys, "unique_editors")
+    approx = features.sliding(events).withColumnRenamed("unique_editors", "estimate")
+    error = F.lit(3 * 1.04 / 2 ** (features.SKETCH / 2)) * F.col("unique_editors")
+    return approx.join(exact, keys).select(
+        F.unix_seconds("window.start").alias("window_start"), "page_title", "edit_count", "unique_editors",
+        "total_byte_changes", *[F.round(c, 6).alias(c) for c in ("bot_ratio", "minor_edit_ratio")],
+        (F.abs(F.col("estimate") - F.col("unique_editors")) <= error).alias("within_error"),
+    )
 
 
 @query(with_("edits", "tumbling") + f"SELECT window_start, page_title, {_FEATURE_SQL} FROM tumbling")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import time
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from burstwatch import sources
+from burstwatch.functions.times import iso_utc
 from burstwatch.operators import detect, edits, features, news
 from burstwatch.operators.ranking import first_per_key
 from burstwatch.plans import tables
@@ -44,16 +46,31 @@ def stream_archive(spark, folder):
     return sources.read_edit_lake(spark, path).drop("event_time", "partition", "offset", "kafka_timestamp")
 
 
-@query(with_("edits") + """SELECT page_title, count(*) AS edit_count, CAST(sum(abs(byte_change)) AS BIGINT) AS total_byte_changes
-  FROM edits WHERE NOT bot AND event_type <> 'new' GROUP BY 1""")
+@query(with_("edits") + """, pages AS (SELECT page_title, count(*) AS edit_count, CAST(sum(abs(byte_change)) AS BIGINT) AS total_byte_changes,
+    count(*) FILTER (bot) AS bots, count(*) FILTER (minor) AS minors FROM edits WHERE NOT bot AND event_type <> 'new' GROUP BY 1)
+  SELECT page_title, edit_count, total_byte_changes, bots, minors, round(total_byte_changes / edit_count, 6) AS relative_growth,
+    true AS ratios_agree FROM pages""")
 def stream_feature_lake(spark, folder):
-    """Per-batch page features appended to the lake; summed per page they equal the table's."""
+    """Per-batch page features appended to the lake; put together per page they equal the table's.
+
+    Counts add up and ratios are weighted by them; the derived features follow from the others in every row.
+    """
     path = scratch_dir(spark, "features")
     sinks.append_features(_event_stream(spark, folder), path, scratch_dir(spark, "checkpoint")).awaitTermination()
     lake = sources.read_feature_lake(spark, path)
-    return lake.groupBy("page_title").agg(
-        F.sum("edit_count").alias("edit_count"), F.sum("total_byte_changes").alias("total_byte_changes")
+    count, close = F.col("edit_count"), lambda a, b: F.abs(a - b) < 1e-9
+    agree = (
+        close(F.col("relative_growth"), F.col("total_byte_changes") / count)
+        & close(F.col("human_bot_friction"), F.col("minor_edit_ratio") - F.col("bot_ratio"))
+        & close(F.col("editor_concentration"), F.col("unique_editors") / count)
+        & F.col("unique_editors").between(1, count)
+    )
+    pages = lake.groupBy("page_title").agg(
+        F.sum("edit_count").alias("edit_count"), F.sum("total_byte_changes").alias("total_byte_changes"),
+        F.round(F.sum(F.col("bot_ratio") * count)).cast("long").alias("bots"),
+        F.round(F.sum(F.col("minor_edit_ratio") * count)).cast("long").alias("minors"), F.bool_and(agree).alias("ratios_agree"),
     )
+    return pages.withColumn("relative_growth", F.round(F.col("total_byte_changes") / F.col("edit_count"), 6))
 
 
 @query(with_("edits") + """SELECT (timestamp // 300) * 300 - o AS window_start, page_title, count(*) AS edit_count,
@@ -76,6 +93,65 @@ def stream_sliding_features(spark, folder):
     )
 
 
+_SENT_AGAIN = "timestamp < (SELECT min(timestamp) FROM edits WHERE NOT bot AND event_type <> 'new') + 3600"
+
+
+@query(with_("edits") + f""", sent AS (SELECT * FROM edits WHERE NOT bot AND event_type <> 'new'),
+  windowed AS (SELECT *, (timestamp // 300) * 300 - o AS w FROM sent, (VALUES (0), (300), (600)) s(o))
+  SELECT w AS window_start, page_title, count(*) AS edit_count, CAST(sum(abs(byte_change)) AS BIGINT) AS total_byte_changes,
+    (SELECT count(*) FROM (SELECT DISTINCT w, page_title FROM windowed WHERE {_SENT_AGAIN})) AS late_dropped,
+    CAST(1 AS BIGINT) AS batches_run_twice
+  FROM windowed GROUP BY 1, 2""")
+def stream_restart(spark, folder):
+    """A windowed stream that fails in mid-batch, is started again, and is then sent rows behind the watermark.
+
+    The batch that failed had already been written; it runs again and replaces what it wrote. The edits
+    of the first hour come a second time at the end: their windows are closed, so they change nothing and are
+    counted, one row per page and window, by the state that drops them.
+    """
+    path, out, checkpoint = (scratch_dir(spark, n) for n in ("landed", "windows", "checkpoint"))
+    messages = tables.edit_messages(spark, folder).select("value", F.unix_seconds("timestamp").alias("at"))
+    write, runs = jobs.folder_writer(out), []
+
+    def failing(batch, batch_id):
+        write(batch, batch_id)
+        runs.append(batch_id)
+        if runs == [0, 1]:
+            raise RuntimeError("lost in mid-batch")
+
+    def run(landed):
+        """One batch of what has landed since; how many rows the state dropped."""
+        if landed is not None:
+            landed.select("value").write.mode("append").text(path)
+        stream = edits.with_event_time(sources.decode_edits(sources.text_stream(spark, path)))
+        job = features.sliding(stream).writeStream.foreachBatch(failing).outputMode("update").trigger(availableNow=True)
+        job = job.option("checkpointLocation", checkpoint).start()
+        job.awaitTermination()
+        return sum(op["numRowsDroppedByWatermark"] for p in job.recentProgress for op in p["stateOperators"])
+
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        middle = messages.agg((F.min("at") + F.max("at")) / 2).first()[0]
+        run(messages.filter(F.col("at") < middle))
+        try:
+            run(messages.filter(F.col("at") >= middle))
+        except StreamingQueryException:
+            run(None)
+        decoded = sources.decode_edits(messages)
+        first = decoded.agg(F.min("timestamp")).first()[0]
+        late = decoded.filter(F.col("timestamp") < first + 3600)
+        dropped = run(late.select(F.to_json(F.struct(*late.columns)).alias("value")))
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    emitted = spark.read.parquet(out)
+    last = emitted.groupBy("window", "page_title").agg(F.max("batch").alias("batch"))
+    return emitted.join(last, ["window", "page_title", "batch"]).select(
+        F.unix_seconds("window.start").alias("window_start"), "page_title", "edit_count", "total_byte_changes",
+        F.lit(dropped).cast("bigint").alias("late_dropped"),
+        F.lit(sum(n > 1 for n in Counter(runs).values())).cast("bigint").alias("batches_run_twice"),
+    )
+
+
 @query()
 def stream_alerts(spark, folder):
     """The scoring job: stream features, forest, alerts with the comments that the stream has kept."""
@@ -134,13 +210,17 @@ def stream_dedup_news(spark, folder):
 NOW = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
 
-@query(with_("toc", "articles") + "SELECT DISTINCT event_id FROM articles")
+@query(with_("toc", "articles", "ngrams", "snippets") + """SELECT event_id, title, url, coalesce(snippet, '') AS snippet,
+    '2024-01-01T00:00:00Z' AS added_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY toc_timestamp, pos) AS rn FROM articles) a
+  LEFT JOIN snippets s ON s.docid = a.toc_id AND s.toc_timestamp = a.toc_timestamp WHERE rn = 1""")
 def stream_news_index(spark, folder):
-    """Articles indexed by a stream: one live row per article."""
+    """The news job's articles indexed by a stream: one live row per article, with all that is matched."""
     path = scratch_dir(spark, "index")
-    articles = _news_stream(spark, folder, _with_snippets(spark, folder))
+    articles = _news_stream(spark, folder, news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder)))
     jobs.index_news(articles, path, scratch_dir(spark, "checkpoint"), clock=lambda: NOW).awaitTermination()
-    return jobs.read_news_index(spark, path, NOW).select("event_id")
+    rows = jobs.read_news_index(spark, path, NOW).filter(F.size("embedding") > 0)
+    return rows.select("event_id", "title", "url", "snippet", iso_utc(F.col("added_at")).alias("added_at"))
 
 
 @query()

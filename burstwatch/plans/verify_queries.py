@@ -110,9 +110,12 @@ def verify_alerts(spark, folder):
     )
 
 
+REQUIRED = ["page_title", "matched"]
+
+
 def _records(spark, folder):
     messages = tables.verdict_messages(spark, folder)
-    return sources.decode_json(messages, VERDICT_SCHEMA, ["offset"], require=["page_title", "matched"])
+    return sources.decode_json(messages, VERDICT_SCHEMA, ["offset"], require=REQUIRED)
 
 
 @query(with_("verdicts") + """SELECT event_id AS "offset", page_title, window_start, matched,
@@ -198,16 +201,27 @@ def match_table(spark, folder):
     return rows.withColumns({c: F.round(c, 6) for c in ("similarity_score", "anomaly_score")})
 
 
-@query(with_("verdicts") + """SELECT event_id AS "offset" FROM verdicts ORDER BY event_id DESC LIMIT 400""")
+def _messages(spark, folder):
+    """Every readable message; ``complete`` tells whether it carries the required fields."""
+    raw = tables.verdict_messages(spark, folder).withColumn("complete", sources.has_keys(F.col("value"), REQUIRED))
+    return sources.decode_json(raw, VERDICT_SCHEMA, ["offset", "complete"])
+
+
+_NEWEST = """newest AS (SELECT event_id, event_type FROM events WHERE event_type <> 'error' OR event_id % 3 = 2
+    ORDER BY event_id DESC LIMIT 400)"""
+
+
+@query(f"""WITH {_NEWEST} SELECT event_id AS "offset" FROM newest WHERE event_type <> 'error'""")
 def tail(spark, folder):
-    return report.tail(_records(spark, folder)).select("offset")
+    """The last messages; those that lack a field take their place in the tail and are left out after."""
+    return report.tail(_messages(spark, folder)).filter("complete").select("offset")
 
 
-@query(with_("verdicts") + """, kept AS (SELECT * FROM verdicts WHERE matched OR event_id >= (
-    SELECT min(event_id) FROM (SELECT event_id FROM verdicts ORDER BY event_id DESC LIMIT 400)))
+@query(with_("verdicts") + f""", {_NEWEST}, kept AS (
+    SELECT * FROM verdicts WHERE matched OR event_id >= (SELECT min(event_id) FROM newest))
   SELECT "offset", page_title, matched FROM (SELECT event_id AS "offset", page_title, matched,
     row_number() OVER (PARTITION BY page_title, window_start, window_end, evaluated_at, similarity_score, matched
       ORDER BY event_id DESC) AS rn FROM kept) WHERE rn = 1""")
 def tail_keep_matched(spark, folder):
-    rows = report.tail(_records(spark, folder), keep_matched=True)
+    rows = report.tail(_messages(spark, folder), keep_matched=True).filter("complete")
     return rows.select("offset", "page_title", "matched")

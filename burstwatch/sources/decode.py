@@ -41,7 +41,7 @@ def is_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
-def _has_keys(text: Column, keys: Sequence[str]) -> Column:
+def has_keys(text: Column, keys: Sequence[str]) -> Column:
     """True for an object that carries every key, whatever its value (null included)."""
     wanted = F.array(*[F.lit(k) for k in keys])
     return F.size(F.array_except(wanted, F.json_object_keys(text))) == 0
@@ -60,11 +60,11 @@ def decode_json(
     """
     text = F.col(value).cast("string")
     return (
-        raw.filter(_has_keys(text, require) if require else is_object(text))
+        raw.filter(has_keys(text, require) if require else is_object(text))
         .select(F.from_json(text, schema).alias("record"), *keep)
         .select("record.*", *keep)
     )
 
 
 def require_keys(raw: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    return raw.filter(_has_keys(F.col(value).cast("string"), keys))
+    return raw.filter(has_keys(F.col(value).cast("string"), keys))
