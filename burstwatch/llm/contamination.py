@@ -91,9 +91,8 @@ def contained_items(
     Counted are an item's distinct ``width``-word shingles after lower-casing A-Z; an item with
     fewer words is one shingle of all its words, looked up among the documents' shingles of that
     length. Null, empty and wordless texts neither hold nor are held. Repeated document or item
-    ids count as one text holding the shingles of all its rows, with ``n_item`` the sum over the
-    item's rows of that id (repeated identical item rows count once). A null id takes part as a
-    value of its own. Empty tables give an empty result. Other columns are not read.
+    ids count as one text holding the shingles of all its rows, and ``n_item`` counts the different
+    ones of them (so repeated item rows count once). A null id takes part as a value of its own. Empty tables give an empty result. Other columns are not read.
     """
     with_workers(documents)
     items = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).distinct()

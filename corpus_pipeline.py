@@ -1,4 +1,9 @@
-"""From raw documents to token digests in five stages, each on all that the one before kept."""
+"""From raw documents to token digests in five stages, each on all that the one before kept.
+
+Every stage but the last returns the columns of documents as they came, whatever further ones there
+are and whatever their names. Repeated rows and ids are rows of their own, a null id is an id, and an
+empty table gives an empty result in all stages.
+"""
 
 from __future__ import annotations
 
@@ -10,27 +15,38 @@ from burstwatch.llm.shared import stored
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop what the weighed votes reject."""
+    """Drop what the weighed votes reject.
+
+    Null, empty and one-word texts fail the base rules and go; equal rows are judged alike.
+    """
     return quality.keep_good(docs)
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates: five-word shingles, similarity 0.8."""
+    """Keep one document of each group of near duplicates: five-word shingles, similarity 0.8.
+
+    The smallest id stays (null only where a group has no other); of rows with that id and the same
+    shingles any one. Texts without words are like nothing, so all of them stay.
+    """
     return jaccard.keep_one(docs, width=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
+    """Drop documents that hold a benchmark item: 80 % of its five-word shingles.
+
+    Rows of one id are one text, so they go or stay together. Null, empty and wordless texts and
+    items neither hold nor are held.
+    """
     return contamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data in the texts by pseudonyms."""
+    """Replace personal data in the texts by pseudonyms, equal values by equal ones in all rows; a null text stays null."""
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
+    """Token counts and digests of what is left, one row a document; a null text counts as empty."""
     return token_digests(docs)
 
 
