@@ -182,12 +182,6 @@ def stream_alert_comments(spark, folder):
     return last.withColumn("anomaly_score", F.round("anomaly_score", 6))
 
 
-def _with_snippets(spark, folder):
-    """Every entry with its document's snippet; repeated URLs stay."""
-    snippets = news.build_snippets(tables.ngrams(spark, folder), ("toc_timestamp", "docid"))
-    return news.normalize(news.attach_snippets(tables.toc(spark, folder), snippets))
-
-
 def _news_stream(spark, folder, articles):
     lines = articles.select(F.to_json(F.struct(*articles.columns)).alias("value"))
     landed = _landed(spark, folder, lines)
