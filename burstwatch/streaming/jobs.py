@@ -6,7 +6,8 @@ writer with its id), so a batch that runs again after a failure replaces itself.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timedelta, timezone
 from typing import Protocol
 
@@ -128,6 +129,7 @@ def ingest_news(
     remember: timedelta = timedelta(minutes=news_ops.LEDGER_MINUTES),
     recent_ids: int = RECENT_IDS,
     keep_ids: timedelta | None = None,
+    state_partitions: int = 8,
 ) -> StreamingQuery:
     """Turn newly landed minute files into article events keyed by ``event_id``.
 
@@ -156,19 +158,32 @@ def ingest_news(
         done = spark.createDataFrame(settled, batch.schema).withColumn("settled_at", F.current_timestamp())
         done.coalesce(1).write.mode("overwrite").parquet(f"{root}/ledger/batch={batch_id}")
 
-    # batches without files serve the timers; draining would go on with them for ever
-    empty = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(empty)
-    spark.conf.set(empty, str(every is not None).lower())
-    try:
+    settings = {
+        # batches without files serve the timers; draining would go on with them for ever
+        "spark.sql.streaming.noDataMicroBatches.enabled": str(every is not None).lower(),
+        # the state is file names only; articles are worked on in the caller's session, with its partitions
+        "spark.sql.shuffle.partitions": str(state_partitions),
+    }
+    with _set_for_start(spark, settings):
         return (
             minutes.writeStream.foreachBatch(publish)
             .option("checkpointLocation", f"{root}/query")
             .trigger(**trigger(every))
             .start()
         )
+
+
+@contextmanager
+def _set_for_start(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """A query keeps the settings it is started with; the session gets its own back."""
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
     finally:
-        spark.conf.set(empty, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def read_news_ledger(spark: SparkSession, checkpoint: str) -> DataFrame:
