@@ -187,18 +187,23 @@ ruled AS (
 given AS (SELECT *, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block'
   WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow' END AS given FROM ruled),
 cut AS (SELECT *, list_reverse(string_split(host, '.')) AS l, list_filter(string_split(path, '/'), lambda p: p <> '') AS p,
-  regexp_extract(url, '^[^?#]*\?([^=&#]+)', 1) AS q FROM given),
-tokened AS (SELECT page_id, host, path, rule, given, CASE WHEN host = '' THEN [] ELSE list_sort(list_filter([
-  'h0:' || l[1], 'h1:' || l[2], 'h2:' || l[3], CASE WHEN len(l) > 3 THEN 'h:' || l[-1] END,
-  'p0:' || regexp_replace(p[1], '[0-9]+', '0', 'g'), 'p1:' || regexp_replace(p[2], '[0-9]+', '0', 'g'),
-  CASE WHEN q <> '' THEN 'q:' || q END, CASE WHEN contains(url, '#') THEN '#' END], lambda t: t IS NOT NULL)) END AS t FROM cut),
-sets AS (SELECT t, given, count(*) AS n FROM tokened GROUP BY t, given),
+  list_filter(list_transform(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
+    lambda x: string_split(x, '=')[1]), lambda x: x <> '') AS q FROM given),
+tokened AS (SELECT page_id, host, path, rule, given, CASE WHEN host = '' THEN [] ELSE list_sort(list_distinct(
+  list_transform(l, lambda x, i: 'h' || (i - 1) || ':' || x) || CASE WHEN len(l) > 3 THEN ['h:' || l[-1]] ELSE [] END
+  || list_transform(p, lambda x, i: 'p' || (i - 1) || ':' || regexp_replace(x, '[0-9]+', '0', 'g'))
+  || list_transform(q, lambda x: 'q:' || x) || CASE WHEN contains(url, '#') THEN ['#'] ELSE [] END)) END AS w FROM cut),
+total AS (SELECT count(*) AS total FROM tokened WHERE given IS NOT NULL),
+frequent AS (SELECT token FROM (SELECT unnest(w) AS token FROM tokened WHERE given IS NOT NULL), total
+  GROUP BY token, total HAVING count(*) >= ceil(0.01 * total)),
+known AS (SELECT coalesce(list_sort(list(token)), []) AS all_frequent FROM frequent),
+worded AS (SELECT page_id, host, path, rule, given, list_filter(w, lambda x: list_contains(all_frequent, x)) AS t
+  FROM tokened, known),
+sets AS (SELECT t, given, count(*) AS n FROM worded GROUP BY t, given),
 labelled AS (SELECT * FROM sets WHERE given IS NOT NULL),
-total AS (SELECT sum(n) AS total FROM labelled),
-masks AS (SELECT range AS mask FROM range(1, 256) WHERE bit_count(range) <= 3),
 combos AS (
   SELECT list_filter(t, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS items, given, n
-  FROM labelled JOIN masks ON mask < (1 << len(t))),
+  FROM (SELECT t, given, n, unnest(range(1, 1 << len(t))) AS mask FROM labelled)),
 counted AS (
   SELECT items, sum(n) AS n, sum(n) FILTER (given = 'block') AS block, sum(n) FILTER (given = 'allow') AS allow
   FROM combos GROUP BY items),
@@ -208,11 +213,10 @@ mined AS (
   SELECT items, verdict, hits / n AS confidence, hits AS support FROM verdicts, total
   WHERE hits >= ceil(0.01 * total) AND hits / n >= 0.9),
 ranked AS (
-  SELECT t, verdict, row_number() OVER (PARTITION BY t ORDER BY confidence DESC, support DESC, len(items) DESC,
-    array_to_string(items, ' ')) AS r
+  SELECT t, verdict, row_number() OVER (PARTITION BY t ORDER BY confidence DESC, support DESC, verdict) AS r
   FROM (SELECT DISTINCT t FROM sets WHERE given IS NULL) JOIN mined ON list_has_all(t, items))
 SELECT page_id, host, path, rule, coalesce(given, verdict, 'allow') AS verdict
-FROM tokened LEFT JOIN (SELECT t, verdict FROM ranked WHERE r = 1) USING (t)
+FROM worded LEFT JOIN (SELECT t, verdict FROM ranked WHERE r = 1) USING (t)
 """
 
 

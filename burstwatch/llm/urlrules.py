@@ -6,22 +6,26 @@ tokens that go with one verdict; combinations below a support or confidence are
 that no given rule fits takes the verdict of its best mined rule, found through an inverted
 index: each mined rule is listed under its rarest token, urls are looked up by their tokens,
 and a hit counts if the url has all of the rule's tokens.
+
+Nothing but the support bounds the rules: a url has as many tokens as it has parts, a rule as many
+as go together. Tokens of exactly the same labelled urls are one item, as no rule can tell them apart;
+so a long url that fills a share of the table adds one item and not all subsets of its tokens.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from burstwatch.llm.shared import fresh, stored
 
 #: (verdict, host and path): fits the host and its subdomains if the path starts with the rule's.
 Rule = tuple[str, str]
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Tokens that one url has at most, and tokens in a mined rule at most.
-TOKENS, LONGEST = 8, 3
 VERDICTS = ("allow", "block")
 _MARK = "="
+#: Parts that rows of one item set are dealt over when they meet their verdict.
+SALTS = 16
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -43,26 +47,43 @@ def given_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, C
 
 
 def tokens(url: Column, host: Column, path: Column) -> Column:
-    """At most eight tokens: the last three host labels, the first label of a longer host, the first two
-    path parts with digits written as 0, the query's first name, and whether there is a fragment."""
+    """All distinct tokens: host labels counted from the end, the first label of a host of more than three,
+    path parts with digits written as 0, names in the query, and whether there is a fragment."""
     labels = F.reverse(F.split(host, r"\."))
     parts = F.filter(F.split(path, "/"), lambda p: p != "")
-    query = F.regexp_extract(url, r"^[^?#]*\?([^=&#]+)", 1)
-    found = [
-        *(F.concat(F.lit(f"h{i}:"), F.get(labels, F.lit(i))) for i in range(3)),
-        F.when(F.size(labels) > 3, F.concat(F.lit("h:"), F.get(labels, F.size(labels) - 1))),
-        *(F.concat(F.lit(f"p{i}:"), F.regexp_replace(F.get(parts, F.lit(i)), "[0-9]+", "0")) for i in range(2)),
-        F.when(query != "", F.concat(F.lit("q:"), query)),
-        F.when(F.locate("#", url) > 0, F.lit("#")),
-    ]
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_compact(F.array(*found))))
+    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    names = F.filter(F.transform(F.split(query, "&"), lambda q: F.regexp_extract(q, "^[^=]*", 0)), lambda q: q != "")
+    found = F.concat(
+        F.transform(labels, lambda x, i: F.concat(F.lit("h"), i.cast("string"), F.lit(":"), x)),
+        F.when(F.size(labels) > 3, F.array(F.concat(F.lit("h:"), F.get(labels, F.size(labels) - 1)))).otherwise(F.array()),
+        F.transform(parts, lambda x, i: F.concat(F.lit("p"), i.cast("string"), F.lit(":"), F.regexp_replace(x, "[0-9]+", "0"))),
+        F.transform(names, lambda q: F.concat(F.lit("q:"), q)),
+        F.when(F.locate("#", url) > 0, F.array(F.lit("#"))).otherwise(F.array()),
+    )
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(found)))
+
+
+def items_of_tokens(labelled: DataFrame, min_support: float) -> DataFrame:
+    """``token, item`` of the tokens in at least ``min_support`` of the labelled rows.
+
+    Tokens of the same rows have the same item, the first of them in text order. Rows are told by two
+    hashes of their tokens and verdict. There are at most (mean number of tokens) / ``min_support`` tokens.
+    """
+    counted = labelled.groupBy("tokens", "verdict").agg(F.count("*").alias("n"))
+    total = labelled.agg(F.count("*").alias("total"))
+    each = counted.select(
+        F.explode("tokens").alias("token"), "n", F.xxhash64("tokens", "verdict").alias("x"),
+        F.xxhash64(F.lit(1), "verdict", "tokens").alias("y"),
+    )
+    held = each.groupBy("token").agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    held = held.join(F.broadcast(total)).where(F.col("n") >= F.ceil(F.lit(min_support) * F.col("total")))
+    return held.select("token", F.min("token").over(Window.partitionBy("n", "x", "y")).alias("item"))
 
 
 def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """``items, verdict, confidence, support`` of the rules that FP-growth finds in ``tokens, verdict``.
 
-    A url has at most eight tokens, so a transaction has at most 2**9 subsets however long
-    the url or often repeated. Support and confidence are shares of the labelled rows.
+    Support and confidence are shares of the labelled rows; rules may have any number of items.
     """
     empty = "items array<string>, verdict string, confidence double, support double"
     if labelled.isEmpty():
@@ -71,7 +92,7 @@ def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float)
     model = FPGrowth(minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     marks = F.array(*(F.lit(_MARK + v) for v in VERDICTS))
     rules = model.associationRules.where(F.array_contains(marks, F.col("consequent")[0]))
-    rules = rules.where((F.size("antecedent") <= LONGEST) & ~F.arrays_overlap("antecedent", marks))
+    rules = rules.where(~F.arrays_overlap("antecedent", marks))
     return rules.select(
         F.array_sort("antecedent").alias("items"), F.substring(F.col("consequent")[0], 2, 1000).alias("verdict"),
         "confidence", "support",
@@ -84,8 +105,8 @@ def judge(
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``; older columns of these names are replaced.
 
-    Among mined rules that fit, the most confident wins, then the one of more support, more
-    tokens, and the first in text order; a url that none fits takes ``default``, as does a null
+    Among mined rules that fit, the most confident wins, then the one of more support, then
+    one that allows; a url that none fits takes ``default``, as does a null
     url or one without ``://`` (host and path empty, rule null). Repeated urls are looked up
     once and judged alike; an empty table gives an empty result.
     """
@@ -94,25 +115,41 @@ def judge(
     host, path = host_and_path(F.col(url))
     parsed = pages.withColumn("host", host).withColumn("path", path)
     rule, verdict = given_rule(F.col("host"), F.col("path"), rules)
-    own = fresh("tokens", parsed.columns)
-    given = fresh("given", parsed.columns)
+    own, given = fresh("tokens", parsed.columns), fresh("given", parsed.columns)
     parsed = parsed.withColumn("rule", rule).withColumn(given, verdict)
     parsed = parsed.withColumn(own, tokens(F.col(url), F.col("host"), F.col("path")))
     labelled = parsed.where(F.col(given).isNotNull()).select(F.col(own).alias("tokens"), F.col(given).alias("verdict"))
-    mined = stored(mined_rules(labelled, min_support, min_confidence), "rules")
+    named = stored(items_of_tokens(labelled, min_support), "items")
+
+    # One row with all frequent tokens, whose number the support bounds.
+    pairs = F.map_from_entries(F.collect_list(F.struct("token", "item")))
+    book = fresh("book", parsed.columns)
+    one = F.broadcast(named.agg(pairs.alias(book)))
 
+    def with_items(rows: DataFrame, column: str) -> DataFrame:
+        known = F.array_compact(F.transform(column, lambda t: F.col(book)[t]))
+        return rows.join(one).withColumn(column, F.array_sort(F.array_distinct(known))).drop(book)
+
+    mined = stored(mined_rules(with_items(labelled, "tokens"), min_support, min_confidence), "rules")
     counts = mined.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     listed = mined.withColumn("token", F.explode("items")).join(counts, "token")
     index = listed.groupBy("items", "verdict", "confidence", "support").agg(
         F.min(F.struct("n", "token")).alias("rarest")
     ).select(F.col("rarest.token").alias("token"), "items", "verdict", "confidence", "support")
+    parsed = with_items(parsed, own)
     open_sets = parsed.where(F.col(given).isNull()).select(F.col(own).alias("tokens")).distinct()
     asked = open_sets.withColumn("token", F.explode("tokens"))
     fits = F.size(F.array_intersect("items", "tokens")) == F.size("items")
     best = asked.join(index, "token").where(fits).groupBy("tokens").agg(F.min(F.struct(
-        (-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), (-F.size("items")).alias("n"),
-        F.array_join("items", " ").alias("i"), "verdict",
-    )).alias("best")).select(F.col("tokens").alias("key"), F.col("best.verdict").alias("mined"))
-    joined = parsed.alias("p").join(best.alias("m"), F.col(f"p.{own}") == F.col("m.key"), "left")
+        (-F.col("confidence")).alias("c"), (-F.col("support")).alias("s"), "verdict",
+    )).alias("best")).select(
+        F.col("tokens").alias("key"), F.col("best.verdict").alias("mined"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+    )
+    # Many urls have the same items: they are dealt by the partition they were read in.
+    part = fresh("part", parsed.columns)
+    parsed = parsed.withColumn(part, F.spark_partition_id() % SALTS)
+    same = (F.col(f"p.{own}") == F.col("m.key")) & (F.col(f"p.{part}") == F.col("m.salt")) & F.col(f"p.{given}").isNull()
+    joined = parsed.alias("p").join(best.alias("m"), same, "left")
     verdict = F.coalesce(f"p.{given}", "m.mined", F.lit(default))
     return joined.select(*(F.col(f"p.`{c}`") for c in [*columns, "host", "path", "rule"]), verdict.alias("verdict"))

@@ -86,7 +86,7 @@ def test_mined_rules(spark):
     got = {(tuple(r["items"]), r.verdict): (round(r.confidence, 9), round(r.support, 9)) for r in found.collect()}
     whole, by = Counter(), Counter()
     for items, verdict in baskets:
-        for n in (1, 2, 3):
+        for n in (1, 2, 3, 4):
             for combo in combinations(items, n):
                 whole[combo] += 1
                 by[combo, verdict] += 1
@@ -105,6 +105,25 @@ def test_verdicts_and_odd_tables(spark):
     assert {r.verdict for r in urlrules.judge(table.where("page_id = 40"), URL_RULES).collect()} == {"allow"}
 
 
+def test_rules_on_late_parts(spark):
+    """Verdicts that hang on the third path part, a later query name or a middle host label."""
+    shop = [f"http://s{i}.a.b.c.shop.net/x/{i}/sale/{i}?id={i}&ref={i}&ad=1" for i in range(40)]
+    wiki = [f"http://s{i}.a.d.c.shop.example.net/en/{i}/read/{i}?id={i}&ref={i}" for i in range(40)]
+    asked = ["http://q.com/1/2/sale", "http://q.com/1/2/read", "http://q.com/?id=2&ad=3", "http://x.b.y.z.com/", "http://x.e.y.z.com/"]
+    table = spark.createDataFrame(list(enumerate(shop + wiki + asked)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urlrules.judge(table, URL_RULES).collect()}
+    assert [got[80 + i] for i in range(5)] == ["block", "allow", "block", "block", "allow"]
+
+
+def test_a_long_url_that_fills_the_table(spark):
+    """Its hundreds of tokens are in the same rows and make one item; any of them finds the rule."""
+    long = "http://x.net/" + "/".join(f"part{'abcdefghij'[i % 10] * (i + 1)}" for i in range(200))
+    urls = [long] * 30 + [f"http://y.example.net/en/{i}" for i in range(30)] + ["http://q.com/1/2/3/" + long.split("/")[6]]
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urlrules.judge(table, URL_RULES, default="allow").collect()}
+    assert len(got) == 61 and got[60] == "block" and got[0] == "block" and got[30] == "allow"
+
+
 def test_an_item_over_two_rows_of_one_id(docs, spark):
     """Either row may be the one without a sketch entry; a null id is one id as well."""
     said = {i: [f"w{i}x{k}" for k in range(20)] for i in range(30)}
