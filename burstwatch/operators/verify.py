@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from typing import Iterator
 
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from burstwatch.functions.text import anomaly_text, article_text
 from burstwatch.functions.web import url_domain
@@ -27,46 +28,75 @@ DIMENSIONS = 384
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 
 
+# Words are counted by this many slots, so a table of their weights does not grow with the vocabulary.
+SLOTS = 2**18
+_DIGEST_DIGITS = 15
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def _digest(word: Column) -> Column:
+    """60 bits of the word's md5."""
+    return F.conv(F.substring(F.md5(word), 1, _DIGEST_DIGITS), 16, 10).cast("bigint")
+
+
 class HashedTextEmbedder:
-    """The built-in embedder: hashed word counts, optionally weighted by rarity, unit length.
+    """The built-in embedder: hashed words, weighted by rarity once fitted, unit length.
 
+    A word's md5 gives its slot (for the weight), its place among the dimensions and its sign there,
+    so that words that share a place do not add up. A slot weighs ln((texts + 1) / (texts with it + 1)).
     Any callable of the same shape can take its place, for instance one that
     wraps a ``pandas_udf`` around a neural encoder.
     """
 
-    def __init__(self, dimensions: int = DIMENSIONS, idf=None):
-        self.dimensions, self.idf = dimensions, idf
+    def __init__(self, dimensions: int = DIMENSIONS, weights: np.ndarray | None = None):
+        self.dimensions, self.weights = dimensions, weights
 
     def fit(self, rows: DataFrame, text: str) -> "HashedTextEmbedder":
-        """Learn word weights from a corpus; keep the result to embed later texts alike."""
-        model = IDF(inputCol="tf", outputCol="weighted").fit(self._counts(rows, text))
-        return HashedTextEmbedder(self.dimensions, model)
-
-    def _counts(self, rows: DataFrame, text: str) -> DataFrame:
-        words = RegexTokenizer(inputCol="clean", outputCol="words", pattern=r"[^\p{L}\p{N}]+")
-        hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=self.dimensions)
-        return hashed.transform(words.transform(
-            rows.withColumn("clean", F.coalesce(F.col(text), F.lit("")))
-        ))
+        """Learn weights from a corpus; keep the result to embed later texts alike.
+
+        Null and wordless texts count as texts. At most ``SLOTS`` numbers reach the driver.
+        """
+        slots = F.array_distinct(F.transform(_words(F.col(text)), lambda w: F.pmod(_digest(w), F.lit(SLOTS))))
+        # The row without a slot counts the texts, in the same pass.
+        each = rows.select(F.explode(F.array_append(F.coalesce(slots, F.array().cast("array<bigint>")), F.lit(-1))).alias("slot"))
+        held = each.groupBy("slot").agg(F.count("*").alias("n")).toPandas()
+        found = np.zeros(SLOTS + 1)
+        found[held["slot"].to_numpy(dtype=np.int64)] = held["n"]
+        return HashedTextEmbedder(self.dimensions, np.log((found[-1] + 1) / (found[:-1] + 1)))
 
     def __call__(self, rows: DataFrame, text: str, vector: str) -> DataFrame:
-        counted = self._counts(rows, text)
-        weighted = self.idf.transform(counted) if self.idf else counted
-        scale = Normalizer(inputCol="weighted" if self.idf else "tf", outputCol="scaled")
-        as_array = vector_to_array("scaled", dtype="float32").alias(vector)
-        return scale.transform(weighted).select(*rows.columns, as_array)
-
-    def save(self, path: str) -> None:
-        if self.idf is None:
+        dimensions, weights = self.dimensions, self.weights
+
+        @F.pandas_udf("array<float>")
+        def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for digests in batches:
+                counts = digests.map(len).to_numpy()
+                found = np.concatenate([*digests, np.empty(0, dtype=np.int64)])
+                signed = np.where(found // SLOTS // dimensions % 2 == 0, 1.0, -1.0)
+                if weights is not None:
+                    signed *= weights[found % SLOTS]
+                at = np.repeat(np.arange(len(counts)), counts) * dimensions + found // SLOTS % dimensions
+                sums = np.bincount(at, signed, len(counts) * dimensions).reshape(-1, dimensions)
+                length = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+                yield pd.Series(list((sums / np.where(length > 0, length, 1.0)).astype(np.float32)))
+
+        digests = F.transform(_words(F.coalesce(F.col(text), F.lit(""))), _digest)
+        return rows.withColumn(vector, place(digests))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The weights as a table ``slot, weight``."""
+        if self.weights is None:
             raise ValueError("nothing was fitted")
-        self.idf.write().overwrite().save(path)
+        table = pd.DataFrame({"slot": np.arange(SLOTS), "weight": self.weights, "dimensions": self.dimensions})
+        spark.createDataFrame(table, "slot int, weight double, dimensions int").write.mode("overwrite").parquet(path)
 
     @classmethod
-    def load(cls, path: str) -> "HashedTextEmbedder":
-        from pyspark.ml.feature import IDFModel
-
-        model = IDFModel.load(path)
-        return cls(len(model.idf), model)
+    def load(cls, spark: SparkSession, path: str) -> "HashedTextEmbedder":
+        table = spark.read.parquet(path).toPandas().sort_values("slot")
+        return cls(int(table["dimensions"].iloc[0]), table["weight"].to_numpy())
 
 
 def embed(rows: DataFrame, text: str, vector: str = "embedding", embedder: Embedder | None = None) -> DataFrame:
