@@ -17,9 +17,10 @@ from burstwatch.plans import tables
 from burstwatch.plans.detect_queries import ALERTS_SQL, STAND_IN
 from burstwatch.plans.edit_queries import _EDIT_COLUMNS
 from burstwatch.plans.registry import query
-from burstwatch.plans.tables import with_
+from burstwatch.plans.tables import EMBED_SQL, with_
+from burstwatch.plans.verify_queries import fitted_embedder
 from burstwatch.schemas import ANOMALY_SCHEMA, NEWS_SCHEMA, VERDICT_SCHEMA
-from burstwatch.session import scratch_dir
+from burstwatch.session import cut_lineage, scratch_dir
 from burstwatch.sources import sinks
 from burstwatch.streaming import RecentIds, jobs
 
@@ -217,20 +218,34 @@ def stream_news_index(spark, folder):
     return rows.select("event_id", "title", "url", "snippet", iso_utc(F.col("added_at")).alias("added_at"))
 
 
-@query()
+@query(with_("edits", "toc", "articles", "ngrams", "snippets") + """, firsts AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY toc_timestamp, pos) AS rn FROM articles) WHERE rn = 1),
+  pages AS (SELECT page_title, count(*) AS edit_count FROM edits GROUP BY 1),
+  texts AS (
+    SELECT 'article' AS kind, event_id AS id, concat_ws('. ', title, nullif(snippet, '')) AS text FROM firsts a
+    LEFT JOIN snippets s ON s.docid = a.toc_id AND s.toc_timestamp = a.toc_timestamp
+    UNION ALL SELECT 'page', page_title, replace(page_title, '_', ' ') || ' ' || page_title FROM pages),""" + EMBED_SQL + """,
+  best AS (SELECT q.id AS page_title, arg_min(a.id, (-list_cosine_similarity(q.v::DOUBLE[], a.v::DOUBLE[]), a.id)) AS event_id,
+      max(list_cosine_similarity(q.v::DOUBLE[], a.v::DOUBLE[])) AS similarity
+    FROM vectors q JOIN vectors a ON q.kind = 'page' AND a.kind = 'article' GROUP BY 1)
+  SELECT page_title AS key, page_title, edit_count, coalesce(similarity >= 0.65, false) AS matched, round(similarity, 6) AS similarity_score,
+    0.65e0 AS similarity_threshold, event_id, title, url, language, gdelt_seen_at
+  FROM pages LEFT JOIN best USING (page_title) LEFT JOIN firsts USING (event_id)""")
 def stream_verdicts(spark, folder):
     """The matching job: streamed anomalies judged against the streamed index of the news job's articles."""
     index, path = scratch_dir(spark, "index"), scratch_dir(spark, "verdicts")
     clock = lambda: NOW
-    articles = _news_stream(spark, folder, news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder)))
-    jobs.index_news(articles, index, scratch_dir(spark, "checkpoint"), clock=clock).awaitTermination()
+    assembled = cut_lineage(news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder)))
+    embedder = fitted_embedder(assembled)
+    articles = _news_stream(spark, folder, assembled)
+    jobs.index_news(articles, index, scratch_dir(spark, "checkpoint"), embedder, clock=clock).awaitTermination()
     pages = features.per_page(tables.edits(spark, folder)).select(
         "page_title", "edit_count", F.lit(-0.1).alias("anomaly_score"), F.col("page_title").alias("recent_comments")
     )
     anomalies = _landed(spark, folder, pages.select(F.to_json(F.struct(*pages.columns)).alias("value")))
     jobs.verify_anomalies(
         sources.decode_json(anomalies, ANOMALY_SCHEMA), lambda now: jobs.read_news_index(spark, index, now),
-        jobs.folder_writer(path), scratch_dir(spark, "checkpoint"), clock=clock,
+        jobs.folder_writer(path), scratch_dir(spark, "checkpoint"), embedder, clock=clock,
     ).awaitTermination()
     written = spark.read.schema("key string, value string").parquet(path)
     closest = [F.col(f"closest_article.{c}").alias(c) for c in ("event_id", "title", "url", "language", "gdelt_seen_at")]

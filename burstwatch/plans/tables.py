@@ -423,3 +423,19 @@ SQL = {
 
 def with_(*names: str) -> str:
     return "WITH " + ",\n".join(SQL[n] for n in names) + "\n"
+
+
+# Words of texts, their md5 digests, and vectors by place; weights are fitted on the articles among ``texts``.
+EMBED_SQL = r"""
+  digests AS (SELECT kind, id, CAST('0x' || substr(md5(w), 1, 15) AS BIGINT) AS d FROM (
+    SELECT kind, id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS w FROM texts)),
+  weights AS (SELECT d % 262144 AS slot, ln(((SELECT count(*) FROM texts WHERE kind = 'article') + 1) / (count(DISTINCT id) + 1)) AS weight
+    FROM digests WHERE kind = 'article' GROUP BY 1),
+  places AS (SELECT kind, id, (d // 262144) % 384 AS place, sum(CASE WHEN (d // 262144 // 384) % 2 = 0 THEN 1 ELSE -1 END
+      * coalesce(weight, ln((SELECT count(*) FROM texts WHERE kind = 'article') + 1))) AS v
+    FROM digests LEFT JOIN weights ON slot = d % 262144 GROUP BY 1, 2, 3),
+  scaled AS (SELECT kind, id, place, v / length AS v FROM places JOIN (
+    SELECT kind, id, sqrt(sum(v * v)) AS length FROM places GROUP BY 1, 2) USING (kind, id) WHERE length > 0),
+  vectors AS (SELECT kind, id, list_transform(range(384), lambda i: CAST(coalesce(m[i], 0) AS FLOAT)) AS v FROM (
+    SELECT kind, id, map(list(place), list(v)) AS m FROM scaled GROUP BY 1, 2))
+"""

@@ -14,7 +14,7 @@ from burstwatch.operators.nearest import nearest_news as nearest
 from burstwatch.plans import tables
 from burstwatch.plans.detect_queries import ALERTS_SQL, alert_rows
 from burstwatch.plans.registry import query
-from burstwatch.plans.tables import with_
+from burstwatch.plans.tables import EMBED_SQL, with_
 from burstwatch.schemas import VERDICT_SCHEMA
 from burstwatch.session import cut_lineage
 
@@ -78,32 +78,15 @@ def cosine_similarity(spark, folder):
     )
 
 
-# Words of texts, their md5 digests, and vectors by place; weights are fitted on the texts of ``articles_text``.
-_EMBED = r"""
-  digests AS (SELECT kind, id, CAST('0x' || substr(md5(w), 1, 15) AS BIGINT) AS d FROM (
-    SELECT kind, id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS w FROM texts)),
-  weights AS (SELECT d % 262144 AS slot, ln(((SELECT count(*) FROM texts WHERE kind = 'article') + 1) / (count(DISTINCT id) + 1)) AS weight
-    FROM digests WHERE kind = 'article' GROUP BY 1),
-  places AS (SELECT kind, id, (d // 262144) % 384 AS place, sum(CASE WHEN (d // 262144 // 384) % 2 = 0 THEN 1 ELSE -1 END
-      * coalesce(weight, ln((SELECT count(*) FROM texts WHERE kind = 'article') + 1))) AS v
-    FROM digests LEFT JOIN weights ON slot = d % 262144 GROUP BY 1, 2, 3),
-  scaled AS (SELECT kind, id, place, v / length AS v FROM places JOIN (
-    SELECT kind, id, sqrt(sum(v * v)) AS length FROM places GROUP BY 1, 2) USING (kind, id) WHERE length > 0),
-  vectors AS (SELECT kind, id, list_transform(range(384), lambda i: CAST(coalesce(m[i], 0) AS FLOAT)) AS v FROM (
-    SELECT kind, id, map(list(place), list(v)) AS m FROM scaled GROUP BY 1, 2))
-"""
-
-
-def _indexed(articles, fitted_on):
-    """Articles with vectors weighted by the rarity of words in ``fitted_on``."""
-    texts = fitted_on.select(article_text(F.col("title"), F.col("snippet")).alias("text"))
-    embedder = verify.HashedTextEmbedder().fit(texts, "text")
-    return verify.embed_articles(articles, embedder), embedder
+def fitted_embedder(articles):
+    """Words weighted by their rarity in the texts of ``articles``."""
+    texts = articles.select(article_text(F.col("title"), F.col("snippet")).alias("text"))
+    return verify.HashedTextEmbedder().fit(texts, "text")
 
 
 @query(with_("toc", "articles", "ngrams", "snippets") + """, texts AS (
     SELECT 'article' AS kind, toc_id AS id, concat_ws('. ', title, nullif(snippet, '')) AS text FROM articles a
-    LEFT JOIN snippets s ON s.docid = a.toc_id AND s.toc_timestamp = a.toc_timestamp),""" + _EMBED + """
+    LEFT JOIN snippets s ON s.docid = a.toc_id AND s.toc_timestamp = a.toc_timestamp),""" + EMBED_SQL + """
   SELECT id AS toc_id, i AS place, round(CAST(v[i + 1] AS DOUBLE), 6) AS weight
   FROM vectors, unnest(range(384)) r(i) WHERE v[i + 1] <> 0""")
 def embed_articles(spark, folder):
@@ -112,7 +95,7 @@ def embed_articles(spark, folder):
         tables.toc(spark, folder), news.build_snippets(tables.ngrams(spark, folder), ("toc_timestamp", "docid"))
     )
     rows = news.normalize(articles)
-    places = _indexed(rows, rows)[0].select("toc_id", F.posexplode("embedding").alias("place", "weight"))
+    places = verify.embed_articles(rows, fitted_embedder(rows)).select("toc_id", F.posexplode("embedding").alias("place", "weight"))
     return places.filter("weight <> 0").select(
         "toc_id", F.col("place").cast("bigint").alias("place"), F.round(F.col("weight").cast("double"), 6).alias("weight")
     )
@@ -124,27 +107,26 @@ def embed_articles(spark, folder):
     SELECT 'article' AS kind, CAST(toc_id AS VARCHAR) AS id, concat_ws('. ', title, nullif(snippet, '')) AS text FROM firsts a
     LEFT JOIN snippets s ON s.docid = a.toc_id AND s.toc_timestamp = a.toc_timestamp
     UNION ALL SELECT 'alert', page_title || ' ' || window_start,
-      concat_ws(' ', replace(page_title, '_', ' '), nullif(trim(recent_comments), '')) FROM alerts),""" + _EMBED + """,
+      concat_ws(' ', replace(page_title, '_', ' '), nullif(trim(recent_comments), '')) FROM alerts),""" + EMBED_SQL + """,
   listed AS (SELECT v, strptime(toc_timestamp, '%Y%m%d%H%M%S') AS added FROM vectors JOIN firsts ON id = CAST(toc_id AS VARCHAR)
     WHERE kind = 'article'),
   asked AS (SELECT page_title, window_start, v, strptime(window_end, '%Y-%m-%dT%H:%M:%SZ') AS handled FROM alerts
     JOIN vectors ON kind = 'alert' AND id = page_title || ' ' || window_start),
-  best AS (SELECT page_title, window_start, max(list_dot_product(a.v::DOUBLE[], l.v::DOUBLE[])) AS similarity
+  best AS (SELECT page_title, window_start, max(list_cosine_similarity(a.v::DOUBLE[], l.v::DOUBLE[])) AS similarity
     FROM asked a JOIN listed l ON added <= handled AND added >= handled - INTERVAL 24 HOUR GROUP BY 1, 2)
-  SELECT page_title, window_start, coalesce(similarity >= 0.65, false) AS matched, round(similarity, 5) AS similarity_score
+  SELECT page_title, window_start, coalesce(similarity >= 0.65, false) AS matched, round(similarity, 6) AS similarity_score
   FROM alerts LEFT JOIN best USING (page_title, window_start)""")
 def verify_alerts(spark, folder):
     """Alerts judged against the documents as news: embedding weighted by rarity, nearest article, verdict."""
-    articles = news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder))
-    articles = cut_lineage(articles)
-    indexed, embedder = _indexed(articles, articles)
-    indexed = indexed.withColumn("added_at", F.to_timestamp("toc_timestamp", "yyyyMMddHHmmss"))
+    articles = cut_lineage(news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder)))
+    embedder = fitted_embedder(articles)
+    indexed = verify.embed_articles(articles, embedder).withColumn("added_at", F.to_timestamp("toc_timestamp", "yyyyMMddHHmmss"))
     alerts = verify.embed_anomalies(alert_rows(spark, folder), embedder).withColumn(
         "handled_at", F.to_timestamp("window_end")
     )
     rows = verify.verdicts(alerts, indexed, evaluated_at=EVALUATED)
     return rows.select(
-        "page_title", "window_start", "matched", F.round("similarity_score", 5).alias("similarity_score")
+        "page_title", "window_start", "matched", F.round("similarity_score", 6).alias("similarity_score")
     )
 
 

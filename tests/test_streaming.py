@@ -279,11 +279,14 @@ def test_news_streams_carry_snippets_of_whole_documents(spark, tmp_path):
 def test_stream_verdicts_are_the_batch_verdicts(spark):
     from burstwatch.operators import news, verify
     from burstwatch.plans import stream_queries, tables
+    from burstwatch.plans.verify_queries import fitted_embedder
 
     folder = "/root/testdata/sf0.001"
-    articles = verify.embed_articles(news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder)))
+    assembled = news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder))
+    embedder = fitted_embedder(assembled)
+    articles = verify.embed_articles(assembled, embedder)
     pages = features.per_page(tables.edits(spark, folder)).select("page_title", F.col("page_title").alias("recent_comments"))
-    asked = verify.embed_anomalies(pages)
+    asked = verify.embed_anomalies(pages, embedder)
     pairs = asked.select("page_title", F.col("embedding").alias("q")).crossJoin(articles.select("event_id", "embedding"))
     dot = F.aggregate(F.zip_with("q", "embedding", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda t, x: t + x)
     best = {r["page_title"]: r["s"] for r in pairs.groupBy("page_title").agg(F.max(dot).alias("s")).collect()}
