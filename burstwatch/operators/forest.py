@@ -8,6 +8,7 @@ nodes, whatever the size of the data.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import os
@@ -53,30 +54,38 @@ def _average_path(n: int) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
 
 
-def _grow(points: np.ndarray, height: int, rng: np.random.Generator) -> list[tuple]:
+def _chance(seed: int, tree: int, place: int) -> tuple[int, float]:
+    """A whole number to pick a feature with and a uniform one to split it, from the digest of a node's place."""
+    digest = hashlib.md5(f"{seed}:{tree}:{place}".encode()).hexdigest()
+    return int(digest[:8], 16), int(digest[8:16], 16) / 2**32
+
+
+def _grow(points: np.ndarray, height: int, seed: int, tree: int) -> list[tuple]:
     """Nodes ``(feature, threshold, left, path)`` of one random tree, breadth first.
 
     The right child follows the left one; a leaf has feature -1 and holds the path length.
+    A node's place is 1 at the root, and twice its parent's (plus 1 on the right) below.
+    The order of the points plays no part.
     """
     nodes: list[tuple] = []
-    queue = [(np.arange(len(points)), 0)]
+    queue = [(np.arange(len(points)), 0, 1)]
     while len(nodes) < len(queue):
-        members, depth = queue[len(nodes)]
+        members, depth, place = queue[len(nodes)]
         block = points[members]
         low, high = block.min(axis=0), block.max(axis=0)
         splittable = np.flatnonzero(high > low)
         if depth >= height or len(splittable) == 0:
             nodes.append((-1, 0.0, -1, depth + _average_path(len(members))))
             continue
-        feature = int(rng.choice(splittable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        goes_left = block[:, feature] <= threshold
-        if goes_left.all():
+        pick, share = _chance(seed, tree, place)
+        feature = int(splittable[pick % len(splittable)])
+        threshold = float(low[feature] + share * (high[feature] - low[feature]))
+        if threshold >= high[feature]:
             threshold = float(low[feature])
-            goes_left = block[:, feature] <= threshold
+        goes_left = block[:, feature] <= threshold
         children = len(queue)
-        queue.append((members[goes_left], depth + 1))
-        queue.append((members[~goes_left], depth + 1))
+        queue.append((members[goes_left], depth + 1, 2 * place))
+        queue.append((members[~goes_left], depth + 1, 2 * place + 1))
         nodes.append((feature, threshold, children, 0.0))
     return nodes
 
@@ -174,47 +183,54 @@ def _inputs() -> list[Column]:
     return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURES]
 
 
+def _content() -> Column:
+    """Digest of a row's features: their whole parts and 40 bits of what is behind the point."""
+    whole = [F.floor(c) for c in FEATURES]
+    parts = [F.floor((F.col(c) - w) * F.lit(2.0**40)) for c, w in zip(FEATURES, whole)]
+    return F.md5(F.concat_ws(":", *[x.cast("string") for pair in zip(whole, parts) for x in pair]))
+
+
 def _grow_trees(data: DataFrame, count: int, trees: int, size: int, seed: int) -> DataFrame:
     """Node rows of every tree.
 
     Equal rows are counted first, and their copies numbered again in runs that are
     dealt over the tasks, so that a row that fills a third of the data is no hot key.
-    A copy may be in a tree's sample when its hash with the tree's number falls under
-    the thinning rate; the tree then takes the ``size`` smallest hashes. About
-    ``THINNING * size * trees`` rows in total are shuffled by tree.
+    Trees form as few groups as leave each tree ``THINNING * size`` rows, one group if there are
+    rows for all. A digest of a copy and a group's number says which tree of the group it is offered to,
+    and in which order; a tree takes the ``size`` first. So a copy has one digest a group and not
+    one a tree. Later ones are dropped before the shuffle: about ``THINNING * size * trees`` rows are left.
     """
-    space = 2**31
-    rate = min(1.0, THINNING * size / count)
-
-    def draw(*number: Column) -> Column:
-        return F.pmod(F.xxhash64("row_key", *number), F.lit(space))
-
+    groups = min(trees, math.ceil(THINNING * size * trees / count))
     counted = data.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("copies"))
     runs = counted.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / RUN))).alias("run"))
     first, last = F.col("run") * RUN, F.least("copies", (F.col("run") + 1) * RUN) - 1
-    copies = runs.repartition(*FEATURES, "run").select(*FEATURES, F.explode(F.sequence(first, last)).alias("copy"))
-    keyed = copies.withColumn("row_key", F.xxhash64(F.lit(seed), *FEATURES, "copy"))
-    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
-    members = F.filter(numbers, lambda tree: draw(tree) < F.lit(int(rate * space)))
-    drawn = keyed.select("*", F.explode(members).alias("tree"))
-    drawn = drawn.withColumn("draw", draw(F.col("tree")))
-    ties = [F.col(c) for c in ("draw", "row_key", *FEATURES)]
-    chosen = ranked(drawn, ["tree"], ties, size)
+    copies = runs.repartition(*FEATURES, "run").select(
+        *FEATURES, _content().alias("content"), F.explode(F.sequence(first, last)).alias("copy")
+    )
+    offered = copies.select("*", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    key = F.md5(F.concat_ws(":", F.lit(seed), "content", F.col("copy").cast("string"), F.col("group").cast("string")))
+    members = F.floor((F.lit(trees - 1) - F.col("group")) / F.lit(groups)) + 1  # trees of the group
+    number = F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint")
+    drawn = offered.withColumn("number", number).withColumn("members", members).select(
+        *FEATURES, "members", (F.col("group") + groups * F.pmod("number", "members")).cast("int").alias("tree"),
+        F.expr("number div members").alias("draw"),
+    )
+    share = F.least(F.lit(1.0), F.lit(THINNING * size / count) * F.col("members"))
+    drawn = drawn.filter(F.col("draw") <= share * F.lit(2.0**60) / F.col("members"))
+    chosen = ranked(drawn, ["tree"], [F.col(c) for c in ("draw", *FEATURES)], size)
     height = max(1, math.ceil(math.log2(max(size, 2))))
 
     def grow(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
         if len(group) < size:
             raise RuntimeError(f"tree {tree} drew {len(group)} of {size} rows")
-        points = group.sort_values("rank")[list(FEATURES)].to_numpy(dtype=np.float64)
-        nodes = _grow(points, height, np.random.default_rng([seed, tree]))
+        nodes = _grow(group[list(FEATURES)].to_numpy(dtype=np.float64), height, seed, tree)
         table = pd.DataFrame(nodes, columns=["feature", "threshold", "left", "path"])
         table.insert(0, "node", np.arange(len(table)))
         table.insert(0, "tree", tree)
         return table
 
-    columns = ["tree", "rank", *FEATURES]
-    return chosen.select(*columns).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+    return chosen.select("tree", *FEATURES).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
 class _Arrays:

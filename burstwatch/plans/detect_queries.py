@@ -8,6 +8,7 @@ from burstwatch import sources
 from burstwatch.operators import detect, features, report
 from burstwatch.plans import tables
 from burstwatch.plans.edit_queries import _clean_sql, _substantive_sql
+from burstwatch.plans.forest_sql import forest_sql
 from burstwatch.plans.registry import query
 from burstwatch.plans.tables import with_
 from burstwatch.schemas import FEATURES
@@ -91,7 +92,12 @@ def _training_features(spark, folder):
     return features.tumbling(tables.edits(spark, folder))
 
 
-@query()
+_RATIOS = """, total_byte_changes / edit_count AS relative_growth, minor_edit_ratio - bot_ratio AS human_bot_friction,
+    unique_editors / edit_count AS editor_concentration"""
+_SLIDING_SCORED = with_("edits", "sliding", "tumbling") + f", windows AS (SELECT *{_RATIOS} FROM sliding)," + forest_sql("tumbling", "windows")
+
+
+@query(_SLIDING_SCORED + """ SELECT window_start, page_title, edit_count, round(anomaly_score, 6) AS anomaly_score FROM scored""")
 def forest_scores(spark, folder):
     """Train on the tumbling windows and score the sliding ones."""
     model = detect.IsolationForest.fit(_training_features(spark, folder))
@@ -112,14 +118,21 @@ def forest_alerts(spark, folder):
     return detect.alerts(features.attach_comments(scored.filter("anomaly_score < 0"), edits))
 
 
-@query()
+@query(with_("edits", "tumbling") + "," + forest_sql("tumbling", "tumbling") + """ SELECT count(*) AS "rows",
+    avg(CAST(edit_count = 1 AS DOUBLE)) AS single_edit_share, avg(CAST(anomaly_score < 0 AS DOUBLE)) AS flagged_share FROM scored""")
 def forest_self_flag_rate(spark, folder):
     """Share of its own training rows the model flags."""
     rows = _training_features(spark, folder)
     return report.training_distribution(detect.IsolationForest.fit(rows).score(rows), "anomaly_score")
 
 
-@query()
+@query(with_("edits") + f""", days AS (
+  SELECT *{_RATIOS} FROM (SELECT timestamp // 86400 AS day, page_title, count(*) AS edit_count, count(DISTINCT "user") AS unique_editors,
+    CAST(sum(abs(byte_change)) AS BIGINT) AS total_byte_changes, avg(CAST(bot AS DOUBLE)) AS bot_ratio,
+    avg(CAST(minor AS DOUBLE)) AS minor_edit_ratio FROM edits GROUP BY 1, 2)),
+  firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_title ORDER BY edit_count DESC, total_byte_changes DESC,
+    unique_editors DESC, bot_ratio DESC, minor_edit_ratio DESC) AS rn FROM days) WHERE rn = 1),""" + forest_sql("days", "firsts") + """
+  SELECT page_title, edit_count, total_byte_changes, CAST(anomaly_score < 0 AS INTEGER) AS is_anomaly FROM scored""")
 def score_feature_lake(spark, folder):
     """The feature lake written per page and day, read back, and scored one row per page."""
     path = scratch_dir(spark, "features")
@@ -128,7 +141,7 @@ def score_feature_lake(spark, folder):
     days.write.partitionBy("day").parquet(path)
     lake = sources.read_feature_lake(spark, path)
     model = detect.IsolationForest.fit(lake)
-    order = [F.desc("edit_count"), F.desc("total_byte_changes")]
+    order = [F.desc(c) for c in ("edit_count", "total_byte_changes", "unique_editors", "bot_ratio", "minor_edit_ratio")]
     scored = detect.score_lake(lake, model, order)
     return scored.select("page_title", "edit_count", "total_byte_changes", "is_anomaly")
 
