@@ -10,7 +10,7 @@ from burstwatch.plans import tables
 from burstwatch.plans.edit_queries import _clean_sql, _substantive_sql
 from burstwatch.plans.forest_sql import forest_sql
 from burstwatch.plans.registry import query
-from burstwatch.plans.tables import with_
+from burstwatch.plans.tables import SQL, with_
 from burstwatch.schemas import FEATURES
 from burstwatch.session import scratch_dir
 from burstwatch.sources import sinks
@@ -25,8 +25,12 @@ def stand_in_scored(spark, folder):
 
 
 _ISO = "'%Y-%m-%dT%H:%M:%SZ'"
-ALERTS_SQL = with_("edits", "sliding") + f""", windowed AS (
-    SELECT *, (timestamp // 300) * 300 - o AS w FROM edits, (VALUES (0), (300), (600)) s(o)),
+
+
+def _alerts_of(edits: str, scored: str, score: str) -> str:
+    """CTEs up to ``alerts``: flagged rows of ``scored`` with the comments of ``edits``."""
+    return f""", windowed AS (
+    SELECT *, (timestamp // 300) * 300 - o AS w FROM {edits}, (VALUES (0), (300), (600)) s(o)),
   candidates AS (SELECT w, page_title, event_time, event_id, {_substantive_sql("c")} AS candidate
     FROM (SELECT *, {_clean_sql("comment")} AS c FROM windowed)),
   samples AS (SELECT w, page_title, string_agg(candidate, ' | ' ORDER BY rn) AS recent_comments FROM (
@@ -36,12 +40,15 @@ ALERTS_SQL = with_("edits", "sliding") + f""", windowed AS (
     SELECT s.page_title, strftime(make_timestamp(window_start * 1000000), {_ISO}) AS window_start,
       strftime(make_timestamp((window_start + 900) * 1000000), {_ISO}) AS window_end,
       strftime(last_edit_time, {_ISO}) AS last_edit_time, edit_count, unique_editors, total_byte_changes,
-      CAST({STAND_IN} AS DOUBLE) AS anomaly_score, coalesce(recent_comments, '') AS recent_comments
-    FROM sliding s LEFT JOIN samples c ON c.w = s.window_start AND c.page_title = s.page_title
-    WHERE CAST({STAND_IN} AS DOUBLE) < 0)
+      {score} AS anomaly_score, coalesce(recent_comments, '') AS recent_comments
+    FROM {scored} s LEFT JOIN samples c ON c.w = s.window_start AND c.page_title = s.page_title
+    WHERE {score} < 0)
 """
 
 
+ALERTS_SQL = with_("edits", "sliding") + _alerts_of("edits", "sliding", f"CAST({STAND_IN} AS DOUBLE)")
+
+
 def alert_rows(spark, folder):
     flagged = stand_in_scored(spark, folder).filter("anomaly_score < 0")
     return detect.alerts(features.attach_comments(flagged, tables.edits(spark, folder)))
@@ -108,14 +115,25 @@ def forest_scores(spark, folder):
     )
 
 
-@query()
+def forest_alerts_sql(sent: str = "true") -> str:
+    """The forest of all edits; windows and alerts of those that were ``sent``."""
+    return (
+        with_("edits", "tumbling") + f", sent AS (SELECT * FROM edits WHERE {sent}), "
+        + SQL["sliding"].replace("FROM edits,", "FROM sent,") + f", windows AS (SELECT *{_RATIOS} FROM sliding),"
+        + forest_sql("tumbling", "windows") + _alerts_of("sent", "scored", "anomaly_score")
+        + "SELECT * REPLACE (round(anomaly_score, 6) AS anomaly_score) FROM alerts"
+    )
+
+
+@query(forest_alerts_sql())
 def forest_alerts(spark, folder):
     """The detection job on a table: features, saved and reloaded model, score, alerts, comments."""
     path = scratch_dir(spark, "model")
     detect.IsolationForest.fit(_training_features(spark, folder)).save(spark, path)
     edits = tables.edits(spark, folder)
     scored = detect.IsolationForest.load(spark, path).score(features.sliding(edits))
-    return detect.alerts(features.attach_comments(scored.filter("anomaly_score < 0"), edits))
+    alerts = detect.alerts(features.attach_comments(scored.filter("anomaly_score < 0"), edits))
+    return alerts.withColumn("anomaly_score", F.round("anomaly_score", 6))
 
 
 @query(with_("edits", "tumbling") + "," + forest_sql("tumbling", "tumbling") + """ SELECT count(*) AS "rows",

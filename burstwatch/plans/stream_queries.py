@@ -14,7 +14,7 @@ from burstwatch.functions.times import iso_utc
 from burstwatch.operators import detect, edits, features, news
 from burstwatch.operators.ranking import first_per_key
 from burstwatch.plans import tables
-from burstwatch.plans.detect_queries import ALERTS_SQL, STAND_IN
+from burstwatch.plans.detect_queries import ALERTS_SQL, STAND_IN, forest_alerts_sql
 from burstwatch.plans.edit_queries import _EDIT_COLUMNS
 from burstwatch.plans.registry import query
 from burstwatch.plans.tables import EMBED_SQL, with_
@@ -153,14 +153,21 @@ def stream_restart(spark, folder):
     )
 
 
-@query()
-def stream_alerts(spark, folder):
-    """The scoring job: stream features, forest, alerts with the comments that the stream has kept."""
-    model = detect.IsolationForest.fit(features.tumbling(tables.edits(spark, folder)))
+def _last_alerts(spark, folder, model):
+    """What the scoring job publishes last of each window it flags."""
     path = scratch_dir(spark, "alerts")
     job = jobs.score_edits(_event_stream(spark, folder), model, jobs.folder_writer(path), scratch_dir(spark, "checkpoint"))
     job.awaitTermination()
-    return sources.decode_json(spark.read.schema("key string, value string").parquet(path), ANOMALY_SCHEMA)
+    written = spark.read.schema("key string, value string, batch int").parquet(path)
+    alerts = sources.decode_json(written, ANOMALY_SCHEMA, ["batch"])
+    last = first_per_key(alerts, ["page_title", "window_start"], [F.desc("batch")]).drop("batch")
+    return last.withColumn("anomaly_score", F.round("anomaly_score", 6))
+
+
+@query(forest_alerts_sql("NOT bot AND event_type <> 'new'"))
+def stream_alerts(spark, folder):
+    """The scoring job: stream features, forest, alerts with the comments that the stream has kept."""
+    return _last_alerts(spark, folder, detect.IsolationForest.fit(features.tumbling(tables.edits(spark, folder))))
 
 
 class _StandIn:
@@ -174,13 +181,7 @@ class _StandIn:
   SELECT * REPLACE (round(anomaly_score, 6) AS anomaly_score) FROM alerts""")
 def stream_alert_comments(spark, folder):
     """The scoring job's last alert of each window: counts, and comments out of the stream's own state."""
-    path = scratch_dir(spark, "alerts")
-    job = jobs.score_edits(_event_stream(spark, folder), _StandIn(), jobs.folder_writer(path), scratch_dir(spark, "checkpoint"))
-    job.awaitTermination()
-    written = spark.read.schema("key string, value string, batch int").parquet(path)
-    alerts = sources.decode_json(written, ANOMALY_SCHEMA, ["batch"])
-    last = first_per_key(alerts, ["page_title", "window_start"], [F.desc("batch")]).drop("batch")
-    return last.withColumn("anomaly_score", F.round("anomaly_score", 6))
+    return _last_alerts(spark, folder, _StandIn())
 
 
 def _news_stream(spark, folder, articles):
