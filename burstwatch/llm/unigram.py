@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame, functions as F
 from burstwatch.llm.shared import with_workers
 
 SPACE = "▁"
-#: Segments that a task remembers before it starts afresh.
-REMEMBERED = 1_000_000
+#: Characters of the segments that a task remembers before it starts afresh, each counted with
+#: what an entry takes beside them; and the longest segment that it remembers.
+REMEMBERED, ENTRY, LONGEST = 128_000_000, 200, 64
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
@@ -45,6 +46,7 @@ class Counter:
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in pieces) - 10.0
         self.seen: dict[str, tuple[float, int]] = {}
+        self.held = 0
 
     def segment(self, text: str) -> tuple[float, int]:
         known = self.seen.get(text)
@@ -68,9 +70,12 @@ class Counter:
         while done < size:
             done += 1
             self._unknown(text, done, best, count, reached, single)
-        if len(self.seen) >= REMEMBERED:
-            self.seen.clear()
-        self.seen[text] = best[size], count[size]
+        if size <= LONGEST:
+            if self.held + size + ENTRY > REMEMBERED:
+                self.seen.clear()
+                self.held = 0
+            self.held += size + ENTRY
+            self.seen[text] = best[size], count[size]
         return best[size], count[size]
 
     def _unknown(self, text, end, best, count, reached, single) -> None:

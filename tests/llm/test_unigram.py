@@ -48,3 +48,14 @@ def test_operator(docs):
         assert found[i].n_tokens == len(LIBRARY.encode(text or "", add_special_tokens=False).ids)
     assert found[0].best_score == 0
     assert unigram.count_tokens(docs([]), PATH).collect() == []
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    """Long segments are not remembered, and short ones only up to a number of characters."""
+    monkeypatch.setattr(unigram, "REMEMBERED", 1_000)
+    own = unigram.Counter(VOCABULARY)
+    texts = ["".join(random.Random(i).choice("abcde") for _ in range(n)) for i in range(40) for n in (5, 64, 65, 3000)]
+    for text in texts:
+        assert own.text(text)[1] == len(LIBRARY.encode(text, add_special_tokens=False).ids)
+        assert own.held <= 1_000 and own.held == sum(len(s) + unigram.ENTRY for s in own.seen)
+        assert all(len(s) <= unigram.LONGEST for s in own.seen)
