@@ -7,7 +7,8 @@ intersected with the Levenshtein automaton of each allowed distance (one edit fr
 letters on, two from ten on; in a stem as well, which any ending may follow); the product is made
 deterministic once, on the driver, as a table of states that grows with the terms. Tasks run every word of a batch
 through the table at the same time, one letter per step, and most words leave it after two
-or three letters.
+or three letters. Letters are code points of any script in lower case, so an accent or a Cyrillic letter
+that is wrong, missing or too much is one edit.
 
 A find counts by its context window: quotation marks on both sides within the window speak
 of quotation, other finds nearby of abuse. Counts of exact and of misspelled finds, quoted or
@@ -20,6 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ _CORE[128:] = True
 QUOTE_REACH, WINDOW = 120, 20
 _QUOTES = ('"'.encode(), "“".encode(), "”".encode(), "«".encode(), "»".encode(), "„".encode())
 FEATURES = 9
-#: Bytes of a stem.
+#: Letters of a stem.
 STEMS = range(5, 10)
 _CAUGHT = -1  # in a state: a stem has been read with so many edits, whatever follows is a find
 #: Least log-likelihood ratio of a term: one in some twenty million words reaches it by chance.
@@ -43,15 +45,51 @@ SIGNIFICANT = 30.0
 
 
 def allowed_edits(term: bytes) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 10 else 2
+    size = len(term.decode())
+    return 0 if size < 5 else 1 if size < 10 else 2
+
+
+@lru_cache(1)
+def _lower_case() -> np.ndarray:
+    """The lower-case code point of each; of those that become several letters, themselves."""
+    return np.array([ord(x) if len(x := chr(c).lower()) == 1 else c for c in range(0x110000)], np.int32)
+
+
+def folded(word: bytes) -> str:
+    """A word's letters in lower case, one for one."""
+    text = word.decode(errors="replace")
+    return text.lower() if text.isascii() else "".join(chr(_lower_case()[ord(c)]) for c in text)
+
+
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many letters begin before each byte of UTF-8 (and in all), and the letters."""
+    begins = (data & 0xC0) != 0x80
+    number = np.concatenate([np.zeros(1, np.int64), np.cumsum(begins)])
+    at = np.flatnonzero(begins)
+    lead = data[at].astype(np.int32)
+    size = 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+    points = lead & np.array([0, 127, 31, 15, 7], np.int32)[size]
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        points[more] = (points[more] << 6) | (data[np.minimum(at[more] + k, len(data) - 1)] & 63)
+    return number, np.minimum(points, 0x10FFFF)
+
+
+@lru_cache(4)
+def _classes(letters: bytes) -> np.ndarray:
+    """The class of every code point: the number of its lower-case form among the letters, from 1 on, or 0."""
+    own = np.zeros(0x110000, np.int32)
+    known = np.frombuffer(letters, np.int32)
+    own[known] = np.arange(1, len(known) + 1)
+    return own[_lower_case()]
 
 
 @dataclass(frozen=True)
 class Automaton:
-    """``table[state, class of a byte]`` is the next state, 0 none; ``edits[state]`` is -1 where no term ends,
-    ``caught[state]`` where no stem has been read."""
+    """``table[state, class of a letter]`` is the next state, 0 none; ``edits[state]`` is -1 where no term ends,
+    ``caught[state]`` where no stem has been read. ``letters`` are the code points that have a class."""
 
-    classes: np.ndarray
+    letters: np.ndarray
     table: np.ndarray
     edits: np.ndarray
     caught: np.ndarray
@@ -59,7 +97,7 @@ class Automaton:
 
 
 def build(terms: list[bytes], stems: list[bytes] = (), near_stems: bool = False) -> Automaton:
-    """The deterministic product of the terms' trie and their Levenshtein automata (in bytes).
+    """The deterministic product of the terms' trie and their Levenshtein automata, over code points.
 
     With ``near_stems`` a stem is also read with the edits that its length allows.
     """
@@ -71,21 +109,20 @@ def build(terms: list[bytes], stems: list[bytes] = (), near_stems: bool = False)
     for term, most, is_stem in sorted({(t, allowed_edits(t), False) for t in terms} | {(t, e, True) for t, e in whole.items()}):
         node = 0
         reach[0] = max(reach[0], most)
-        for byte in term:
-            if byte not in children[node]:
-                children[node][byte] = len(children)
+        for letter in map(ord, folded(term)):
+            if letter not in children[node]:
+                children[node][letter] = len(children)
                 children.append({})
                 ends.append(-1)
                 reach.append(-1)
-            node = children[node][byte]
+            node = children[node][letter]
             reach[node] = max(reach[node], most)
         if is_stem:
             stem_ends[node] = most
         else:
             ends[node] = max(ends[node], most)
-    letters = sorted({b for term in [*terms, *whole] for b in term})
-    classes = np.zeros(256, np.int64)
-    classes[letters] = np.arange(1, len(letters) + 1)
+    letters = sorted({letter for below in children for letter in below})
+    classes = {letter: i for i, letter in enumerate(letters, 1)}
 
     def closed(state: dict[int, int]) -> tuple:
         """With skipped letters of the term, and without what other entries make needless."""
@@ -122,19 +159,19 @@ def build(terms: list[bytes], stems: list[bytes] = (), near_stems: bool = False)
                 other[node] = edits
                 continue
             other[node] = min(other.get(node, 99), edits + 1)  # a letter too many
-            for byte, child in children[node].items():
+            for letter, child in children[node].items():
                 other[child] = min(other.get(child, 99), edits + 1)
-                reached = wanted.setdefault(byte, {})
+                reached = wanted.setdefault(letter, {})
                 reached[child] = min(reached.get(child, 99), edits)
         row = np.full(len(letters) + 1, number(closed(other)), np.int32)
-        for byte, reached in wanted.items():
-            row[classes[byte]] = number(closed({**other, **{n: min(e, other[n]) for n, e in reached.items()}}))
+        for letter, reached in wanted.items():
+            row[classes[letter]] = number(closed({**other, **{n: min(e, other[n]) for n, e in reached.items()}}))
         rows.append(row)
         at += 1
     caught = [min((e for n, e in state if n == _CAUGHT), default=-1) for state in order]
     edits = [min((e for n, e in state if n == _CAUGHT or e <= ends[n]), default=-1) for state in order]
-    longest = max(map(len, [*terms, *whole]), default=0) + 2
-    return Automaton(classes, np.stack(rows), np.array(edits, np.int8), np.array(caught, np.int8), longest)
+    longest = max((len(folded(term)) for term in [*terms, *whole]), default=0) + 2
+    return Automaton(np.array(letters, np.int32), np.stack(rows), np.array(edits, np.int8), np.array(caught, np.int8), longest)
 
 
 def cores(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -154,14 +191,16 @@ def cores(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 def found_terms(chunk: Chunk, automaton: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(position, text, place among the text's words, edits) of every word that is a term or nearly one."""
     begin, end, text, place = cores(chunk) if len(chunk.data) else [np.zeros(0, np.int64)] * 4
-    size = end - begin
+    number, points = code_points(chunk.data)
+    letter = _classes(automaton.letters.tobytes())[points]
+    first, size = number[begin], number[end] - number[begin]
     edits = np.full(len(begin), -1, np.int8)
-    active = np.arange(len(begin))
+    active = np.flatnonzero(size > 0)
     state = np.ones(len(active), np.int32)
     for step in range(automaton.longest):
         if not len(active):
             break
-        state = automaton.table[state, automaton.classes[chunk.data[begin[active] + step]]]
+        state = automaton.table[state, letter[first[active] + step]]
         over = size[active] == step + 1
         edits[active[over]] = automaton.edits[state[over]]
         going = ~over & (state > 0)
@@ -224,7 +263,7 @@ def _featured(automaton: Automaton):
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word or stem, which of them, whether toxic, texts) of each task's texts; a stem counts where two words have it."""
-    counts: dict[tuple[bytes, bool, int], int] = {}
+    counts: dict[tuple[str, bool, int], int] = {}
     for batch in batches:
         for chunk in chunks(batch.column(1)):
             toxic = batch.column(0).slice(chunk.first, len(chunk)).to_pylist()
@@ -233,7 +272,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bounds = np.searchsorted(text, np.arange(len(chunk) + 1))
             for t in range(len(chunk)):
                 own = slice(bounds[t], bounds[t + 1])
-                words = [raw[a:b] for a, b in zip(begin[own].tolist(), end[own].tolist())]
+                words = [folded(raw[a:b]) for a, b in zip(begin[own].tolist(), end[own].tolist())]
                 stems = Counter(w[:k] for w in words for k in STEMS if len(w) >= k)
                 for word in set(words):
                     counts[word, False, toxic[t]] = counts.get((word, False, toxic[t]), 0) + 1
@@ -242,7 +281,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         counts[stem, True, toxic[t]] = counts.get((stem, True, toxic[t]), 0) + 1
     keys = list(counts)
     yield pa.RecordBatch.from_arrays([
-        pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.bool_()),
+        pa.array([k[0].encode() for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.bool_()),
         pa.array([k[2] for k in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64()),
     ], names=["word", "stem", "toxic", "n"])
 
@@ -283,12 +322,13 @@ def fit(
     ordered = [(F.col("t") * F.log(telling)).desc(), F.length("word").desc(), "word"]
     found = [(r["stem"], bytes(r["word"])) for r in found.orderBy(*ordered).collect()]
     lexicon = tuple(word for stem, word in found if not stem)
-    stems: list[bytes] = []
-    begun: set[bytes] = set()  # what stems begin with
-    for stem in (word for is_stem, word in found if is_stem):
-        if stem not in begun and not any(stem[:k] in stems for k in STEMS):
-            stems.append(stem)
+    taken: dict[str, None] = {}
+    begun: set[str] = set()  # what stems begin with
+    for stem in (word.decode() for is_stem, word in found if is_stem):
+        if stem not in begun and not any(stem[:k] in taken for k in STEMS):
+            taken[stem] = None
             begun |= {stem[:k] for k in STEMS}
+    stems = [stem.encode() for stem in taken]
     automaton = build(list(lexicon), stems, near_stems=True)
     fields = "toxic int, " + ", ".join(f"f{i} double" for i in range(FEATURES))
     table = rows.mapInArrow(_featured(automaton), fields).toPandas() if n_toxic + n_clean else None

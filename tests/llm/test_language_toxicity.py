@@ -75,6 +75,30 @@ def test_automaton_finds_what_edit_distance_finds():
         place += len(word) + 1
 
 
+def test_an_edit_is_a_letter_in_any_script():
+    """Accented, Cyrillic and CJK words against edit distance over letters, upper case as lower case."""
+    import pyarrow as pa
+    from burstwatch.llm.batches import chunks
+
+    rng = random.Random(11)
+    terms = ["réeux", "hateful", "дурачок", "ненавистный", "漢字漢字漢字", "αβγδε", "éé", "𐐨𐐩𐐪𐐫𐐬𐐭"]
+    automaton = toxicity.build([t.encode() for t in terms])
+    words = ["reeux", "hatéful", "RÉEUX", "ДУРАЧОК", "дурачек", "𐐀𐐩𐐪𐐫𐐬", "ÉÉ", "ee", "HATÉFUL"]
+    for _ in range(3000):
+        word = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(word) + 1)
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", "é", "ч", "字", "q", "𐐨"])
+        words.append("".join(c.upper() if rng.random() < 0.2 and len(c.upper()) == 1 else c for c in word) or "z")
+    (chunk,) = chunks(pa.array([" ".join(words)]))
+    at, _, _, edits = toxicity.found_terms(chunk, automaton)
+    found, place = dict(zip(at.tolist(), edits.tolist())), 0
+    for word in words:
+        near = [d for t in terms if (d := distance(word.lower(), t)) <= toxicity.allowed_edits(t.encode())]
+        assert found.get(place) == min(near, default=None), word
+        place += len(word.encode()) + 1
+
+
 def test_stems_take_any_ending():
     import pyarrow as pa
     from burstwatch.llm.batches import chunks
