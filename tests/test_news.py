@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from burstwatch import news
+from burstwatch.plans import news_queries, tables
 
 NGRAMS = "docid long, quadgram string, count long, pos long"
 
@@ -70,3 +71,27 @@ def test_pending_minutes(spark):
 def test_dedup_keeps_the_first(spark):
     articles = news.normalize(toc(spark, {"url": "https://e.com/x", "minute": "20260806021800"}, {"url": "https://e.com/x"}), keep=("pos",))
     assert [r["toc_id"] for r in news.dedup(articles).collect()] == [1]
+
+
+def _small_folder(spark, tmp_path):
+    """Texts that repeat words, share an id, or are too short, and their pages."""
+    texts = [(10, "a b c d a b c d a b"), (11, "x, y z. w v x, y z. w"), (11, "x, y z. w again"), (12, "too short"), (None, "p q r s")]
+    rows = [(n, text, "en") for n, text in texts]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    pages = [(n, f"https://example.com/{n}") for n in range(3)]
+    spark.createDataFrame(pages, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    return str(tmp_path)
+
+
+def _plan(rows):
+    return rows._jdf.queryExecution().executedPlan().toString().splitlines()
+
+
+def test_quadgrams_are_counted_where_their_texts_were_dealt(spark, tmp_path):
+    folder = _small_folder(spark, tmp_path)
+    snippets = news_queries.build_snippets(spark, folder)
+    assert sum("Exchange" in line for line in _plan(snippets)) == 1  # the texts, not their runs
+    found = {r["docid"]: r["snippet"] for r in snippets.collect()}
+    assert set(found) == {10, 11, None}
+    assert found[10] == "a b c d b c d a c d a b d a b c"
+    assert found[11].startswith("x, y z. w y z. w v")
