@@ -95,3 +95,11 @@ def test_quadgrams_are_counted_where_their_texts_were_dealt(spark, tmp_path):
     assert set(found) == {10, 11, None}
     assert found[10] == "a b c d b c d a c d a b d a b c"
     assert found[11].startswith("x, y z. w y z. w v")
+
+
+def test_assembling_does_not_move_quadgrams(spark, tmp_path):
+    folder = _small_folder(spark, tmp_path)
+    plan = _plan(news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder)))
+    runs = next(i for i, line in enumerate(plan) if "Generate posexplode" in line)
+    join = max(i for i, line in enumerate(plan[:runs]) if "Join" in line)
+    assert "ShuffledHashJoin" in plan[join] and not any("Exchange" in line for line in plan[join:runs])
