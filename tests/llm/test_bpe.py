@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from burstwatch.llm import bpe
+from burstwatch.llm.queries import token_digests
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -77,3 +78,10 @@ def test_query_digests(table):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_digests_take_one_python_worker_a_task(docs, capsys):
+    token_digests(docs([(1, "a text"), (2, None)])).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("MapInArrow") == 1, plan
+    assert "FlatMapGroupsInArrow" not in plan

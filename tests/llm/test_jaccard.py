@@ -1,9 +1,11 @@
 """The n-gram Jaccard join against brute force."""
 
 import random
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from burstwatch.llm import jaccard
@@ -124,3 +126,16 @@ def test_keep_one_tells_groups_apart_that_share_an_id(docs):
     rows = [(None, one), (None, two), (None, one), (1, two), (5, three), (5, one + " " + two)]
     kept = sorted((str(r["doc_id"]), r["text"]) for r in jaccard.keep_one(docs(rows)).collect())
     assert kept == sorted([("None", one), ("1", two), ("5", three), ("5", one + " " + two)])
+
+
+def test_shingling_short_texts_takes_little_memory():
+    texts = pa.array([" ".join(f"w{i * j % 9973}" for j in range(80)) for i in range(4096)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], names=["doc", "text"])
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in jaccard._sets(5, 1, True)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 4096
+    assert peak < 60e6, f"{peak / 1e6:.0f} MB"
