@@ -17,7 +17,8 @@ cross join. The search instead
 
 How deep the tree of a bucket is follows from its articles alone; a bucket that fits
 one leaf is its own root. Pivots stay in tables and meet articles and anomalies in
-blocks as well, so nothing that grows with the data reaches the driver or every task.
+blocks as well, so nothing that grows with the data reaches the driver or every task. Which
+side of a join is broadcast is never left to estimates: they take a vector for a single number.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from burstwatch.operators.ranking import ranked
-from burstwatch.session import cut_lineage
+from burstwatch.session import BROADCAST_ROWS, cut_lineage
 
 # Fixed value: how long an article stays matchable.
 RETENTION = timedelta(hours=24)
@@ -112,8 +113,8 @@ def nearest_news(
     touched = F.sequence(F.floor((F.col("t") - keep) / width), F.floor(F.col("t") / width))
     roots = queries.withColumn("node", F.explode(F.transform(touched, lambda b: b.cast("string"))))
 
-    search = _Search(keep, article_block, anomaly_block)
-    placed, levels = _tree(articles, article_block, fanout)
+    placed, levels, nodes = _tree(articles, article_block, fanout)
+    search = _Search(keep, article_block, anomaly_block, nodes)
     if levels:
         # what the most promising leaf holds decides which others have to be looked at
         roots = roots.join(articles.select("node").distinct(), "node", "left_semi")
@@ -140,8 +141,8 @@ def micros(span: timedelta) -> int:
     return span // timedelta(microseconds=1)
 
 
-def _tree(articles: DataFrame, size: int, fanout: int) -> tuple[DataFrame, list[DataFrame]]:
-    """The articles with their leaf as ``node``, and per level the parts of the nodes split there.
+def _tree(articles: DataFrame, size: int, fanout: int) -> tuple[DataFrame, list[DataFrame], int]:
+    """The articles with their leaf as ``node``, per level the parts of the nodes split there, and how many leaves there are.
 
     A level's rows are ``node, child, v, near, far``: the pivot of a part and the least and largest
     angle of its articles to it. Pivots are articles with different vectors, the smallest by hash, so
@@ -151,24 +152,25 @@ def _tree(articles: DataFrame, size: int, fanout: int) -> tuple[DataFrame, list[
     kind = articles.schema["v"].dataType.simpleString()
     while True:
         sizes = placed.groupBy("node").agg(F.count("*").alias("n"))
-        crowded = sizes.filter((F.col("n") > size) & ~F.col("node").endswith(SAME)).select("node")
-        if crowded.isEmpty():
-            return placed, levels
-        crowded = cut_lineage(crowded)
+        too_large = (F.col("n") > size) & ~F.col("node").endswith(SAME)
+        nodes, split = sizes.agg(F.count("*"), F.count_if(too_large)).first()
+        if not split:
+            return placed, levels, nodes
+        crowded = cut_lineage(sizes.filter(too_large).select("node"))
         inside = placed.join(crowded, "node", "left_semi")
         vectors = inside.withColumn("hash", F.xxhash64("v")).groupBy("node", "hash").agg(F.first("v").alias("v"))
         pivots = cut_lineage(ranked(vectors, ["node"], [F.col("hash")], fanout).select(
             "node", F.concat_ws(".", "node", F.col("rank").cast("string")).alias("child"), "v"
         ))
         moved = cut_lineage(_meet(
-            inside, "row", size, pivots, "child", fanout, _nearest_pivot,
+            inside, "row", size, pivots, "child", fanout, nodes, _nearest_pivot,
             f"key string, row string, v {kind}, t bigint, until bigint, child string, angle double, parent string",
         ))
         spans = moved.groupBy("parent", "child").agg(F.min("angle").alias("near"), F.max("angle").alias("far"))
         # a part that holds all of its parent's articles, which then all point one way
         parts = spans.groupBy("parent").agg(F.count("*").alias("parts"))
         name = F.when(F.col("parts") == 1, F.concat("child", F.lit(SAME))).otherwise(F.col("child"))
-        named = cut_lineage(spans.join(parts, "parent").join(pivots.select("child", "v"), "child").select(
+        named = cut_lineage(spans.join(parts, "parent").join(pivots.select("child", "v").hint("merge"), "child").select(
             F.col("parent").alias("node"), "child", name.alias("name"), "v", "near", "far"
         ))
         levels.append(named.select("node", F.col("name").alias("child"), "v", "near", "far"))
@@ -182,13 +184,14 @@ def _leaves(roots: DataFrame, levels: list[DataFrame], search: "_Search", floor:
 
     Without ``floor`` only the most promising one: at each level the part with the nearest pivot.
     """
-    queries = roots.select("q_id", "v", "t").dropDuplicates(["q_id"])
+    queries = roots.select("q_id", "v", "t").dropDuplicates(["q_id"]).hint("merge")
     reached = roots.select("q_id", "node", F.lit(1.0).alias("bound"))
     for level in levels:
         inner = level.select("node").distinct()
         asked = reached.join(inner, "node", "left_semi").join(queries, "q_id")
         below = _meet(
-            asked, "q_id", search.anomaly_block, level, "child", FANOUT, _bounds, "q_id string, node string, bound double, angle double"
+            asked, "q_id", search.anomaly_block, level, "child", FANOUT, search.nodes, _bounds,
+            "q_id string, node string, bound double, angle double",
         )
         reached = reached.join(inner, "node", "left_anti").unionByName(below, allowMissingColumns=True)
         if floor is None:
@@ -204,13 +207,14 @@ def _leaves(roots: DataFrame, levels: list[DataFrame], search: "_Search", floor:
 
 
 def _meet(
-    asked: DataFrame, asked_id: str, asked_size: int, listed: DataFrame, listed_id: str, listed_size: int,
+    asked: DataFrame, asked_id: str, asked_size: int, listed: DataFrame, listed_id: str, listed_size: int, nodes: int,
     match: Callable[[pa.Table, pa.Table], pa.Table], schema: str,
 ) -> DataFrame:
     """``match`` of every block of ``asked`` with every block of ``listed`` in the same node.
 
     How many blocks a node is cut into comes from its sizes, one row per node; a node with a
-    third of all rows becomes many blocks on many executors.
+    third of all rows becomes many blocks on many executors. The sizes are broadcast unless there
+    are too many ``nodes``; the rows never are.
     """
     def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
         return rows.groupBy("node").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
@@ -222,6 +226,7 @@ def _meet(
         return rows.join(shape, "node").select(*[F.col(c).alias(c) for c in rows.columns], at, every)
 
     shape = blocks(asked, asked_size, "n_asked_block").join(blocks(listed, listed_size, "n_listed_block"), "node")
+    shape = shape.hint("broadcast" if nodes <= BROADCAST_ROWS else "merge")
     left = dealt(asked, asked_id, "asked_block", "listed_block")
     right = dealt(listed, listed_id, "listed_block", "asked_block")
     return left.groupBy(*BLOCK).cogroup(right.groupBy(*BLOCK)).applyInArrow(match, schema)
@@ -230,8 +235,8 @@ def _meet(
 class _Search:
     """Best article per (anomaly, block) for anomalies sent to leaves."""
 
-    def __init__(self, keep: int, article_block: int, anomaly_block: int):
-        self.keep, self.article_block, self.anomaly_block = keep, article_block, anomaly_block
+    def __init__(self, keep: int, article_block: int, anomaly_block: int, nodes: int):
+        self.keep, self.article_block, self.anomaly_block, self.nodes = keep, article_block, anomaly_block, nodes
 
     def best(self, visits: DataFrame, articles: DataFrame) -> DataFrame:
         """Rows ``q_id, score, key, row``: one per anomaly and article block with a candidate."""
@@ -241,7 +246,7 @@ class _Search:
             return _best_in_block(asked, listed, keep)
 
         return _meet(
-            visits, "q_id", self.anomaly_block, articles, "row", self.article_block, match,
+            visits, "q_id", self.anomaly_block, articles, "row", self.article_block, self.nodes, match,
             "q_id string, score double, key string, row string",
         )
 
