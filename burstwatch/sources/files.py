@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from burstwatch.functions.text import strip
 from burstwatch.schemas import EDIT_LAKE_SCHEMA, HISTORY_SCHEMA, TOC_SCHEMA
-from burstwatch.sources.decode import is_object
+from burstwatch.sources.decode import is_object, once
 
 
 def decode_history(lines: DataFrame, strict: bool = True) -> DataFrame:
@@ -110,8 +110,7 @@ def decode_toc(lines: DataFrame, keep: Sequence[str] = ("toc_timestamp", "pos"))
     """Article entries out of JSON lines; blank, malformed and non-object lines are skipped."""
     return (
         lines.filter(is_object(F.col("value")))
-        .select(F.from_json("value", TOC_SCHEMA).alias("entry"), *keep)
-        .select("entry.*", *keep)
+        .select(once(F.from_json("value", TOC_SCHEMA)), *keep)
     )
 
 
@@ -121,15 +120,19 @@ def read_toc(spark: SparkSession, path: str, minutes: Sequence[str] | None = Non
 
 
 def decode_ngrams(lines: DataFrame, keep: Sequence[str] = ("toc_timestamp", "pos")) -> DataFrame:
-    """``docid, quadgram, count`` out of tab-separated lines; unreadable lines are skipped."""
-    fields = F.split(F.regexp_replace("value", r"[\r\n]+$", ""), "\t", -1)
+    """``docid, quadgram, count`` out of tab-separated lines; unreadable lines are skipped.
+
+    Line ends are white space, which the count is stripped of.
+    """
     return (
-        lines.select(fields.alias("f"), *keep)
+        lines.select(once(F.struct(F.split("value", "\t", -1).alias("f"))), *keep)
         .filter(F.size("f") == 3)
         .select(
-            _integer(F.get("f", F.lit(0))).alias("docid"),
-            strip(F.get("f", F.lit(1))).alias("quadgram"),
-            _integer(F.get("f", F.lit(2))).alias("count"),
+            once(F.struct(
+                _integer(F.get("f", F.lit(0))).alias("docid"),
+                strip(F.get("f", F.lit(1))).alias("quadgram"),
+                _integer(F.get("f", F.lit(2))).alias("count"),
+            )),
             *keep,
         )
         .filter("docid IS NOT NULL AND `count` IS NOT NULL AND quadgram <> ''")
@@ -137,8 +140,9 @@ def decode_ngrams(lines: DataFrame, keep: Sequence[str] = ("toc_timestamp", "pos
 
 
 def _integer(text):
-    digits = strip(text)
-    return F.when(digits.rlike(r"^[+-]?\d+$"), digits.try_cast("long"))
+    # most are digits and nothing else, which costs less than to strip them
+    digits, number = strip(text), r"^[+-]?\d+\z"
+    return F.when(text.rlike(number), text.try_cast("long")).when(digits.rlike(number), digits.try_cast("long"))
 
 
 def read_ngrams(spark: SparkSession, path: str, minutes: Sequence[str] | None = None) -> DataFrame:

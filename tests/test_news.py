@@ -97,6 +97,14 @@ def test_quadgrams_are_counted_where_their_texts_were_dealt(spark, tmp_path):
     assert found[11].startswith("x, y z. w y z. w v")
 
 
+def test_minutes_of_quadgrams_are_found_without_making_them(spark, tmp_path):
+    folder = _small_folder(spark, tmp_path)
+    minutes = tables.ngram_minutes(spark, folder)
+    every = tables.ngrams(spark, folder).select("toc_timestamp").distinct()
+    assert not any("Generate" in line for line in _plan(minutes)) and any("Generate" in line for line in _plan(every))
+    assert sorted(minutes.collect(), key=str) == sorted(every.collect(), key=str)
+
+
 def test_assembling_does_not_move_quadgrams(spark, tmp_path):
     folder = _small_folder(spark, tmp_path)
     plan = _plan(news.assemble(tables.toc(spark, folder), tables.ngrams(spark, folder)))

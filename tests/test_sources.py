@@ -109,6 +109,17 @@ def test_news_files(spark, tmp_path):
     assert [(r["docid"], r["quadgram"], r["count"]) for r in read] == [(56, "real quadgram here", 3)]
 
 
+def test_a_line_of_the_news_feed_is_taken_apart_once(lines):
+    """Filters on the fields do not repeat what the fields are made by."""
+    odd = ["+7\ta b c d\t-2\r\n", "\u20288\x85\t\u3000a b\u2028\t 3\x85", "9\ta\t1.5", "1 2\ta\t3", "9\n9\ta\t3", "\ta\t3", "99999999999999999999\ta\t3"]
+    grams = sources.decode_ngrams(lines(odd), keep=())
+    assert [tuple(r) for r in grams.collect()] == [(7, "a b c d", -2), (8, "a b", 3)]
+    toc = sources.decode_toc(lines(['{"ID": 1, "title": "t", "url": "u"}', "{bad"]), keep=()).filter("title <> '' AND url <> ''")
+    assert [(r["ID"], r["title"], r["url"]) for r in toc.collect()] == [(1, "t", "u")]
+    for rows, made_by in ((grams, "split("), (toc, "from_json(")):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count(made_by) == 1
+
+
 def test_keyed_json(spark):
     rows = spark.createDataFrame([(None, 1, None), ("P", 2, "x")], "page_title string, n int, note string")
     plain = [tuple(r) for r in sinks.keyed_json(rows, "page_title").collect()]
